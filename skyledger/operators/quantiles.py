@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -34,58 +33,54 @@ def exact_quantiles(
     counts = value_counts(rows, group, value)
 
     margin = 2.0 / accuracy
-    cut_probs = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-margin, margin)})
+    at = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-margin, margin)})
+    listed = ", ".join(f"{p}D" for p in at)
     cuts = rows.groupBy(group).agg(
-        F.percentile_approx(value, cut_probs, accuracy).alias("_cuts")
+        F.expr(f"percentile_approx({value}, array({listed}), {accuracy}) AS cuts")
     )
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
-    bucketed = (
-        counts.join(F.broadcast(cuts), group).withColumn("_bucket", below).drop("_cuts")
+    bucketed = counts.join(F.broadcast(cuts), group).selectExpr(
+        group, value, "n", f"size(filter(cuts, cut -> cut < {value})) AS bucket"
     )
 
-    along = Window.partitionBy(group).orderBy("_bucket")
+    positions = [f"(total - 1) * {float(p)}D" for p in probs]
+    ends = ", ".join(f"floor({p}), ceil({p})" for p in positions)
     buckets = (
-        bucketed.groupBy(group, "_bucket")
-        .agg(F.sum("n").alias("_size"))
-        .withColumn("_before", F.sum("_size").over(along) - F.col("_size"))
-        .withColumn("total", F.sum("_size").over(Window.partitionBy(group)))
-        .withColumn("_ranks", F.array_distinct(_wanted_ranks(probs)))
-        .withColumn("_ranks", F.filter("_ranks", _within("_before", "_size")))
-        .where(F.size("_ranks") > 0)
-        .drop("_size")
-    )
-
-    in_bucket = Window.partitionBy(group, "_bucket").orderBy(value)
-    picked = (
-        bucketed.join(F.broadcast(buckets), [group, "_bucket"])
-        .withColumn("_start", F.col("_before") + F.sum("n").over(in_bucket) - F.col("n"))
-        .withColumn("_rank", F.explode(F.filter("_ranks", _within("_start", "n"))))
-        .groupBy(group)
-        .agg(
-            F.max("total").alias("total"),
-            F.map_from_entries(F.collect_set(F.struct("_rank", value))).alias("_at"),
+        bucketed.groupBy(group, "bucket")
+        .agg(F.sum("n").alias("size"))
+        .selectExpr(
+            group,
+            "bucket",
+            "size",
+            f"sum(size) OVER (PARTITION BY {group} ORDER BY bucket) - size AS before",
+            f"sum(size) OVER (PARTITION BY {group}) AS total",
         )
+        .selectExpr(
+            group,
+            "bucket",
+            "before",
+            "total",
+            f"filter(array_distinct(array({ends})), r -> r >= before AND r < before + size) AS ranks",
+        )
+        .where("size(ranks) > 0")
     )
-    return picked.select(
-        group, "total", *[_interpolated(p).alias(f"q{i}") for i, p in enumerate(probs)]
+    found = (
+        bucketed.join(F.broadcast(buckets), [group, "bucket"])
+        .selectExpr(
+            "*",
+            f"""before - n + sum(n) OVER (
+                PARTITION BY {group}, bucket ORDER BY {value}) AS first_rank""",
+        )
+        .selectExpr(
+            group,
+            "total",
+            value,
+            "explode(filter(ranks, r -> r >= first_rank AND r < first_rank + n)) AS rank",
+        )
+        .groupBy(group, "total")
+        .agg(F.expr(f"map_from_entries(collect_set(struct(rank, {value}))) AS at_rank"))
     )
-
-
-def _position(p: float) -> Column:
-    return (F.col("total") - 1) * F.lit(float(p))
-
-
-def _wanted_ranks(probs: list[float]) -> Column:
-    ends = [edge(_position(p)).cast("long") for p in probs for edge in (F.floor, F.ceil)]
-    return F.array(*ends)
-
-
-def _within(start: str, length: str):
-    return lambda rank: (rank >= F.col(start)) & (rank < F.col(start) + F.col(length))
-
-
-def _interpolated(p: float) -> Column:
-    position = _position(p)
-    low = F.col("_at")[F.floor(position).cast("long")]
-    high = F.col("_at")[F.ceil(position).cast("long")]
-    return low + (high - low) * (position - F.floor(position))
+    answers = [
+        f"at_rank[floor({p})] + (at_rank[ceil({p})] - at_rank[floor({p})]) * ({p} - floor({p})) AS q{i}"
+        for i, p in enumerate(positions)
+    ]
+    return found.selectExpr(group, "total", *answers)

@@ -16,11 +16,13 @@ def keep_top(facts: DataFrame, n: int, key: str, ranking: Column) -> DataFrame:
     """Rows of grouped ``facts`` whose key is among the ``n`` best by ``ranking``
     (an aggregate over the facts of that key).
 
-    ``facts`` is aggregated once and used twice, so its shuffle is reused. The
-    broadcast side holds at most ``n`` rows by construction.
+    The leaders are an inner join, not a semi join: Spark would push a semi join
+    below the aggregation of ``facts`` and so scan and aggregate twice, while this
+    way the one shuffle of ``facts`` serves both sides. The broadcast side holds
+    at most ``n`` rows by construction.
     """
     leaders = top_n(facts.groupBy(key).agg(ranking.alias("_rank")), n, "_rank", key)
-    return facts.join(F.broadcast(leaders.select(key)), key, "left_semi")
+    return facts.join(F.broadcast(leaders.select(key)), key).select(facts.columns)
 
 
 def top_per_group(df: DataFrame, group: str, n: int, measure: str, *tie_keys: str) -> DataFrame:

@@ -11,12 +11,14 @@ from skyledger.functions.outcomes import labelled
 
 
 def launch_explorer(features: DataFrame) -> DataFrame:
-    """Eleven columns under their display names, newest year first."""
-    shown = features.select(*EXPLORER_HEADINGS).withColumns(
+    """Eleven columns under their display names, newest year first. Within a year
+    the id decides, so that a year with very many launches sorts in many tasks."""
+    ordered = features.orderBy(F.desc("launch_year"), "launch_id")
+    shown = ordered.select(*EXPLORER_HEADINGS).withColumns(
         {
             "is_success": labelled(F.col("is_success"), *EXPLORER_RESULTS),
             "temperature_2m_mean": half_even(F.col("temperature_2m_mean"), 1),
             "wind_speed_10m_max": half_even(F.col("wind_speed_10m_max"), 1),
         }
     )
-    return shown.orderBy(F.desc("launch_year")).withColumnsRenamed(EXPLORER_HEADINGS)
+    return shown.withColumnsRenamed(EXPLORER_HEADINGS)

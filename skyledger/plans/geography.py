@@ -11,11 +11,18 @@ from skyledger.plans.missions import frequency, success_by, yearly_by
 
 
 def pad_stats(launches: DataFrame) -> DataFrame:
-    """Volume, success rate, label and dot size of each launch site."""
+    """Volume, success rate, label and dot size of each launch site.
+
+    The first grouping includes the location name, so that it is a hash
+    aggregation (a minimum of text is not); the second sees few rows.
+    """
     site = ["pad_latitude", "pad_longitude", "pad_country_code"]
-    pads = launches.dropna(subset=site).groupBy(*site).agg(
-        F.count("*").alias("total"),
-        sum_or_zero(F.col("is_success")).alias("success"),
+    named_sites = launches.dropna(subset=site).groupBy(*site, "location_name").agg(
+        F.count("*").alias("total"), sum_or_zero(F.col("is_success")).alias("success")
+    )
+    pads = named_sites.groupBy(*site).agg(
+        F.sum("total").alias("total"),
+        F.sum("success").alias("success"),
         F.min("location_name").alias("location_name"),
     )
     largest = pads.agg(F.max("total")).scalar()

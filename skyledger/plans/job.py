@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from skyledger import constants as K
 from skyledger.plans import gold, silver
@@ -11,33 +13,52 @@ from skyledger.sources.sinks import write_parquet
 from skyledger.sources.tables import read_table
 
 
+def _silver_tables(scan: Callable[[str, str], DataFrame]) -> dict[str, DataFrame]:
+    """The Silver tables that come straight from RAW, given how to scan a dataset."""
+    return {
+        "launches": silver.silver_launches(scan(K.LAUNCHES_FILE, schemas.LAUNCH)),
+        "weather": silver.silver_weather(scan(K.WEATHER_FILE, schemas.WEATHER)),
+        "spacex_rockets": silver.silver_rockets(scan(K.ROCKETS_FILE, schemas.ROCKET)),
+        "images": silver.silver_images(
+            scan(K.CATALOGUE_IMAGES_FILE, schemas.CATALOGUE_IMAGE),
+            scan(K.VENDOR_IMAGES_FILE, schemas.VENDOR_IMAGE),
+        ),
+    }
+
+
+PARTITIONS = {
+    "launches": ["launch_year"],
+    "weather": ["weather_year"],
+    "spacex_rockets": None,
+    "images": ["source", "launch_year"],
+}
+
+
+def read_silver(spark: SparkSession, silver_base: str, name: str) -> DataFrame:
+    """One Silver table under the schema its transform gives it."""
+    declared = _silver_tables(lambda _, schema: spark.createDataFrame([], schema))[name].schema
+    return read_table(spark, f"{silver_base}/{name}", declared)
+
+
 def run_silver(spark: SparkSession, raw_run: str, silver_base: str) -> None:
     """Normalise one RAW run into the five Silver tables."""
 
-    def scan(file_name: str, schema: str):
-        return landing.read_json(spark, f"{raw_run}/{file_name}", schema)
-
-    launches = silver.silver_launches(landing.read_launches(spark, f"{raw_run}/{K.LAUNCHES_FILE}"))
-    weather = silver.silver_weather(scan(K.WEATHER_FILE, schemas.WEATHER))
-    rockets = silver.silver_rockets(landing.read_rockets(spark, f"{raw_run}/{K.ROCKETS_FILE}"))
-    images = silver.silver_images(
-        scan(K.CATALOGUE_IMAGES_FILE, schemas.CATALOGUE_IMAGE),
-        scan(K.VENDOR_IMAGES_FILE, schemas.VENDOR_IMAGE),
-    )
-    write_parquet(launches, f"{silver_base}/launches", ["launch_year"])
-    write_parquet(weather, f"{silver_base}/weather", ["weather_year"])
-    write_parquet(rockets, f"{silver_base}/spacex_rockets")
-    write_parquet(images, f"{silver_base}/images", ["source", "launch_year"])
-    costs = silver.silver_launch_costs(read_table(spark, f"{silver_base}/launches"))
+    def scan(file_name: str, schema: str) -> DataFrame:
+        multiline = file_name == K.ROCKETS_FILE
+        return landing.read_json(spark, f"{raw_run}/{file_name}", schema, multiline=multiline)
+
+    for name, table in _silver_tables(scan).items():
+        write_parquet(table, f"{silver_base}/{name}", PARTITIONS[name])
+    costs = silver.silver_launch_costs(read_silver(spark, silver_base, "launches"))
     write_parquet(costs, f"{silver_base}/launch_costs", ["launch_year"])
 
 
 def run_gold(spark: SparkSession, silver_base: str, gold_base: str) -> None:
     """Build both Gold tables from the written Silver tables, so that RAW JSON is
     parsed once and each scan reads only the columns it needs."""
-    launches = read_table(spark, f"{silver_base}/launches")
-    weather = read_table(spark, f"{silver_base}/weather")
-    images = read_table(spark, f"{silver_base}/images")
+    launches = read_silver(spark, silver_base, "launches")
+    weather = read_silver(spark, silver_base, "weather")
+    images = read_silver(spark, silver_base, "images")
     metrics = gold.company_year_metrics(launches)
     features = gold.launch_features(launches, weather, images)
     write_parquet(metrics, f"{gold_base}/company_year_metrics", ["launch_year"])

@@ -52,23 +52,36 @@ def silver_rockets(raw: DataFrame) -> DataFrame:
 
 
 def silver_images(catalogue: DataFrame, vendor: DataFrame) -> DataFrame:
-    """One row per image: both sources, catalogue duplicates within a record removed."""
-    pair = F.array_distinct(F.array_compact(F.array("image", "infographic")))
+    """One row per image: both sources, catalogue duplicates within a record removed.
+
+    Dates are read once per record, before it is exploded into images.
+    """
+    nothing = F.array(F.lit(None).cast("string"))
     from_catalogue = catalogue.select(
         F.lit(CATALOGUE_SOURCE).alias("source"),
         F.col("launch_library_id").alias("launch_id"),
         F.col("name").alias("launch_name"),
         F.col("net").alias("launch_datetime_utc"),
-        F.explode(pair).alias("image_url"),
+        F.array_except(F.array("image", "infographic"), nothing).alias("urls"),
     )
     from_vendor = vendor.select(
         F.lit(VENDOR_SOURCE).alias("source"),
         F.col("spacex_launch_id").alias("launch_id"),
         F.col("name").alias("launch_name"),
         F.col("date_utc").alias("launch_datetime_utc"),
-        F.explode(F.array_compact("image_urls")).alias("image_url"),
+        F.col("image_urls").alias("urls"),
+    )
+    dated = with_launch_calendar(from_catalogue.unionByName(from_vendor), "launch_datetime_utc")
+    images = dated.select(
+        "source",
+        "launch_id",
+        "launch_name",
+        "launch_datetime_utc",
+        F.explode("urls").alias("image_url"),
+        "launch_date",
+        "launch_year",
     )
-    return with_launch_calendar(from_catalogue.unionByName(from_vendor), "launch_datetime_utc")
+    return images.where(F.col("image_url").isNotNull())
 
 
 def silver_launch_costs(

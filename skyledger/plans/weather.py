@@ -101,14 +101,16 @@ def weather_sample(features: DataFrame, n: int = 600, seed: int = 7) -> DataFram
 def temp_histogram(features: DataFrame, bins: int = 35) -> DataFrame:
     """Launches per temperature bin and outcome, in equal bins over the whole range."""
     rows = observed(features).select("outcome", F.col(TEMPERATURE).alias("t"))
-    low, high = rows.agg(F.min("t")).scalar(), rows.agg(F.max("t")).scalar()
-    width = (high - low) / bins
-    place = F.coalesce(F.try_divide(F.col("t") - low, width), F.lit(0.0))
-    slot = F.least(F.floor(place) + 1, F.lit(bins)).cast("int")
-    counted = rows.select("outcome", slot.alias("bin")).groupBy("outcome", "bin").agg(
-        F.count("*").alias("launches")
+    bounds = rows.agg(F.struct(F.min("t").alias("low"), F.max("t").alias("high"))).scalar()
+    bin_no = f"least(floor(coalesce(try_divide(t - low, width), 0)) + 1, {bins})"
+    return (
+        rows.withColumn("bounds", bounds)
+        .selectExpr("outcome", "t", "bounds.low", f"(bounds.high - bounds.low) / {bins} AS width")
+        .selectExpr("outcome", f"cast({bin_no} AS int) AS bin", "low", "width")
+        .selectExpr("outcome", "bin", "low + (bin - 1) * width AS bin_start")
+        .groupBy("outcome", "bin")
+        .agg(F.count("*").alias("launches"), F.min("bin_start").alias("bin_start"))
     )
-    return counted.withColumn("bin_start", low + (F.col("bin") - 1) * width)
 
 
 def weather_by_year(features: DataFrame) -> DataFrame:

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str, *, skip_corrupt: bool = False) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    *,
+    skip_corrupt: bool = False,
+) -> DataFrame:
     """Scan a Parquet folder; partition columns are discovered from its paths.
-    ``skip_corrupt`` leaves out files that cannot be read."""
-    return spark.read.option("ignoreCorruptFiles", skip_corrupt).parquet(path)
+
+    A declared schema saves reading footers, and lets a table without a single
+    row, hence without files, be read. ``skip_corrupt`` leaves out files that
+    cannot be read.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt)
+    return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def typed_year(df: DataFrame) -> DataFrame:
