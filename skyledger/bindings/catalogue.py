@@ -305,7 +305,15 @@ def json_roundtrip(spark, sf_dir):
     return silver.silver_launches(landing.read_launches(spark, path))
 
 
-def land_run(spark: SparkSession, sf_dir: str, run: str) -> None:
+@query
+def rockets_roundtrip(spark, sf_dir):
+    """RAW rockets written, read back as whole documents and normalised."""
+    path = new_workspace(spark, "rockets")
+    sinks.write_json_lines(domain.raw_rockets(spark, sf_dir), path)
+    return silver.silver_rockets(landing.read_rockets(spark, path))
+
+
+def landed_run(spark: SparkSession, sf_dir: str, base: str) -> str:
     """Write one RAW run with the five datasets the batch job reads."""
     datasets = {
         K.LAUNCHES_FILE: domain.raw_launches,
@@ -314,15 +322,15 @@ def land_run(spark: SparkSession, sf_dir: str, run: str) -> None:
         K.CATALOGUE_IMAGES_FILE: domain.raw_catalogue_images,
         K.VENDOR_IMAGES_FILE: domain.raw_vendor_images,
     }
-    for file_name, build in datasets.items():
-        sinks.write_json_lines(build(spark, sf_dir), f"{run}/{file_name}")
+    built = {name: build(spark, sf_dir) for name, build in datasets.items()}
+    return status.land_run(spark, base, built, {"launch_library_synthetic_mode": False})
 
 
 @query
 def medallion_job(spark, sf_dir):
     """The whole batch job from landed JSON to the Gold feature table."""
     base = new_workspace(spark, "job")
-    land_run(spark, sf_dir, f"{base}/raw/20240101_000000")
+    landed_run(spark, sf_dir, f"{base}/raw")
     job.run_job(spark, f"{base}/raw", f"{base}/silver", f"{base}/gold")
     return tables.load_features(tables.read_table(spark, f"{base}/gold/launch_features")).select(
         "launch_id", "launch_date", "launch_year", "provider_name", "is_success",
@@ -330,6 +338,15 @@ def medallion_job(spark, sf_dir):
     )
 
 
+@query
+def landed_manifest(spark, sf_dir):
+    """Row counts as the manifest of a landed run states them."""
+    base = new_workspace(spark, "landed")
+    run = landed_run(spark, sf_dir, base)
+    manifest = spark.read.schema("files MAP<STRING, BIGINT>").json(f"{base}/{run}/{K.MANIFEST_FILE}")
+    return manifest.select(F.explode("files").alias("dataset", "rows"))
+
+
 @query
 def incremental_landing(spark, sf_dir):
     """Landed JSON files taken in by a stream, a few files at a time, as Silver rows."""

@@ -453,6 +453,11 @@ QUERIES = {
         UNION ALL SELECT '{K.SHIPS_FILE}', count(*) FROM supplier
         UNION ALL SELECT '{K.VENDOR_IMAGES_FILE}', count(*) FROM vendor WHERE coalesce(small, large, photo_a) IS NOT NULL
         UNION ALL SELECT '{K.WEATHER_FILE}', count(*) FROM events""",
+    "landed_manifest": f"""SELECT '{K.LAUNCHES_FILE}' dataset, count(*) AS rows FROM orders
+        UNION ALL SELECT '{K.WEATHER_FILE}', count(*) FROM events
+        UNION ALL SELECT '{K.ROCKETS_FILE}', count(DISTINCT p_brand) FROM part
+        UNION ALL SELECT '{K.CATALOGUE_IMAGES_FILE}', count(*) FROM lineitem WHERE l_returnflag <> 'N'
+        UNION ALL SELECT '{K.VENDOR_IMAGES_FILE}', count(*) FROM lineitem WHERE l_returnflag = 'N'""",
     "data_status": """SELECT run_id, dataset, count(record) AS rows FROM (
           SELECT run_id FROM (SELECT run_id FROM run_records UNION SELECT strftime(l_shipdate, '%Y%m') FROM lineitem WHERE l_returnflag = 'N'
             UNION SELECT strftime(ts, '%Y%m') FROM events) ORDER BY run_id DESC LIMIT 5)
@@ -467,6 +472,7 @@ QUERIES = {
         UNION ALL SELECT 'launch_features', count(DISTINCT coalesce(launch_year, -1)) FROM launches""",
     "parquet_roundtrip": "SELECT * FROM costs",
     "json_roundtrip": "SELECT * FROM launches",
+    "rockets_roundtrip": "SELECT * FROM rockets",
     "medallion_job": """SELECT launch_id, launch_date, launch_year, provider_name, is_success, temperature_2m_mean,
         wind_speed_10m_max, launch_image_count FROM features""",
     "incremental_landing": "SELECT launch_id, launch_year, provider_name, rocket_name, is_success FROM launches",

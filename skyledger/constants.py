@@ -11,6 +11,8 @@ VENDOR_IMAGES_FILE = "spacex_launches_images.jsonl"
 PAYLOADS_FILE = "spacex_payloads.json"
 CORES_FILE = "spacex_cores.json"
 SHIPS_FILE = "spacex_ships.json"
+MANIFEST_FILE = "manifest.json"
+RUN_ID_FORMAT = "%Y%m%d_%H%M%S"
 
 # --- Fixed values: image source names --------------------------------------
 CATALOGUE_SOURCE = "launch_library"

@@ -28,6 +28,5 @@ def iso_utc(value: Column) -> Column:
 
 def with_launch_calendar(df, text_column: str):
     """Add ``launch_date`` and ``launch_year`` from an ISO text column."""
-    return df.withColumn("launch_date", F.to_date(instant(F.col(text_column)))).withColumn(
-        "launch_year", F.year("launch_date")
-    )
+    day = F.to_date(instant(F.col(text_column)))
+    return df.select("*", day.alias("launch_date"), F.year("launch_date").alias("launch_year"))

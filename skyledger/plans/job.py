@@ -44,8 +44,8 @@ def run_silver(spark: SparkSession, raw_run: str, silver_base: str) -> None:
     """Normalise one RAW run into the five Silver tables."""
 
     def scan(file_name: str, schema: str) -> DataFrame:
-        multiline = file_name == K.ROCKETS_FILE
-        return landing.read_json(spark, f"{raw_run}/{file_name}", schema, multiline=multiline)
+        read = landing.read_documents if file_name == K.ROCKETS_FILE else landing.read_json
+        return read(spark, f"{raw_run}/{file_name}", schema)
 
     for name, table in _silver_tables(scan).items():
         write_parquet(table, f"{silver_base}/{name}", PARTITIONS[name])

@@ -23,15 +23,14 @@ def compact_launches(landed: DataFrame) -> DataFrame:
 
 def launch_frame(raw: DataFrame) -> DataFrame:
     """The flat launch table the marts use, with the three-valued success flag."""
-    orbit = F.coalesce(nonempty(F.col("mission_orbit")), "orbit_abbrev")
-    return (
-        flattened(raw, schemas.LAUNCH_FRAME_COLUMNS)
-        .withColumn("provider_type", F.coalesce("provider_type", F.lit("Unknown")))
-        .withColumn("mission_orbit", orbit)
-        .drop("orbit_abbrev")
-        .withColumn("launch_year", F.year(instant(F.col("net"))))
-        .withColumn("is_success", strict_success_flag(F.col("status_abbrev")))
-    )
+    flat = flattened(raw, schemas.LAUNCH_FRAME_COLUMNS)
+    defaults = {
+        "provider_type": F.coalesce("provider_type", F.lit("Unknown")),
+        "mission_orbit": F.coalesce(nonempty(F.col("mission_orbit")), "orbit_abbrev"),
+        "launch_year": F.year(instant(F.col("net"))),
+        "is_success": strict_success_flag(F.col("status_abbrev")),
+    }
+    return flat.withColumns(defaults).drop("orbit_abbrev")
 
 
 def with_gold_measures(frame: DataFrame, features: DataFrame) -> DataFrame:

@@ -25,26 +25,26 @@ from skyledger.sources import schemas
 def silver_launches(raw: DataFrame) -> DataFrame:
     """One flat row per launch record that has an id."""
     known = raw.where(F.col("id").isNotNull())
-    return (
-        flattened(known, schemas.SILVER_LAUNCH_COLUMNS)
-        .withColumn("launch_ts", instant(F.col("launch_net_utc")))
-        .withColumn("launch_date", F.to_date("launch_ts"))
-        .withColumn("launch_year", F.year("launch_date"))
-        .withColumn("is_success", success_flag(F.col("status_abbrev")))
+    return flattened(known, schemas.SILVER_LAUNCH_COLUMNS).select(
+        "*",
+        instant(F.col("launch_net_utc")).alias("launch_ts"),
+        F.to_date("launch_ts").alias("launch_date"),
+        F.year("launch_date").alias("launch_year"),
+        success_flag(F.col("status_abbrev")).alias("is_success"),
     )
 
 
 def silver_weather(raw: DataFrame) -> DataFrame:
     """One row per weather sample: the first day of its daily series."""
     known = raw.where(F.col("launch_id").isNotNull())
-    sampled = flattened(known, schemas.SILVER_WEATHER_COLUMNS)
-    return (
-        sampled.withColumn("temperature_2m_mean", F.try_element_at("temperatures", F.lit(1)))
-        .withColumn("wind_speed_10m_max", F.try_element_at("wind_speeds", F.lit(1)))
-        .drop("temperatures", "wind_speeds")
-        .withColumn("weather_date", F.col("weather_date_raw").try_cast("date"))
-        .withColumn("weather_year", F.year("weather_date"))
+    sampled = flattened(known, schemas.SILVER_WEATHER_COLUMNS).select(
+        "*",
+        F.try_element_at("temperatures", F.lit(1)).alias("temperature_2m_mean"),
+        F.try_element_at("wind_speeds", F.lit(1)).alias("wind_speed_10m_max"),
+        F.col("weather_date_raw").try_cast("date").alias("weather_date"),
+        F.year("weather_date").alias("weather_year"),
     )
+    return sampled.drop("temperatures", "wind_speeds")
 
 
 def silver_rockets(raw: DataFrame) -> DataFrame:

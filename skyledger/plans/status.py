@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.constants import MANIFEST_FILE, RUN_ID_FORMAT
 from skyledger.operators.topk import top_n
+from skyledger.sources.sinks import write_json_lines
 
 #: Directory name of a missing partition value.
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -31,7 +33,8 @@ def run_manifest(datasets: dict[str, DataFrame]) -> DataFrame:
 def manifest_document(
     manifest: DataFrame, config: dict[str, str | int | bool], executed_at: str | None = None
 ) -> DataFrame:
-    """The manifest as one JSON record: when, counts per dataset, configuration."""
+    """The manifest as one JSON record: when, counts per dataset, configuration.
+    It gathers one row per dataset of the run."""
     now = executed_at or datetime.now(timezone.utc).isoformat()
     return manifest.agg(
         F.lit(now).alias("executed_at_utc"),
@@ -40,6 +43,27 @@ def manifest_document(
     )
 
 
+def land_run(
+    spark: SparkSession,
+    base: str,
+    datasets: dict[str, DataFrame],
+    config: dict[str, str | int | bool],
+    run_id: str | None = None,
+) -> str:
+    """Write one RAW run: every dataset as JSON lines, then the manifest.
+
+    The manifest counts the lines that were written, not the plans behind them:
+    a plan read twice may have changed in between. Returns the run id.
+    """
+    run = run_id or datetime.now(timezone.utc).strftime(RUN_ID_FORMAT)
+    for name, df in datasets.items():
+        write_json_lines(df, f"{base}/{run}/{name}")
+    landed = {name: spark.read.text(f"{base}/{run}/{name}") for name in datasets}
+    manifest = manifest_document(run_manifest(landed), config)
+    write_json_lines(manifest, f"{base}/{run}/{MANIFEST_FILE}")
+    return run
+
+
 def data_status(landed: DataFrame, datasets: list[str], runs: int = 5) -> DataFrame:
     """Rows per dataset of the newest runs; a dataset a run lacks counts 0.
 

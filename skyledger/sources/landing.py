@@ -13,41 +13,48 @@ from skyledger.sources import schemas
 RUN_ID_PATTERN = r"/([^/]+)/[^/]+\.jsonl?(?:/[^/]+)?$"
 
 
-def read_json(
-    spark: SparkSession, path: str, schema: str, *, multiline: bool = False, strict: bool = False
-) -> DataFrame:
-    """Scan JSON with a declared schema; a path that does not exist is empty.
+def read_json(spark: SparkSession, path: str, schema: str, *, strict: bool = False) -> DataFrame:
+    """Scan JSON lines with a declared schema; a path that does not exist is empty.
 
     A malformed line becomes a row of nulls, or with ``strict`` no row at all.
     """
-    reader = (
-        spark.read.schema(schema)
-        .option("multiLine", multiline)
-        .option("mode", "DROPMALFORMED" if strict else "PERMISSIVE")
-    )
+    mode = "DROPMALFORMED" if strict else "PERMISSIVE"
     try:
-        return reader.json(path)
+        return spark.read.schema(schema).option("mode", mode).json(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+        return _nothing(spark, schema, error)
 
 
-def read_runs(spark: SparkSession, base: str, file_name: str, schema: str) -> DataFrame:
-    """One dataset of all runs, with the ``run_id`` of each row."""
-    rows = read_json(spark, f"{base}/*/{file_name}", schema)
-    if "_metadata" not in _metadata_columns(rows):
-        return rows.withColumn("run_id", F.lit(None).cast("string"))
-    return rows.select("*", F.regexp_extract("_metadata.file_path", RUN_ID_PATTERN, 1).alias("run_id"))
+def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Scan small files that each hold one JSON array, on any number of lines, or
+    JSON lines. A file is read as a whole by one task: for dimensions only."""
+    try:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as error:
+        return _nothing(spark, schema, error)
+    text = F.trim("value")
+    record = f"STRUCT<{' '.join(schema.split())}>"
+    from_array = F.from_json(text, f"ARRAY<{record}>")
+    from_lines = F.transform(F.split(text, "\n"), lambda line: F.from_json(line, record))
+    records = F.when(F.startswith(text, F.lit("[")), from_array).otherwise(from_lines)
+    rows = files.select(F.explode(records).alias("record")).where(F.col("record").isNotNull())
+    return rows.select("record.*")
+
 
+def _nothing(spark: SparkSession, schema: str, error: AnalysisException) -> DataFrame:
+    if error.getCondition() != "PATH_NOT_FOUND":
+        raise error
+    return spark.createDataFrame([], schema)
 
-def _metadata_columns(rows: DataFrame) -> list[str]:
-    """Whether the hidden file column exists: it does not on an empty stand-in."""
+
+def read_runs(spark: SparkSession, base: str, file_name: str, schema: str) -> DataFrame:
+    """One dataset of all runs, with the ``run_id`` of each row."""
     try:
-        rows.select("_metadata")
-    except AnalysisException:
-        return []
-    return ["_metadata"]
+        rows = spark.read.schema(schema).json(f"{base}/*/{file_name}")
+    except AnalysisException as error:
+        return _nothing(spark, schema, error).withColumn("run_id", F.lit(None).cast("string"))
+    run = F.regexp_extract("_metadata.file_path", RUN_ID_PATTERN, 1)
+    return rows.select("*", run.alias("run_id"))
 
 
 def newest_run_id(spark: SparkSession, base: str) -> str:
@@ -65,5 +72,4 @@ def read_launches(spark: SparkSession, path: str, *, strict: bool = False) -> Da
 
 
 def read_rockets(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array per file; the dataset is a small dimension."""
-    return read_json(spark, path, schemas.ROCKET, multiline=True)
+    return read_documents(spark, path, schemas.ROCKET)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,15 +24,17 @@ def read_table(
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
-def typed_year(df: DataFrame) -> DataFrame:
-    """``launch_year`` as an integer; rows where it is none are dropped."""
-    year = F.col("launch_year").try_cast("int")
-    return df.withColumn("launch_year", year).where(F.col("launch_year").isNotNull())
+def typed(df: DataFrame, numbers: dict[str, str], **texts: Column) -> DataFrame:
+    """Numbers from whatever the table holds, null where it is none, and cleaned
+    texts; rows whose ``launch_year`` is no integer are dropped."""
+    columns = {"launch_year": "int", **numbers}
+    typed_numbers = {c: F.col(c).try_cast(t) for c, t in columns.items()}
+    return df.withColumns({**typed_numbers, **texts}).where(F.col("launch_year").isNotNull())
 
 
-def typed_numbers(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Numbers from whatever the table holds; what is no number becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in columns.items() if c in df.columns})
+def typed_year(df: DataFrame) -> DataFrame:
+    """``launch_year`` as an integer; rows where it is none are dropped."""
+    return typed(df, {})
 
 
 def load_metrics(df: DataFrame) -> DataFrame:
@@ -41,9 +43,7 @@ def load_metrics(df: DataFrame) -> DataFrame:
         "successful_launches": "bigint",
         "success_rate_pct": "double",
     }
-    return typed_numbers(typed_year(df), numbers).withColumn(
-        "provider_name", F.trim("provider_name")
-    )
+    return typed(df, numbers, provider_name=F.trim("provider_name"))
 
 
 def load_features(df: DataFrame) -> DataFrame:
@@ -53,14 +53,12 @@ def load_features(df: DataFrame) -> DataFrame:
         "wind_speed_10m_max": "double",
         "launch_image_count": "bigint",
     }
-    return typed_numbers(typed_year(df), numbers).withColumn(
-        "pad_country_code", F.upper(F.trim("pad_country_code"))
-    )
+    return typed(df, numbers, pad_country_code=F.upper(F.trim("pad_country_code")))
 
 
 def load_costs(df: DataFrame) -> DataFrame:
     numbers = {"estimated_cost_usd": "bigint", "cost_per_kg_leo_usd": "bigint", "is_success": "int"}
-    return typed_numbers(typed_year(df), numbers)
+    return typed(df, numbers)
 
 
 def load_images(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import json
 import pytest
 
 from skyledger import constants as K
-from skyledger.plans import gold, job, launch_frame, silver
+from skyledger.plans import gold, job, launch_frame, rockets, silver, status
 from skyledger.sources import landing, schemas, tables
 
 
@@ -261,6 +261,32 @@ def test_job_processes_the_newest_run(spark, tmp_path):
     assert [r["launch_id"] for r in again.collect()] == ["old"]
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_rockets_as_array_or_lines(spark, tmp_path, indent):
+    data = [{"id": "1", "name": "A", "flickr_images": ["x", "y"]}, {"id": "2", "name": "B", "stages": 2}]
+    (tmp_path / "array.json").write_text(json.dumps(data, indent=indent))
+    lines = tmp_path / "lines.json"
+    lines.mkdir()
+    (lines / "part-0.json").write_text("\n".join(json.dumps(r) for r in data) + "\n")
+    for path in ("array.json", "lines.json"):
+        raw = landing.read_rockets(spark, f"{tmp_path}/{path}")
+        assert sorted((r["id"], r["name"], r["stages"]) for r in raw.collect()) == [("1", "A", None), ("2", "B", 2)]
+        picture = rockets.rocket_first_image(raw, "A").collect()
+        assert [r["image_url"] for r in picture] == ["x"]
+    assert landing.read_rockets(spark, f"{tmp_path}/none.json").count() == 0
+
+
+def test_landed_run_has_a_manifest(spark, tmp_path):
+    datasets = {"a.jsonl": spark.range(3), "b.jsonl": spark.range(0)}
+    run = status.land_run(spark, str(tmp_path), datasets, {"pages": 5})
+    manifest = spark.read.schema("files MAP<STRING, BIGINT>, config STRUCT<pages: INT>").json(
+        f"{tmp_path}/{run}/{K.MANIFEST_FILE}"
+    )
+    row = manifest.first()
+    assert row["files"] == {"a.jsonl": 3, "b.jsonl": 0} and row["config"]["pages"] == 5
+    assert landing.newest_run_id(spark, str(tmp_path)) == run
+
+
 def test_unreadable_files_can_be_skipped(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).coalesce(1).write.parquet(path)
