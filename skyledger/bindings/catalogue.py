@@ -351,7 +351,8 @@ def landed_manifest(spark, sf_dir):
 def incremental_landing(spark, sf_dir):
     """Landed JSON files taken in by a stream, a few files at a time, as Silver rows."""
     base = new_workspace(spark, "stream")
-    sinks.write_json_lines(domain.raw_launches(spark, sf_dir), f"{base}/landing")
+    pages = domain.raw_launches(spark, sf_dir).repartition(12, "id")
+    sinks.write_json_lines(pages, f"{base}/landing")
     land_new_files(
         spark,
         f"{base}/landing",
@@ -480,23 +481,23 @@ over(
 )
 
 # --- Costs -------------------------------------------------------------------------------
-over("cost_kpis", lambda t: steady(costs.cost_kpis(t.costs), "mean_cost", "mean_cost_success"))
+over("cost_kpis", lambda t: costs.cost_kpis(t.costs))
 over("cost_by_provider", lambda t: costs.cost_by_provider(t.costs))
 over("cost_trend_top5", lambda t: costs.cost_trend_top5(t.costs))
 over("cost_by_year", lambda t: costs.cost_by_year(t.costs))
-over("cost_vs_success", lambda t: steady(costs.cost_vs_success(t.costs), "cost_m"))
-over("cost_category", lambda t: steady(costs.cost_category(t.costs), "mean_cost"))
+over("cost_vs_success", lambda t: costs.cost_vs_success(t.costs))
+over("cost_category", lambda t: steady(costs.cost_category(t.costs), "share"))
 over("cost_by_mission", lambda t: costs.cost_by_mission(t.costs))
 
 # --- Report ------------------------------------------------------------------------------
 over("context_overview", lambda t: steady(context.context_overview(t.metrics), "success_pct"))
 over("context_providers", lambda t: steady(context.context_providers(t.metrics), "mean_rate"))
-over("context_costs", lambda t: steady(context.context_costs(t.costs), "measure"))
+over("context_costs", lambda t: context.context_costs(t.costs))
 over("context_top_values", lambda t: context.context_top_values(t.frame))
 over("context_rockets", lambda t: context.context_rockets(t.rockets))
 over(
     "context_document",
-    lambda t: steady(context.context_document(t.metrics, t.costs, t.frame, t.rockets), "measure"),
+    lambda t: context.context_document(t.metrics, t.costs, t.frame, t.rockets),
 )
 
 # --- Table -------------------------------------------------------------------------------

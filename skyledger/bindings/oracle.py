@@ -324,7 +324,7 @@ def top_values(column: str, n: int) -> str:
 
 
 def mean_cost(part: str, column: str, tail: str = "") -> str:
-    return f"""SELECT '{part}' part, {column} AS label, round(avg(estimated_cost_usd), 6) measure FROM costs
+    return f"""SELECT '{part}' part, {column} AS label, avg(estimated_cost_usd) measure FROM costs
         WHERE {column} IS NOT NULL GROUP BY 2 {tail}"""
 
 
@@ -492,7 +492,8 @@ QUERIES = {
     "filter_options": """SELECT DISTINCT 'year' dim, cast(launch_year AS varchar) AS value FROM metrics
         UNION ALL SELECT DISTINCT 'provider', provider_name FROM metrics WHERE provider_name IS NOT NULL
         UNION ALL SELECT DISTINCT 'orbit', mission_orbit FROM frame WHERE mission_orbit IS NOT NULL
-        UNION ALL SELECT DISTINCT 'source', source FROM images""",
+        UNION ALL SELECT DISTINCT 'source', source FROM images
+        UNION ALL SELECT DISTINCT 'image_year', cast(launch_year AS varchar) FROM images""",
     "kpi_summary": """SELECT * FROM (SELECT cast(sum(total_launches) AS bigint) total, cast(sum(successful_launches) AS bigint) success,
           round_even(cast(sum(successful_launches) AS bigint) / cast(sum(total_launches) AS bigint) * 100, 1) rate,
           count(DISTINCT provider_name) providers FROM metrics)
@@ -577,8 +578,8 @@ QUERIES = {
         CASE source WHEN '{K.CATALOGUE_SOURCE}' THEN 'Launch Library' ELSE 'Spacex' END source_label FROM images
         ORDER BY launch_year, source, launch_id, image_url, launch_name NULLS FIRST LIMIT 20 OFFSET {20 * PAGE}""",
     "gallery_pages": f"""SELECT count(*) total, cast(greatest(1, ceil(count(*) / 20)) AS bigint) pages FROM images WHERE {FOUND}""",
-    "cost_kpis": """SELECT cast(sum(estimated_cost_usd) AS double) total_cost, round(avg(estimated_cost_usd), 6) mean_cost,
-        round(avg(CASE WHEN is_success = 1 THEN estimated_cost_usd END), 6) mean_cost_success,
+    "cost_kpis": """SELECT cast(sum(estimated_cost_usd) AS double) total_cost, avg(estimated_cost_usd) mean_cost,
+        avg(CASE WHEN is_success = 1 THEN estimated_cost_usd END) mean_cost_success,
         count(*) launches, count(DISTINCT provider_name) providers FROM costs""",
     "cost_by_provider": """SELECT provider_name, round_even(avg(estimated_cost_usd) / 1e6, 1) cost_m FROM costs
         WHERE provider_name IS NOT NULL GROUP BY 1""",
@@ -586,11 +587,12 @@ QUERIES = {
         WHERE provider_name IN (SELECT provider_name FROM costs WHERE provider_name IS NOT NULL GROUP BY 1
           ORDER BY avg(estimated_cost_usd) DESC, 1 LIMIT 5) GROUP BY 1, 2""",
     "cost_by_year": """SELECT launch_year, round_even(cast(sum(estimated_cost_usd) AS double) / 1e9, 3) cost_b FROM costs GROUP BY 1""",
-    "cost_vs_success": """SELECT provider_name, round(avg(estimated_cost_usd) / 1e6, 6) cost_m,
+    "cost_vs_success": """SELECT provider_name, avg(estimated_cost_usd) / 1e6 cost_m,
         round_even(cast(sum(is_success) AS bigint) / count(is_success) * 100, 1) success_pct, count(*) launches,
         cast(greatest(10, least(40, count(*) / 5)) AS double) marker_size, split_part(provider_name, ' ', 1) label
         FROM costs WHERE provider_name IS NOT NULL GROUP BY provider_name""",
-    "cost_category": """SELECT cost_category, count(*) launches, round(avg(estimated_cost_usd), 6) mean_cost FROM costs GROUP BY 1""",
+    "cost_category": """SELECT cost_category, count(*) launches, avg(estimated_cost_usd) mean_cost,
+        round(count(*) / sum(count(*)) OVER (), 6) share FROM costs GROUP BY 1""",
     "cost_by_mission": """SELECT mission_type, round_even(avg(estimated_cost_usd) / 1e6, 1) cost_m FROM costs
         WHERE mission_type IS NOT NULL GROUP BY 1""",
     "context_overview": OVERVIEW,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.numbers import clipped, exact_mean, half_even, money_sum, percentage
 from skyledger.functions.text import first_word
-from skyledger.operators.topk import keep_top
+from skyledger.operators.topk import keep_top, with_share
 
 COST = "estimated_cost_usd"
 
@@ -87,9 +87,11 @@ def cost_vs_success(costs: DataFrame) -> DataFrame:
 
 
 def cost_category(costs: DataFrame) -> DataFrame:
-    return _priced(costs, "cost_category").groupBy("cost_category").agg(
+    """Launches, their share and mean cost of each category."""
+    grouped = _priced(costs, "cost_category").groupBy("cost_category").agg(
         F.count(COST).alias("launches"), exact_mean(F.col(COST)).alias("mean_cost")
     )
+    return with_share(grouped, "launches")
 
 
 def cost_by_mission(costs: DataFrame) -> DataFrame:

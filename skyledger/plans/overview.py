@@ -63,5 +63,6 @@ def filter_options(metrics: DataFrame, features: DataFrame, images: DataFrame) -
         .unionByName(choices(metrics, "provider", "provider_name"))
         .unionByName(choices(features, "orbit", "mission_orbit"))
         .unionByName(choices(images, "source", "source"))
+        .unionByName(choices(images, "image_year", "launch_year"))
         .orderBy("dim", "value")
     )

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Settings every job relies on. Shuffle partition counts are left to adaptive
-#: execution, so the same code fits 60 thousand rows and 100 TB.
+#: Settings every job relies on. Adaptive execution merges small shuffle
+#: partitions and splits skewed ones, so counts need only be large enough.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,12 +17,39 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+MIB, TIB = 2**20, 2**40
 
-def build_session(app_name: str = "skyledger", master: str | None = None, **conf: str) -> SparkSession:
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Scan and shuffle sizes for an input of ``input_bytes``.
+
+    Shuffles start with partitions of about 256 MiB, assuming that a tenth of the
+    input survives column pruning; adaptive execution merges them where less
+    does. From 10 TiB on, scan tasks take 512 MiB, so that 100 TiB are read by some
+    200 thousand tasks and not by four times as many.
+    """
+    partitions = min(max(input_bytes // 10 // (256 * MIB), 200), 50_000)
+    scan = 512 if input_bytes >= 10 * TIB else 128
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB if scan == 512 else 64 * MIB),
+    }
+
+
+def build_session(
+    app_name: str = "skyledger",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the settings above; ``input_bytes`` sizes scans and shuffles,
+    ``conf`` has the last word."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

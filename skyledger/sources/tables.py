@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 def read_table(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     *,
     skip_corrupt: bool = False,
 ) -> DataFrame:

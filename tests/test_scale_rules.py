@@ -56,3 +56,10 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_sizing_grows_with_the_input():
+    small, large = session.sizing(10 * 2**30), session.sizing(100 * session.TIB)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(large["spark.sql.shuffle.partitions"]) == 40_960
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * session.MIB
