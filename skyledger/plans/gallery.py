@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.constants import MISSING_MARK
 from skyledger.functions.text import heading_case, matches_ignoring_case, nonempty
 
-PAGE_ORDER = ("launch_year", "source", "launch_id", "image_url")
+#: Cards are ordered by all that tells them apart; a missing name is an empty one.
+PAGE_ORDER = ("launch_year", "source", "launch_id", "image_url", "launch_name")
 
 
 def gallery_search(
@@ -37,19 +38,27 @@ def gallery_page(found: DataFrame, page: int, page_size: int = 20) -> DataFrame:
     """Cards of one page, counted from 0. Meant for the first pages: reaching page
     *p* sorts out the best ``p * page_size`` rows. To read on, use
     :func:`gallery_after`."""
-    rows = found.orderBy(*PAGE_ORDER, "launch_name")
+    rows = found.orderBy(*_page_key())
     return _cards(rows.offset(page * page_size).limit(page_size))
 
 
 def gallery_after(
-    found: DataFrame, last: tuple[int, str, str, str], page_size: int = 20
+    found: DataFrame,
+    last: tuple[int, str, str, str, str],
+    shown_alike: int = 1,
+    page_size: int = 20,
 ) -> DataFrame:
-    """The page that follows a known last card: a filter, at any depth. Cards that
-    repeat the last one exactly count as shown."""
-    here = F.struct(*[F.col(c) for c in PAGE_ORDER])
+    """The page that follows a known last card (its values in ``PAGE_ORDER``), at
+    any depth: earlier cards are filtered out, not sorted. Images may repeat, so
+    ``shown_alike`` says how many cards equal to the last one were shown."""
     shown = F.struct(*[F.lit(v).alias(c) for c, v in zip(PAGE_ORDER, last)])
-    rows = found.where(here > shown).orderBy(*PAGE_ORDER, "launch_name")
-    return _cards(rows.limit(page_size))
+    rows = found.where(F.struct(*_page_key()) >= shown).orderBy(*_page_key())
+    return _cards(rows.offset(shown_alike).limit(page_size))
+
+
+def _page_key() -> list[Column]:
+    *plain, name = PAGE_ORDER
+    return [F.col(c) for c in plain] + [F.coalesce(name, F.lit("")).alias(name)]
 
 
 def _cards(rows: DataFrame) -> DataFrame:

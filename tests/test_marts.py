@@ -89,9 +89,19 @@ def test_pages_cover_the_search_exactly_once(spark):
     paged = [r for p in range(3) for r in gallery.gallery_page(found, p).collect()]
     assert sorted(r["image_url"] for r in paged) == sorted(r["image_url"] for r in found.collect())
     assert gallery.gallery_page(found, 9).count() == 0
-    last = found.orderBy(*gallery.PAGE_ORDER).collect()[19]
-    after = gallery.gallery_after(found, tuple(last[c] for c in gallery.PAGE_ORDER))
-    assert [r["image_url"] for r in after.collect()] == [r["image_url"] for r in paged[20:40]]
+
+
+def test_reading_on_after_a_card_keeps_repeated_images(spark):
+    found = images(spark, 30).unionByName(images(spark, 30)).unionByName(images(spark, 7))
+    expected = [r["image_url"] for p in range(4) for r in gallery.gallery_page(found, p).collect()]
+    assert len(expected) == 67
+    ordered = sorted(
+        ((r["launch_year"], r["source"], r["launch_id"], r["image_url"], r["launch_name"] or "")
+         for r in found.collect()))
+    for shown in (1, 20, 33, 66):
+        last = ordered[shown - 1]
+        page = gallery.gallery_after(found, last, shown_alike=ordered[:shown].count(last)).collect()
+        assert [r["image_url"] for r in page] == expected[shown : shown + 20]
 
 
 def test_gallery_filters_and_cards(spark):

@@ -63,3 +63,15 @@ def test_sizing_grows_with_the_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(large["spark.sql.shuffle.partitions"]) == 40_960
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * session.MIB
+
+
+def test_scratch_data_goes_to_the_configured_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return "hdfs:///shared/" if key == "spark.checkpoint.dir" else default
+
+    class Session:
+        conf = Conf()
+
+    first, second = (session.new_workspace(Session(), "x") for _ in range(2))
+    assert first.startswith("hdfs:///shared/x-") and first != second
