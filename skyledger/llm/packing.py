@@ -17,13 +17,13 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ TEXTS = 256
 
 
 class _Encoder:
-    """Ids of whole texts, as little-endian 32-bit bytes.
+    """Ids of whole texts.
 
     The byte-level BPE of a ``.tiktoken`` rank file; the special token's string in a text
     is that token, as the ``tokenizers`` library has it by default. The tests hold the
@@ -60,6 +60,12 @@ class _Encoder:
         return np.array(self.encoding.encode_ordinary(text), "<u4")
 
 
+@cache
+def _encoder(vocabulary: str) -> _Encoder:
+    """One per Python worker, however many tasks it runs."""
+    return _Encoder(vocabulary)
+
+
 def token_pieces(
     docs: DataFrame,
     vocabulary: str | None = None,
@@ -77,7 +83,7 @@ def token_pieces(
     end = np.array([separator], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _Encoder(vocabulary)
+        encode = _encoder(vocabulary)
         for batch in (b for whole in batches for b in slices(whole, TEXTS)):
             rows = []
             for doc, text in zip(taken(batch, "doc_id"), taken(batch, "text"), strict=True):
@@ -176,28 +182,20 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     columns = pieces.columns
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        seen: dict[int, int] = {}
-        for batch in batches:
-            place = []
-            for length in batch.column("length").to_pylist():
-                place.append(seen.get(length, 0))
-                seen[length] = place[-1] + 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(place, pa.int64())],
-                [*batch.schema.names, "_part", "_place"],
-            )
-
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    numbered = written(pieces.mapInArrow(number, f"{kinds}, _part int, _place bigint"), "pieces")
+    numbered = written(
+        pieces.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "pieces"
+    )
     cells = numbered.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     histogram = {r["length"]: r["_n"] for r in cells.groupBy("length").agg(F.sum("_n").alias("_n")).collect()}
     if any(length is None or not 0 < length <= capacity for length in histogram):
         raise ValueError(f"a piece has no length from 1 to {capacity}")
     seats = _Seats(combinations(histogram, capacity))
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")
-    ranked = numbered.join(cells.select("length", "_part", before.alias("_before")), ["length", "_part"])
+    place = F.row_number().over(Window.partitionBy("length", "_part").orderBy("_row")) - 1
+    ranked = numbered.withColumn("_place", place.cast("bigint")).join(
+        cells.select("length", "_part", before.alias("_before")), ["length", "_part"]
+    )
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
