@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, packing, pii, url_filter
+from skyledger.llm import chat, packing, pii, toxicity, url_filter
 from skyledger.llm.common import table
 
 
@@ -71,6 +71,22 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Score from which on a document counts as toxic.
+TOXIC_FROM = 0.3
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(toxicity.fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their seat among sequences of 2048 tokens."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
@@ -81,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
     "op5_personal_data": op5_personal_data,
+    "op7_toxicity": op7_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 from skyledger.llm.sql import ORACLE  # noqa: E402, F401
