@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, packing, pii, toxicity, url_filter
+from skyledger.llm import chat, near_duplicates, packing, pii, toxicity, url_filter
 from skyledger.llm.common import table
 
 
@@ -53,6 +53,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document, at five words and 75 %."""
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and list of the personal data in every document."""
     found = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -96,6 +102,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_personal_data": op5_personal_data,
     "op7_toxicity": op7_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
