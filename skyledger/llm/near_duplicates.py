@@ -20,6 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ def _streamed(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         last = [batch.column(k)[-1].as_py() for k in keys]
         same = np.ones(batch.num_rows, bool)
         for k, v in zip(keys, last, strict=True):
-            same &= np.asarray(pa.compute.equal(batch.column(k), pa.scalar(v, batch.column(k).type)))
+            same &= np.asarray(pc.equal(batch.column(k), pa.scalar(v, batch.column(k).type)))
         cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
         if held and (cut or [held[-1].column(k)[-1].as_py() for k in keys] != last):
             yield pa.Table.from_batches([*held, batch.slice(0, cut)] if cut else held)
