@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, near_duplicates, packing, pii, toxicity, url_filter
+from skyledger.llm import chat, line_dedup, near_duplicates, packing, pii, toxicity, url_filter
 from skyledger.llm.common import table
 
 
@@ -93,6 +93,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that earlier ones, or itself, have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "removed", "text")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their seat among sequences of 2048 tokens."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_personal_data": op5_personal_data,
     "op7_toxicity": op7_toxicity,
+    "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 from skyledger.llm.sql import ORACLE  # noqa: E402, F401
