@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, line_dedup, near_duplicates, packing, pii, toxicity, url_filter
+from skyledger.llm import chat, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
 from skyledger.llm.common import table
+from skyledger.session import new_workspace
 
 
 #: Rules of the URL query.
@@ -53,6 +54,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it covers to 75 %."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document, at five words and 75 %."""
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -77,6 +83,13 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document, with cutoffs by language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.FEATURES[:5], "base_failed", "kept")
+
+
 #: Score from which on a document counts as toxic.
 TOXIC_FROM = 0.3
 
@@ -93,6 +106,24 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Capture time of page 0; others follow by a second each (the pages have none).
+FIRST_CAPTURE = 1_700_000_000
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's capture, read back from archives and in the order of their index."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.col("html").alias("payload"),
+        F.timestamp_seconds(FIRST_CAPTURE + F.coalesce("page_id", F.lit(0))).alias("timestamp"),
+    )
+    path = new_workspace(spark, "archives")
+    warc.write_archives(warc.with_revisits(pages), path)
+    index = warc.merged_index(warc.read_captures(spark, path))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that earlier ones, or itself, have."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,9 +139,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
+    "op3_decontamination": op3_decontamination,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_personal_data": op5_personal_data,
+    "op6_quality_rules": op6_quality_rules,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }

@@ -46,7 +46,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+WARC = r"""
+WITH payloads AS (
+  SELECT page_id, url, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes
+  FROM pages
+), largest AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top_id FROM payloads
+), cut AS (
+  SELECT *, coalesce(regexp_extract(url, '://([^/?#]*)', 1), '') AS raw_host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM largest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top_id THEN top_id END AS refers_to,
+       CASE WHEN url IS NULL THEN '' ELSE array_to_string(list_reverse(string_split(
+         translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.')), ',')
+         || ')' || path END AS url_key
+FROM cut
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
     "op2_chat_format": CHAT_FORMAT,
+    "op8_warc": WARC,
 }

@@ -69,11 +69,19 @@ def _starts(parts: list[bytes]) -> np.ndarray:
     return np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
 
 
-def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def separators(alphanumeric: bool = False) -> np.ndarray:
+    """Which bytes stand between words: white space, or with ``alphanumeric`` every ASCII
+    character that is no letter or digit."""
+    if not alphanumeric:
+        return _SEPARATOR
+    return np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words_of(raw: bytes, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end (byte offsets) of every word."""
     b = np.frombuffer(raw, np.uint8)
     inside = np.zeros(len(b) + 2, np.int8)
-    inside[1:-1] = ~_SEPARATOR[b]
+    inside[1:-1] = ~separator[b]
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
@@ -87,10 +95,10 @@ def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64)), starts, ends
 
 
-def word_lists(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+def word_lists(texts: list[str | None], separator: np.ndarray = _SEPARATOR) -> Iterator[tuple[int, np.ndarray]]:
     """(position of the text, hashes of its words in order) of every text."""
     for first, end, raw, begin in chunks(texts):
-        hashes, starts, _ = words_of(raw)
+        hashes, starts, _ = words_of(raw, separator)
         cuts = np.append(np.searchsorted(starts, begin), len(starts))
         for i in range(first, end):
             yield i, hashes[cuts[i - first] : cuts[i - first + 1]]
