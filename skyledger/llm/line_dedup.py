@@ -1,12 +1,13 @@
 """Repeated runs of lines, found by winnowing and removed, in DataFrame functions only.
 
-A line ends at a line break or at a punctuation mark with a space. A gram is the shortest
-run of lines, from a given line on, of at least GRAM_WORDS words; winnowing keeps, of the
-grams that start within WINDOW_WORDS words of each line, the one with the least hash.
-Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window and so
-the same fingerprint, wherever they stand. Fingerprints meet by hash; every later one
-names its first occurrence, the two documents are laid over each other at that distance,
-and the equal lines around the fingerprint, as far as they go both ways, are the run.
+A line ends at a line break or at a mark that ends a sentence, with a space. Winnowing
+keeps, of the lines that start within WINDOW_WORDS words of each line, the one with the
+least hash; its fingerprint is the hash of the lines from there on, up to GRAM_WORDS
+words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
+and so the same fingerprint, wherever they stand. Fingerprints meet by hash; every later
+one names its first occurrence, the two documents are laid over each other at that
+distance, and the equal lines around the fingerprint, as far as they go both ways, are
+the run.
 """
 
 from __future__ import annotations
@@ -18,25 +19,34 @@ from skyledger.llm.common import meet, written
 
 #: A repeated run of fewer words than GRAM_WORDS is never removed, one of GRAM_WORDS +
 #: WINDOW_WORDS or more always (a blank line counts as a word).
-GRAM_WORDS, WINDOW_WORDS = 32, 8
+GRAM_WORDS, WINDOW_WORDS = 28, 16
+#: Up to this size what is removed is sent to all tasks, and texts stay where they are;
+#: beyond it both are shuffled.
+BROADCAST_BYTES = 64 << 20
 
-_LINE_END = r"(?<=\n)|(?<=[^\p{L}\p{N}\s] )"
-_BLANK = " \t\n\v\f\r"
+_END = r"[.!?:;#*$%&|<>] "
+_MARK = "\x01"
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text; put together they are the text."""
-    return F.filter(F.split(text, _LINE_END), lambda line: line != "")
+    """The lines of a text; put together they are the text.
+
+    A mark set after every line end makes for a plain split; a text that holds the mark
+    itself is split between characters, which takes longer.
+    """
+    marked = F.split(F.regexp_replace(text, rf"({_END}|\n)", f"$1{_MARK}"), _MARK)
+    between = F.split(text, rf"(?<=\n)|(?<={_END})")
+    return F.filter(F.when(F.contains(text, F.lit(_MARK)), between).otherwise(marked), lambda line: line != "")
 
 
 def _hashed(text: Column) -> Column:
-    """Hash and number of words of every line, both without the white space around it."""
-    bare = F.transform(lines(text), lambda line: F.trim(line, F.lit(_BLANK)))
+    """Hash and number of words of every line, without its line break and outer spaces."""
+    bare = F.transform(lines(text), lambda line: F.trim(F.replace(line, F.lit("\n"), F.lit(""))))
     return F.transform(
         bare,
         lambda line: F.struct(
             F.xxhash64(line).alias("h"),
-            (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("w"),
+            (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("w"),
         ),
     )
 
@@ -54,30 +64,29 @@ def _once(df: DataFrame, name: str, value: str) -> DataFrame:
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
-    """(fp, k1, k2, doc, at) of the window minima of every document."""
-    grams = _once(
+    """(fp, row, doc, at) of the window minima of every document."""
+    chosen = _once(
         hashed,
-        "grams",
-        f"""transform(sequence(0, size(lines) - 1), i -> aggregate(
-                  slice(lines, i + 1, {GRAM_WORDS}),
+        "chosen",
+        f"""array_distinct(transform(sequence(0, size(lines) - 1), i -> aggregate(
+              slice(lines, i + 1, {WINDOW_WORDS}),
+              named_struct('w', 0, 'k', 0, 'h', cast(null as bigint), 'at', 0),
+              (a, x) -> if(a.w >= {WINDOW_WORDS}, a, named_struct(
+                'w', a.w + x.w, 'k', a.k + 1, 'h', least(a.h, x.h), 'at', if(a.h <= x.h, a.at, a.k))),
+              a -> i + a.at)))""",
+    )
+    grams = chosen.select(
+        "row",
+        "doc",
+        F.expr(
+            f"""transform(chosen, p -> aggregate(
+                  slice(lines, p + 1, {GRAM_WORDS}),
                   named_struct('w', 0, 'g', 0L),
                   (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'g', xxhash64(a.g, x.h))),
-                  a -> named_struct('g', if(a.w >= {GRAM_WORDS}, a.g, null), 'w', lines[i].w)))""",
-    )
-    chosen = _once(
-        grams,
-        "chosen",
-        f"""array_distinct(filter(transform(sequence(0, size(grams) - 1), i -> aggregate(
-                  slice(grams, i + 1, {WINDOW_WORDS}),
-                  named_struct('w', 0, 'k', 0, 'g', cast(null as bigint), 'at', -1),
-                  (a, x) -> if(a.w >= {WINDOW_WORDS}, a, named_struct(
-                    'w', a.w + x.w, 'k', a.k + 1, 'g', least(a.g, x.g),
-                    'at', if(x.g is not null and (a.g is null or x.g < a.g), a.k, a.at))),
-                  a -> if(a.at >= 0, i + a.at, -1))), p -> p >= 0))""",
+                  a -> named_struct('fp', if(a.w >= {GRAM_WORDS}, a.g, null), 'at', p)))"""
+        ).alias("found"),
     )
-    return chosen.select(
-        "k1", "k2", "doc", F.expr("transform(chosen, p -> named_struct('fp', grams[p].g, 'at', p))").alias("found")
-    ).select("k1", "k2", "doc", F.inline("found")).select("fp", "k1", "k2", "doc", "at")
+    return grams.select("row", "doc", F.inline("found")).where("fp is not null").select("fp", "row", "doc", "at")
 
 
 def _runs() -> Column:
@@ -97,50 +106,63 @@ def _runs() -> Column:
     )
 
 
+def _one_of_equal_rows(hashed: DataFrame) -> DataFrame:
+    """``hashed`` without rows whose id and text an earlier row has."""
+    narrow = hashed.select("k1", "k2", "row")
+    equal = written(
+        narrow.groupBy("k1", "k2").agg(F.min("row").alias("kept"), F.count("*").alias("n")).where("n > 1"), "equal-rows"
+    )
+    if equal.isEmpty():
+        return hashed
+    extra = meet(narrow, equal, ["k1", "k2"], "n", narrow.count(), "inner").where("row <> kept").select("row")
+    return written(hashed.join(written(extra, "extra-rows"), "row", "left_anti"), "lines")
+
+
 def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(k1, k2, runs) of the documents that repeat something, by ``_keys``; ``runs`` has
     (start, stop) of lines to remove, stop exclusive, and may overlap.
 
-    The first occurrence is the one with the smallest id (null ids first), then by text,
+    The first occurrence is the one with the smallest id (null ids first), then by row,
     then by place in the text.
     """
     k1, k2 = _keys(docs, id_column, text_column)
-    text = F.col(text_column).cast("string")
+    split = _hashed(F.col(text_column).cast("string"))
+    # the row number is stored with the lines, and so the same for all who read them
     hashed = written(
-        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), _hashed(text).alias("lines")).where(
-            f"aggregate(lines, 0, (a, x) -> a + x.w) >= {GRAM_WORDS}"
-        ),
+        docs.select(
+            k1.alias("k1"),
+            k2.alias("k2"),
+            F.col(id_column).alias("doc"),
+            F.explode(F.array(split)).alias("lines"),
+        )
+        .where(f"aggregate(lines, 0, (a, x) -> a + x.w) >= {GRAM_WORDS}")
+        .withColumn("row", F.monotonically_increasing_id()),
         "lines",
     )
+    hashed = _one_of_equal_rows(hashed)
     found = written(_fingerprints(hashed), "fingerprints")
     firsts = written(
         found.groupBy("fp")
-        .agg(F.min(F.struct("doc", "k1", "k2", "at")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1"),
+        .agg(F.min(F.struct("doc", "row", "at")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("fp", "n", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")),
         "first-occurrences",
     )
     met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
     pairs = written(
-        met.where("not (k1 = first.k1 and k2 = first.k2 and at = first.at)")
-        .select(
-            "k1",
-            "k2",
-            F.col("first.k1").alias("f1"),
-            F.col("first.k2").alias("f2"),
-            (F.col("at") - F.col("first.at")).alias("shift"),
-        )
+        met.where("row <> first_row or at <> first_at")
+        .select("row", "first_row", (F.col("at") - F.col("first_at")).alias("shift"))
         .distinct(),
         "overlays",
     )
-    whole = hashed.select("k1", "k2", "lines").dropDuplicates(["k1", "k2"])
-    uses = pairs.groupBy("f1", "f2").agg(F.count("*").alias("n"))
+    uses = pairs.groupBy("first_row").agg(F.count("*").alias("n"))
     sources = written(
-        whole.select(F.col("k1").alias("f1"), F.col("k2").alias("f2"), F.col("lines").alias("first_lines")).join(
-            uses, ["f1", "f2"]
-        ),
+        hashed.select(F.col("row").alias("first_row"), F.col("lines").alias("first_lines")).join(uses, "first_row"),
         "sources",
     )
-    laid = meet(pairs.join(whole, ["k1", "k2"]), sources, ["f1", "f2"], "n", pairs.count(), "inner")
+    laid = meet(
+        pairs.join(hashed.select("row", "k1", "k2", "lines"), "row"), sources, ["first_row"], "n", pairs.count(), "inner"
+    )
     runs = laid.select("k1", "k2", F.explode(_runs()).alias("run"))
     return written(runs.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "repeated-runs")
 
@@ -154,6 +176,9 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     docs = docs.drop("removed")
     runs = repeated_runs(docs, id_column, text_column)
+    size = runs.agg(F.coalesce(F.sum(64 + 24 * F.size("runs")), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        runs = F.broadcast(runs)
     k1, k2 = _keys(docs, id_column, text_column)
     joined = docs.withColumn("_k1", k1).withColumn("_k2", k2).join(
         runs.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("runs").alias("_runs")),
