@@ -153,7 +153,7 @@ class _Block:
 def _blocks(items: DataFrame, percent: int) -> Iterator[_Block]:
     """The benchmark in blocks of some BLOCK_WORDS words; one at a time is on the driver."""
     sized = items.select(
-        F.col("item_id"), F.col("text").cast("string").alias("text"), F.length("text").alias("chars")
+        F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"), F.length("text").alias("chars")
     ).where("text is not null")
     # a word has a character and a separator at least
     blocks = max(1, math.ceil((sized.agg(F.sum("chars")).first()[0] or 0) / 2 / BLOCK_WORDS))
@@ -173,7 +173,7 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
     """
     spark = docs.sparkSession
     doc, item = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (items, "item_id")))
-    kind = f"doc_id {doc}, item_id {item}, item_words bigint, covered bigint, tiles bigint"
+    kind = f"doc_id {doc}, item_id string, item_words bigint, covered bigint, tiles bigint"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     schema = spark.createDataFrame([], kind).schema
     found = None
@@ -192,13 +192,17 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
                     if out:
                         place, *columns = zip(*out, strict=True)
                         yield pa.RecordBatch.from_arrays(
-                            [batch.column("doc_id").take(pa.array(place)), *(pa.array(c) for c in columns)],
+                            [
+                                batch.column("doc_id").take(pa.array(place)),
+                                pa.array(columns[0], pa.string()),
+                                *(pa.array(c, pa.int64()) for c in columns[1:]),
+                            ],
                             ["doc_id", "item_id", "item_words", "covered", "tiles"],
                         )
 
         some = rows.mapInArrow(search, schema)
         found = some if found is None else found.unionByName(some)
-    return found
+    return found.withColumn("item_id", F.col("item_id").cast(item))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
