@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from skyledger.llm.common import written
 
 #: Allowed share of good documents rejected in a stratum, and the chance of exceeding it.
 RISK, DELTA = 0.02, 0.05
@@ -157,16 +158,16 @@ def certified_cutoffs(labelled: DataFrame, risk: float = RISK, delta: float = DE
     )
     whole = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.map_from_entries(
         F.collect_list(F.struct("step", "n"))).alias("by_step"))
-    tests = whole.agg(F.count("*") * STEPS)  # every cutoff of every rule and stratum
+    whole = written(whole, "label-counts")
+    tests = max(1, whole.count() * STEPS)  # every cutoff of every rule and stratum
     tried = whole.withColumn("cutoff", F.explode(F.sequence(F.lit(1), F.lit(STEPS))))
     rejected = tried.withColumn(
         "rejected",
         F.expr("aggregate(map_values(map_filter(by_step, (s, n) -> s >= cutoff)), 0L, (a, n) -> a + n)"),
     )
     share = risk / len(RULES)
-    passed = rejected.join(tests.toDF("tests"), F.lit(True)).where(
-        binomial_at_most(F.col("rejected").cast("double"), F.col("total").cast("double"), share)
-        <= F.lit(delta) / F.col("tests")
+    passed = rejected.where(
+        binomial_at_most(F.col("rejected").cast("double"), F.col("total").cast("double"), share) <= delta / tests
     )
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
@@ -179,39 +180,39 @@ def judge(
     risk: float = RISK,
     delta: float = DELTA,
 ) -> DataFrame:
-    """``docs`` with FEATURES, ``base_failed``, ``rejected_by`` (rules) and ``kept``.
+    """The rows of ``docs`` without the text, with FEATURES, ``base_failed``,
+    ``rejected_by`` (rules) and ``kept``.
 
     ``labels`` has doc_id and quality; a document labelled good once is good, and rows
     without an id or label do not count. A null stratum is a stratum; one without enough
-    labels has no cutoffs. Cutoffs are a row per stratum, and a stratum needs some hundred
-    labelled documents to have any, so their side of the join is small.
+    labels has no cutoffs. Texts are measured once and not shuffled. Cutoffs are a row per
+    stratum, and a stratum needs some hundred labelled documents to have any, so their
+    side of the join is small.
     """
     stratum = F.coalesce(F.col(stratum_column).cast("string"), F.lit("\0none"))
-    measured = features(docs, text_column)
+    measured = written(
+        features(docs, text_column).drop(text_column).withColumn("_stratum", stratum).withColumn("_steps", steps()),
+        "measures",
+    )
     known = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg((F.max("quality") > 0).alias("good"))
     )
-    labelled = (
-        features(docs.select("doc_id", text_column, stratum_column).join(known.where("good"), "doc_id"), text_column)
-        .withColumn("stratum", stratum)
-        .withColumn("steps", steps())
-    )
+    labelled = measured.select(
+        "doc_id", F.col("_stratum").alias("stratum"), F.col("_steps").alias("steps")
+    ).join(known, "doc_id")
     cutoffs = certified_cutoffs(labelled, risk, delta).groupBy("stratum").agg(
         F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")
     )
-    met = measured.withColumn("_stratum", stratum).join(
-        cutoffs.withColumnRenamed("stratum", "_stratum"), "_stratum", "left"
-    )
-    reached = steps()
+    met = measured.join(cutoffs.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
     fired = F.filter(
-        F.array(*(F.when(reached[name] >= F.col("_cutoffs")[name], F.lit(name)) for name in RULES)),
+        F.array(*(F.when(F.col(f"_steps.{name}") >= F.col("_cutoffs")[name], F.lit(name)) for name in RULES)),
         lambda x: x.isNotNull(),
     )
     return (
         met.withColumn("base_failed", base_failed())
         .withColumn("rejected_by", fired)
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
-        .drop("_stratum", "_cutoffs")
+        .drop("_stratum", "_steps", "_cutoffs")
     )
