@@ -39,16 +39,18 @@ def lines(text: Column) -> Column:
     return F.filter(F.when(F.contains(text, F.lit(_MARK)), between).otherwise(marked), lambda line: line != "")
 
 
-def _hashed(text: Column) -> Column:
-    """Hash and number of words of every line, without its line break and outer spaces."""
-    bare = F.transform(lines(text), lambda line: F.trim(F.replace(line, F.lit("\n"), F.lit(""))))
-    return F.transform(
-        bare,
-        lambda line: F.struct(
-            F.xxhash64(line).alias("h"),
-            (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("w"),
-        ),
-    )
+#: More words of a line than this make no difference; a byte holds the number.
+_MOST_WORDS = 100
+
+
+def _bare(text: Column) -> Column:
+    """The lines without line breaks and outer spaces."""
+    return F.transform(lines(text), lambda line: F.trim(F.replace(line, F.lit("\n"), F.lit(""))))
+
+
+def _words(line: Column) -> Column:
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
 
 
 def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column]:
@@ -64,43 +66,49 @@ def _once(df: DataFrame, name: str, value: str) -> DataFrame:
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
-    """(fp, row, doc, at) of the window minima of every document."""
+    """(fp, row, doc, at) of the window minima of every document.
+
+    A window has as many lines as start within WINDOW_WORDS words, four at most.
+    """
+
+    def started(lines_before: int) -> str:
+        within = " + ".join(["w[i]", *(f"coalesce(get(w, i + {k}), 0Y)" for k in range(1, lines_before))])
+        return f"when {within} >= {WINDOW_WORDS} then {lines_before}"
+
+    width = f"case {' '.join(started(k) for k in range(1, 4))} else 4 end"
+    windows = _once(hashed, "windows", f"transform(h, (x, i) -> slice(h, i + 1, {width}))")
     chosen = _once(
-        hashed,
+        windows,
         "chosen",
-        f"""array_distinct(transform(sequence(0, size(lines) - 1), i -> aggregate(
-              slice(lines, i + 1, {WINDOW_WORDS}),
-              named_struct('w', 0, 'k', 0, 'h', cast(null as bigint), 'at', 0),
-              (a, x) -> if(a.w >= {WINDOW_WORDS}, a, named_struct(
-                'w', a.w + x.w, 'k', a.k + 1, 'h', least(a.h, x.h), 'at', if(a.h <= x.h, a.at, a.k))),
-              a -> i + a.at)))""",
+        "array_distinct(transform(windows, (x, i) -> i + cast(array_position(x, array_min(x)) as int) - 1))",
     )
-    grams = chosen.select(
-        "row",
-        "doc",
-        F.expr(
-            f"""transform(chosen, p -> aggregate(
-                  slice(lines, p + 1, {GRAM_WORDS}),
-                  named_struct('w', 0, 'g', 0L),
-                  (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'g', xxhash64(a.g, x.h))),
-                  a -> named_struct('fp', if(a.w >= {GRAM_WORDS}, a.g, null), 'at', p)))"""
-        ).alias("found"),
-    )
-    return grams.select("row", "doc", F.inline("found")).where("fp is not null").select("fp", "row", "doc", "at")
+    zipped = _once(chosen, "lines", "arrays_zip(h, w)")
+
+    def gram(most: int) -> str:
+        return f"""aggregate(
+            slice(lines, p + 1, {most}),
+            named_struct('w', 0, 'g', 0L),
+            (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'g', xxhash64(a.g, x.h))),
+            a -> if(a.w >= {GRAM_WORDS}, a.g, null))"""
+
+    # most grams end within eight lines; every line has a word at least
+    found = f"transform(chosen, p -> named_struct('fp', coalesce({gram(8)}, {gram(GRAM_WORDS)}), 'at', p))"
+    rows = zipped.select("row", "doc", F.inline(F.expr(found)))
+    return rows.where("fp is not null").select("fp", "row", "doc", "at")
 
 
 def _runs() -> Column:
-    """The maximal runs of lines of ``lines`` that equal those of ``first_lines``
-    ``shift`` lines before, of at least GRAM_WORDS words, as (start, stop)."""
+    """The maximal runs of lines of ``h`` that equal those of ``first_h`` ``shift`` lines
+    before, of at least GRAM_WORDS words, as (start, stop)."""
     closed = f"if(a.w >= {GRAM_WORDS}, concat(a.runs, array(named_struct('start', a.s, 'stop', i))), a.runs)"
     ended = closed.replace("'stop', i", "'stop', a.n")
     none = "cast(array() as array<struct<start: int, stop: int>>)"
     return F.expr(
-        f"""if(greatest(0, shift) < least(size(lines), size(first_lines) + shift), aggregate(
-              sequence(greatest(0, shift), least(size(lines), size(first_lines) + shift) - 1),
+        f"""if(greatest(0, shift) < least(size(h), size(first_h) + shift), aggregate(
+              sequence(greatest(0, shift), least(size(h), size(first_h) + shift) - 1),
               named_struct('s', -1, 'w', 0, 'n', 0, 'runs', {none}),
-              (a, i) -> if(lines[i].h = first_lines[i - shift].h,
-                named_struct('s', if(a.s < 0, i, a.s), 'w', a.w + lines[i].w, 'n', i + 1, 'runs', a.runs),
+              (a, i) -> if(h[i] = first_h[i - shift],
+                named_struct('s', if(a.s < 0, i, a.s), 'w', a.w + w[i], 'n', i + 1, 'runs', a.runs),
                 named_struct('s', -1, 'w', 0, 'n', i + 1, 'runs', {closed})),
               a -> {ended}), {none})"""
     )
@@ -126,17 +134,19 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     then by place in the text.
     """
     k1, k2 = _keys(docs, id_column, text_column)
-    split = _hashed(F.col(text_column).cast("string"))
+    bare = F.explode(F.array(_bare(F.col(text_column).cast("string")))).alias("bare")
     # the row number is stored with the lines, and so the same for all who read them
     hashed = written(
-        docs.select(
-            k1.alias("k1"),
-            k2.alias("k2"),
-            F.col(id_column).alias("doc"),
-            F.explode(F.array(split)).alias("lines"),
+        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), bare)
+        .select(
+            "k1",
+            "k2",
+            "doc",
+            F.transform("bare", lambda line: F.xxhash64(line)).alias("h"),
+            F.transform("bare", _words).alias("w"),
+            F.monotonically_increasing_id().alias("row"),
         )
-        .where(f"aggregate(lines, 0, (a, x) -> a + x.w) >= {GRAM_WORDS}")
-        .withColumn("row", F.monotonically_increasing_id()),
+        .where("size(h) > 0"),
         "lines",
     )
     hashed = _one_of_equal_rows(hashed)
@@ -157,11 +167,11 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     uses = pairs.groupBy("first_row").agg(F.count("*").alias("n"))
     sources = written(
-        hashed.select(F.col("row").alias("first_row"), F.col("lines").alias("first_lines")).join(uses, "first_row"),
+        hashed.select(F.col("row").alias("first_row"), F.col("h").alias("first_h")).join(uses, "first_row"),
         "sources",
     )
     laid = meet(
-        pairs.join(hashed.select("row", "k1", "k2", "lines"), "row"), sources, ["first_row"], "n", pairs.count(), "inner"
+        pairs.join(hashed.select("row", "k1", "k2", "h", "w"), "row"), sources, ["first_row"], "n", pairs.count(), "inner"
     )
     runs = laid.select("k1", "k2", F.explode(_runs()).alias("run"))
     return written(runs.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "repeated-runs")
