@@ -153,9 +153,11 @@ def load_metrics(spark, sf_dir):
     """Metrics as loosely typed text: padded names, one year that is no number."""
     year = F.col("launch_year").cast("string")
     dirty = Tables(spark, sf_dir).gold_metrics.select(
-        F.when(F.col("launch_year") == 1998, F.concat(year, F.lit("x"))).otherwise(year).alias("launch_year"),
+        F.when(F.col("launch_year") == 1998, F.concat(year, F.lit("x")))
+        .when(F.col("launch_year") % 2 == 0, F.concat(year, F.lit(".0")))
+        .otherwise(year).alias("launch_year"),
         F.concat(F.lit("  "), "provider_name", F.lit(" ")).alias("provider_name"),
-        F.col("total_launches").cast("string").alias("total_launches"),
+        F.col("total_launches").cast("double").cast("string").alias("total_launches"),
         F.when(F.col("successful_launches") % 2 == 0, "many")
         .otherwise(F.col("successful_launches").cast("string")).alias("successful_launches"),
         "success_rate_pct",
@@ -169,8 +171,9 @@ def load_features(spark, sf_dir):
     dirty = Tables(spark, sf_dir).gold_features.withColumns(
         {
             "pad_country_code": F.concat(F.lit(" "), F.lower("pad_country_code"), F.lit(" ")),
-            "is_success": F.col("is_success").cast("string"),
-            "launch_image_count": F.col("launch_image_count").cast("string"),
+            "launch_year": F.col("launch_year").cast("double").cast("string"),
+            "is_success": F.concat(F.col("is_success").cast("string"), F.lit(".0")),
+            "launch_image_count": F.col("launch_image_count").cast("double").cast("string"),
         }
     )
     return tables.load_features(dirty).select(
@@ -189,7 +192,7 @@ def load_costs(spark, sf_dir):
     cost = F.col("estimated_cost_usd")
     dirty = Tables(spark, sf_dir).priced.withColumn(
         "estimated_cost_usd",
-        F.when(cost == K.DEFAULT_COST_USD, "n/a").otherwise(cost.cast("string")),
+        F.when(cost == K.DEFAULT_COST_USD, "n/a").otherwise(F.concat(cost.cast("string"), F.lit(".0"))),
     )
     return tables.load_costs(dirty)
 
@@ -248,6 +251,54 @@ def weather_targets(spark, sf_dir):
     )
 
 
+@query
+def weather_targets_budget(spark, sf_dir):
+    """The first fifty places and dates to sample, where some launches state a month or
+    a time only."""
+    order = F.col("id").cast("bigint")
+    sites = launch_frame.launch_sites(
+        domain.vendor_launches(spark, sf_dir), domain.launchpads(spark, sf_dir)
+    ).withColumn(
+        "net",
+        F.when(order % 3 == 0, F.substring("net", 1, 7)).when(order % 3 == 1, F.lit("10:00")).otherwise(F.col("net")),
+    )
+    return launch_frame.weather_targets(sites, max_samples=50).withColumnsRenamed(
+        {"latitude": "lat", "longitude": "lon"}
+    )
+
+
+@query
+def tolerant_scan(spark, sf_dir):
+    """Launches landed as JSON lines of which some are cut off, blank, no object, or have
+    fields of other types."""
+    path = new_workspace(spark, "tolerant")
+    order = F.col("id").cast("bigint")
+    whole = F.to_json(F.struct("id", "name", "net", "status"))
+    retyped = F.to_json(
+        F.struct("id", "name", "net", F.lit("soon").alias("status"), F.array("id").alias("image"))
+    )
+    line = (
+        F.when(order % 6 == 0, F.substring(whole, 1, 20))
+        .when(order % 6 == 1, F.concat(whole, F.lit("\n\n   ")))
+        .when(order % 6 == 2, retyped)
+        .when(order % 6 == 3, F.lit("[1, 2]"))
+        .otherwise(whole)
+    )
+    domain.raw_launches(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return landing.read_launches(spark, path, strict=True).select(
+        "id", "name", "net", F.col("status.name").alias("status_name"), "image"
+    )
+
+
+@query
+def gallery_images(spark, sf_dir):
+    """Images of the gallery where Silver has none: they come from the landed records."""
+    t = Tables(spark, sf_dir)
+    raw = launch_frame.images_from_raw(t.raw("raw_catalogue_images"), t.raw("raw_vendor_images"))
+    chosen = launch_frame.choose_images(tables.load_images(t.images.where("launch_year < 0")), raw)
+    return chosen.select("source", "launch_name", "launch_year", "image_url")
+
+
 over("latest_run_snapshot", lambda t: latest_run(t.raw("run_records")))
 over("runs_dedup_latest", lambda t: newest_per_key(t.raw("run_records"), "launch_id"))
 
@@ -284,7 +335,7 @@ def table_partitions(spark, sf_dir):
             "images": (t.images, "source"),
             "weather": (t.weather, "weather_year"),
             "company_year_metrics": (t.gold_metrics, "launch_year"),
-            "launch_features": (t.launches, "launch_year"),
+            "launch_features": (t.gold_features, "launch_year"),
         }
     )
 
@@ -314,7 +365,7 @@ def rockets_roundtrip(spark, sf_dir):
 
 
 def landed_run(spark: SparkSession, sf_dir: str, base: str) -> str:
-    """Write one RAW run with the five datasets the batch job reads."""
+    """Write one RAW run: the five datasets the batch job reads, and the three it keeps."""
     datasets = {
         K.LAUNCHES_FILE: domain.raw_launches,
         K.WEATHER_FILE: domain.raw_weather,
@@ -323,6 +374,8 @@ def landed_run(spark: SparkSession, sf_dir: str, base: str) -> str:
         K.VENDOR_IMAGES_FILE: domain.raw_vendor_images,
     }
     built = {name: build(spark, sf_dir) for name, build in datasets.items()}
+    for name, source in ((K.PAYLOADS_FILE, "part"), (K.CORES_FILE, "customer"), (K.SHIPS_FILE, "supplier")):
+        built[name] = domain.table(spark, sf_dir, source)
     return status.land_run(spark, base, built, {"launch_library_synthetic_mode": False})
 
 
@@ -347,12 +400,24 @@ def landed_manifest(spark, sf_dir):
     return manifest.select(F.explode("files").alias("dataset", "rows"))
 
 
+@query
+def landed_status(spark, sf_dir):
+    """Lines of each dataset in the newest five of seven run folders."""
+    base = new_workspace(spark, "runs")
+    launches = domain.raw_launches(spark, sf_dir)
+    for month in range(1, 8):
+        part = launches.where((F.col("id").cast("bigint") % 7) < month)
+        run = {K.LAUNCHES_FILE: part} | ({K.ROCKETS_FILE: domain.raw_rockets(spark, sf_dir)} if month % 2 else {})
+        status.land_run(spark, base, run, {"month": month}, run_id=f"2024-{month:02d}")
+    return status.landed_status(spark, base, [K.LAUNCHES_FILE, K.ROCKETS_FILE])
+
+
 @query
 def incremental_landing(spark, sf_dir):
     """Landed JSON files taken in by a stream, a few files at a time, as Silver rows."""
     base = new_workspace(spark, "stream")
-    pages = domain.raw_launches(spark, sf_dir).repartition(12, "id")
-    sinks.write_json_lines(pages, f"{base}/landing")
+    pages = domain.raw_launches(spark, sf_dir)
+    sinks.write_json_lines(pages, f"{base}/landing", records_per_file=1_000)
     land_new_files(
         spark,
         f"{base}/landing",
@@ -423,11 +488,27 @@ over(
     ),
 )
 over("hero_summary", lambda t: overview.hero_summary(t.metrics))
+over(
+    "filtered_kpi",
+    lambda t: steady(
+        overview.kpi_summary(global_filter(t.metrics, **FILTER), global_filter(t.features, **FILTER)),
+        "mean_temperature",
+        "mean_wind",
+    ),
+)
+over(
+    "filtered_hero",
+    lambda t: overview.hero_summary(global_filter(t.metrics, **FILTER), FILTER["first_year"], FILTER["last_year"]),
+)
 
 # --- History ---------------------------------------------------------------------------
 over("yearly_activity", lambda t: steady(history.yearly_activity(t.metrics), "rolling"))
 over("top_provider_trend", lambda t: history.top_provider_trend(t.metrics))
 over("season_heatmap", lambda t: history.season_heatmap(t.launches, t.metrics))
+over(
+    "season_heatmap_filtered",
+    lambda t: history.season_heatmap(t.launches, global_filter(t.metrics, **FILTER)),
+)
 
 # --- Providers ---------------------------------------------------------------------------
 over("provider_stats", lambda t: providers.provider_stats(t.metrics))

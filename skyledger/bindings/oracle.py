@@ -442,6 +442,17 @@ QUERIES = {
           || CASE WHEN photo_a IS NULL THEN [] ELSE [photo_a, photo_b] END urls FROM vendor)""",
     "weather_targets": """SELECT id launch_id, strftime(o_orderdate, '%Y-%m-%d') date, lat, lon
         FROM vendor JOIN pads USING (launchpad) WHERE lat IS NOT NULL""",
+    "weather_targets_budget": """SELECT id launch_id, strftime(o_orderdate, '%Y-%m-%d') date, lat, lon
+        FROM vendor JOIN pads USING (launchpad) WHERE lat IS NOT NULL AND cast(id AS bigint) % 3 = 2
+        ORDER BY date, launch_id LIMIT 50""",
+    "tolerant_scan": """SELECT id, name, net, CASE WHEN cast(id AS bigint) % 6 <> 2 AND has_status THEN 'Status ' || o_orderstatus END status_name,
+          CASE WHEN cast(id AS bigint) % 6 = 2 THEN '["' || id || '"]' END image
+        FROM landed WHERE cast(id AS bigint) % 6 NOT IN (0, 3)""",
+    "landed_status": f"""SELECT run_id, dataset, CASE WHEN dataset = '{K.ROCKETS_FILE}'
+          THEN CASE WHEN month % 2 = 1 THEN (SELECT count(DISTINCT p_brand) FROM part) ELSE 0 END
+          ELSE (SELECT count(*) FROM orders WHERE o_orderkey % 7 < month) END AS rows
+        FROM (SELECT '2024-0' || month run_id, month FROM (SELECT unnest([3, 4, 5, 6, 7]) AS month))
+        CROSS JOIN (SELECT unnest(['{K.LAUNCHES_FILE}', '{K.ROCKETS_FILE}']) AS dataset)""",
     "latest_run_snapshot": "SELECT * FROM run_records WHERE run_id = (SELECT max(run_id) FROM run_records)",
     "runs_dedup_latest": """SELECT * FROM run_records
         QUALIFY row_number() OVER (PARTITION BY launch_id ORDER BY run_id DESC) = 1""",
@@ -457,7 +468,10 @@ QUERIES = {
         UNION ALL SELECT '{K.WEATHER_FILE}', count(*) FROM events
         UNION ALL SELECT '{K.ROCKETS_FILE}', count(DISTINCT p_brand) FROM part
         UNION ALL SELECT '{K.CATALOGUE_IMAGES_FILE}', count(*) FROM lineitem WHERE l_returnflag <> 'N'
-        UNION ALL SELECT '{K.VENDOR_IMAGES_FILE}', count(*) FROM lineitem WHERE l_returnflag = 'N'""",
+        UNION ALL SELECT '{K.VENDOR_IMAGES_FILE}', count(*) FROM lineitem WHERE l_returnflag = 'N'
+        UNION ALL SELECT '{K.PAYLOADS_FILE}', count(*) FROM part
+        UNION ALL SELECT '{K.CORES_FILE}', count(*) FROM customer
+        UNION ALL SELECT '{K.SHIPS_FILE}', count(*) FROM supplier""",
     "data_status": """SELECT run_id, dataset, count(record) AS rows FROM (
           SELECT run_id FROM (SELECT run_id FROM run_records UNION SELECT strftime(l_shipdate, '%Y%m') FROM lineitem WHERE l_returnflag = 'N'
             UNION SELECT strftime(ts, '%Y%m') FROM events) ORDER BY run_id DESC LIMIT 5)
@@ -469,7 +483,7 @@ QUERIES = {
         UNION ALL SELECT 'images', count(DISTINCT source) FROM images
         UNION ALL SELECT 'weather', count(DISTINCT weather_year) FROM weather
         UNION ALL SELECT 'company_year_metrics', count(DISTINCT coalesce(launch_year, -1)) FROM gold_metrics
-        UNION ALL SELECT 'launch_features', count(DISTINCT coalesce(launch_year, -1)) FROM launches""",
+        UNION ALL SELECT 'launch_features', count(DISTINCT coalesce(launch_year, -1)) FROM gold_features""",
     "parquet_roundtrip": "SELECT * FROM costs",
     "json_roundtrip": "SELECT * FROM launches",
     "rockets_roundtrip": "SELECT * FROM rockets",
@@ -503,6 +517,15 @@ QUERIES = {
     "hero_summary": """SELECT cast(sum(total_launches) AS bigint) total,
         round_even(cast(sum(successful_launches) AS bigint) / cast(sum(total_launches) AS bigint) * 100, 1) rate,
         cast(max(launch_year) - min(launch_year) + 1 AS int) AS years, count(DISTINCT provider_name) providers FROM metrics""",
+    "filtered_kpi": f"""SELECT * FROM (SELECT cast(sum(total_launches) AS bigint) total, cast(sum(successful_launches) AS bigint) success,
+          round_even(cast(sum(successful_launches) AS bigint) / cast(sum(total_launches) AS bigint) * 100, 1) rate,
+          count(DISTINCT provider_name) providers FROM metrics WHERE {CHOSEN})
+        CROSS JOIN (SELECT count(DISTINCT pad_country_code) countries, count(DISTINCT mission_orbit) orbits,
+          round(avg(temperature_2m_mean), 6) mean_temperature, round(avg(wind_speed_10m_max), 6) mean_wind,
+          count(*) feature_rows FROM features WHERE {CHOSEN} AND mission_orbit IN ({quoted(FILTER['orbits'])}))""",
+    "filtered_hero": f"""SELECT cast(sum(total_launches) AS bigint) total,
+        round_even(cast(sum(successful_launches) AS bigint) / cast(sum(total_launches) AS bigint) * 100, 1) rate,
+        {FILTER['last_year'] - FILTER['first_year'] + 1} AS years, count(DISTINCT provider_name) providers FROM metrics WHERE {CHOSEN}""",
     "yearly_activity": """SELECT year, total, success, greatest(total - success, 0) failed, rate,
         round(avg(rate) OVER (ORDER BY year ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) rolling,
         cast(sum(total) OVER (ORDER BY year ROWS UNBOUNDED PRECEDING) AS bigint) cumulative,
@@ -513,6 +536,13 @@ QUERIES = {
     "season_heatmap": "SELECT cast(year(launch_date) AS int) AS year, "
     + ", ".join(f"count(CASE WHEN month(launch_date) = {m} THEN 1 END) m{m}" for m in range(1, 13))
     + " FROM launches WHERE launch_date IS NOT NULL GROUP BY 1",
+    "season_heatmap_filtered": "SELECT cast(year(launch_date) AS int) AS year, "
+    + ", ".join(f"count(CASE WHEN month(launch_date) = {m} THEN 1 END) m{m}" for m in range(1, 13))
+    + " FROM launches WHERE launch_date IS NOT NULL AND year(launch_date) BETWEEN (SELECT min(launch_year) FROM metrics WHERE "
+    + CHOSEN
+    + ") AND (SELECT max(launch_year) FROM metrics WHERE "
+    + CHOSEN
+    + ") GROUP BY 1",
     "provider_stats": "SELECT * FROM stats",
     "provider_top12": "SELECT provider_name, total FROM stats ORDER BY total DESC, 1 LIMIT 12",
     "provider_rate_top10": "SELECT provider_name, rate FROM stats ORDER BY total DESC, 1 LIMIT 10",
@@ -614,4 +644,6 @@ QUERIES = {
         launch_image_count "{EXPLORER['launch_image_count']}" FROM features""",
 }
 
+QUERIES["gallery_images"] = f"SELECT source, launch_name, launch_year, image_url FROM ({QUERIES['images_from_raw']})"
+
 ORACLE = {name: with_ctes(sql) for name, sql in QUERIES.items()}

@@ -11,11 +11,17 @@ def instant(value: Column) -> Column:
     return F.try_to_timestamp(value)
 
 
+def iso_instant(value: Column) -> Column:
+    """Timestamp of a text that starts with a whole ISO date. Spark would also read a
+    year and month, or a time alone as one of today."""
+    return F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}"), instant(value))
+
+
 def stated_date(value: Column) -> Column:
     """``yyyy-MM-dd`` as written in the text, in the offset the text states.
 
     Formatting the parsed timestamp would shift it to the session zone."""
-    return F.when(instant(value).isNotNull(), F.substring(value, 1, 10))
+    return F.when(iso_instant(value).isNotNull(), F.substring(value, 1, 10))
 
 
 def iso_utc(value: Column) -> Column:

@@ -39,18 +39,26 @@ def fan_out_left_join(
     of hot keys are dealt out over parts, with the left row in every part; a hot
     key has matches by definition, hence an inner join. Without hot keys adaptive
     execution drops that branch. Broadcasting the hot keys is safe: they are at
-    most ``1 / rows_per_task`` of the right rows. ``right`` should come from a
-    scan, which deals the same way when a task is run again.
+    most ``1 / rows_per_task`` of the right rows. Rows are dealt by a hash of the row,
+    so a task that runs again deals the same way. Left rows without a key match nothing
+    and stay where they are.
     """
     hot = F.broadcast(hot_keys(right, key, rows_per_task))
     cool_right = right.join(hot, key, "left_anti")
-    usual = left.join(hot, key, "left_anti").join(cool_right, key, "left")
+    keyed = left.where(F.col(key).isNotNull())
+    usual = keyed.join(hot, key, "left_anti").join(cool_right, key, "left")
+    others = [f for f in right.schema if f.name != key]
+    lone = left.where(F.col(key).isNull()).select(
+        key,
+        *[c for c in left.columns if c != key],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in others],
+    )
 
     part = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    left_parts = left.join(hot, key).withColumn("_part", part).drop("_parts")
-    dealt = right.withColumn("_row", F.monotonically_increasing_id()).join(hot, key)
+    left_parts = keyed.join(hot, key).withColumn("_part", part).drop("_parts")
+    dealt = right.withColumn("_row", F.xxhash64(*right.columns)).join(hot, key)
     right_parts = dealt.withColumn("_part", F.pmod("_row", "_parts").cast("int")).drop(
         "_row", "_parts"
     )
     rare = left_parts.join(right_parts, [key, "_part"]).drop("_part")
-    return usual.unionByName(rare)
+    return usual.unionByName(rare).unionByName(lone)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.constants import CATALOGUE_SOURCE, VENDOR_SOURCE
-from skyledger.functions.dates import instant, stated_date
+from skyledger.functions.dates import iso_instant, stated_date
 from skyledger.functions.outcomes import strict_success_flag
 from skyledger.functions.text import nonempty
 from skyledger.operators.joins import fan_out_left_join
@@ -27,7 +27,7 @@ def launch_frame(raw: DataFrame) -> DataFrame:
     defaults = {
         "provider_type": F.coalesce("provider_type", F.lit("Unknown")),
         "mission_orbit": F.coalesce(nonempty(F.col("mission_orbit")), "orbit_abbrev"),
-        "launch_year": F.year(instant(F.col("net"))),
+        "launch_year": F.year(iso_instant(F.col("net"))),
         "is_success": strict_success_flag(F.col("status_abbrev")),
     }
     return flat.withColumns(defaults).drop("orbit_abbrev")
@@ -59,11 +59,16 @@ def images_from_raw(catalogue: DataFrame, vendor: DataFrame) -> DataFrame:
     return (
         from_catalogue.unionByName(from_vendor)
         .where(nonempty(F.col("image_url")).isNotNull())
-        .withColumn("launch_year", F.year(instant(F.col("net"))))
+        .withColumn("launch_year", F.year(iso_instant(F.col("net"))))
         .where(F.col("launch_year").isNotNull())
     )
 
 
+def choose_images(silver: DataFrame, raw: DataFrame) -> DataFrame:
+    """Silver's images, or those of the landed records where Silver has none at all."""
+    return raw if silver.isEmpty() else silver
+
+
 def compact_images(launches: DataFrame) -> DataFrame:
     """Launch records that show at least one picture, in image-record form."""
     pictured = F.coalesce(nonempty(F.col("image")), nonempty(F.col("infographic"))).isNotNull()

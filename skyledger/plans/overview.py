@@ -12,15 +12,25 @@ def _overall_rate(success, total):
     return F.coalesce(half_even(F.try_divide(success, total) * 100, 1), F.lit(0.0))
 
 
+WEATHER = ("temperature_2m_mean", "wind_speed_10m_max")
+
+
 def kpi_summary(metrics: DataFrame, features: DataFrame) -> DataFrame:
     """One row: totals from the yearly metrics, diversity and weather from features."""
-    seen = features.agg(
+    # one row per country and orbit first: distinct counts would expand every feature row
+    cells = features.groupBy("pad_country_code", "mission_orbit").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for c in WEATHER for f in (F.sum, F.count)],
+        F.count("*").alias("n"),
+    )
+    seen = cells.agg(
         F.struct(
             F.countDistinct("pad_country_code").alias("countries"),
             F.countDistinct("mission_orbit").alias("orbits"),
-            F.avg("temperature_2m_mean").alias("mean_temperature"),
-            F.avg("wind_speed_10m_max").alias("mean_wind"),
-            F.count("*").alias("feature_rows"),
+            *[
+                F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}")).alias(name)
+                for c, name in zip(WEATHER, ("mean_temperature", "mean_wind"))
+            ],
+            F.coalesce(F.sum("n"), F.lit(0)).alias("feature_rows"),
         )
     ).scalar()
     totals = metrics.agg(
@@ -54,15 +64,15 @@ def hero_summary(
 def filter_options(metrics: DataFrame, features: DataFrame, images: DataFrame) -> DataFrame:
     """Values each filter offers, as ``(dim, value)``."""
 
-    def choices(df: DataFrame, dim: str, column: str) -> DataFrame:
-        values = df.select(F.col(column).cast("string").alias("value")).distinct()
-        return values.where(F.col("value").isNotNull()).select(F.lit(dim).alias("dim"), "value")
+    def choices(df: DataFrame, **dims: str) -> DataFrame:
+        """Each table is read once: its distinct combinations give all its choices."""
+        columns = [F.col(c).cast("string").alias(dim) for dim, c in dims.items()]
+        apart = df.select(*columns).distinct().unpivot([], list(dims), "dim", "value")
+        return apart.where(F.col("value").isNotNull()).distinct()
 
     return (
-        choices(metrics, "year", "launch_year")
-        .unionByName(choices(metrics, "provider", "provider_name"))
-        .unionByName(choices(features, "orbit", "mission_orbit"))
-        .unionByName(choices(images, "source", "source"))
-        .unionByName(choices(images, "image_year", "launch_year"))
+        choices(metrics, year="launch_year", provider="provider_name")
+        .unionByName(choices(features, orbit="mission_orbit"))
+        .unionByName(choices(images, source="source", image_year="launch_year"))
         .orderBy("dim", "value")
     )

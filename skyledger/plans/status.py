@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.constants import MANIFEST_FILE, RUN_ID_FORMAT
 from skyledger.operators.topk import top_n
+from skyledger.sources.landing import read_json, run_ids
 from skyledger.sources.sinks import write_json_lines
 
 #: Directory name of a missing partition value.
@@ -52,14 +53,17 @@ def land_run(
 ) -> str:
     """Write one RAW run: every dataset as JSON lines, then the manifest.
 
-    The manifest counts the lines that were written, not the plans behind them:
-    a plan read twice may have changed in between. Returns the run id.
+    The manifest counts the lines as they are written: nothing is read again.
+    Returns the run id.
     """
     run = run_id or datetime.now(timezone.utc).strftime(RUN_ID_FORMAT)
+    counts = {}
     for name, df in datasets.items():
-        write_json_lines(df, f"{base}/{run}/{name}")
-    landed = {name: spark.read.text(f"{base}/{run}/{name}") for name in datasets}
-    manifest = manifest_document(run_manifest(landed), config)
+        seen = Observation(name)
+        write_json_lines(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{base}/{run}/{name}")
+        counts[name] = seen.get["rows"]
+    landed = spark.createDataFrame(list(counts.items()), "dataset string, rows bigint")
+    manifest = manifest_document(landed, config)
     write_json_lines(manifest, f"{base}/{run}/{MANIFEST_FILE}")
     return run
 
@@ -76,6 +80,19 @@ def data_status(landed: DataFrame, datasets: list[str], runs: int = 5) -> DataFr
     return newest.unpivot(["run_id"], datasets, "dataset", "rows")
 
 
+def landed_status(spark: SparkSession, base: str, datasets: list[str], runs: int = 5) -> DataFrame:
+    """Lines per dataset of the newest run folders under ``base``; a dataset that a run
+    lacks counts 0. Folders are chosen first, and no others are read."""
+    parts = [
+        read_json(spark, f"{base}/{run}/{name}", "value STRING").agg(
+            F.lit(run).alias("run_id"), F.lit(name).alias("dataset"), F.count("*").alias("rows")
+        )
+        for run in run_ids(spark, base)[:runs]
+        for name in datasets
+    ]
+    return _stacked(parts)
+
+
 def table_partitions(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Number of partition folders of each table, from its partition column."""
 

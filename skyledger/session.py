@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -25,15 +28,16 @@ def sizing(input_bytes: int) -> dict[str, str]:
 
     Shuffles start with partitions of about 256 MiB, assuming that a tenth of the
     input survives column pruning; adaptive execution merges them where less
-    does. From 10 TiB on, scan tasks take 512 MiB, so that 100 TiB are read by some
-    200 thousand tasks and not by four times as many.
+    does. Scan tasks grow with the cube root of the input, from 128 MiB at 1 TiB to
+    some 600 MiB at 100 TiB, so that the number of tasks grows more slowly than the
+    input; shuffles are merged to half of that.
     """
-    partitions = min(max(input_bytes // 10 // (256 * MIB), 200), 50_000)
-    scan = 512 if input_bytes >= 10 * TIB else 128
+    partitions = max(input_bytes // 10 // (256 * MIB), 200)
+    scan = int(128 * max(1.0, input_bytes / TIB) ** (1 / 3))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(scan * MIB),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB if scan == 512 else 64 * MIB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(scan * MIB // 2),
     }
 
 
@@ -57,8 +61,9 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in for it only in local mode, where driver and
-    executors are one process; a cluster without the setting is an error.
+    A folder of the process, removed when it ends, stands in for it only in local
+    mode, where driver and executors are one process; a cluster without the setting,
+    also a local one of several processes, is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -66,9 +71,10 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="skyledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

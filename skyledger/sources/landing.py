@@ -16,13 +16,19 @@ RUN_ID_PATTERN = r"/([^/]+)/[^/]+\.jsonl?(?:/[^/]+)?$"
 def read_json(spark: SparkSession, path: str, schema: str, *, strict: bool = False) -> DataFrame:
     """Scan JSON lines with a declared schema; a path that does not exist is empty.
 
-    A malformed line becomes a row of nulls, or with ``strict`` no row at all.
+    A line that is no JSON object becomes a row of nulls, or with ``strict`` no row at
+    all. A record stays, whatever types its fields have: what does not fit is null.
     """
-    mode = "DROPMALFORMED" if strict else "PERMISSIVE"
     try:
-        return spark.read.schema(schema).option("mode", mode).json(path)
+        if not strict:
+            return spark.read.schema(schema).json(path)
+        lines = spark.read.text(path)
     except AnalysisException as error:
         return _nothing(spark, schema, error)
+    kind = F.schema_of_variant(F.try_parse_json("value"))
+    record = f"STRUCT<{' '.join(schema.split())}>"
+    records = lines.where(F.startswith(kind, F.lit("OBJECT"))).select(F.from_json("value", record).alias("record"))
+    return records.select("record.*")
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -57,14 +63,21 @@ def read_runs(spark: SparkSession, base: str, file_name: str, schema: str) -> Da
     return rows.select("*", run.alias("run_id"))
 
 
+def run_ids(spark: SparkSession, base: str) -> list[str]:
+    """Names of the run folders under ``base``, newest first. Lists that one folder; how
+    many runs are kept does not grow with their rows."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(path) if files.exists(path) else []
+    return sorted((f.getPath().getName() for f in found if f.isDirectory()), reverse=True)
+
+
 def newest_run_id(spark: SparkSession, base: str) -> str:
-    """The largest run folder name. Lists files; reads none of them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    run = F.regexp_extract("path", RUN_ID_PATTERN, 1)
-    newest = files.select(run.alias("run_id")).where("run_id <> ''").agg(F.max("run_id")).first()[0]
-    if newest is None:
+    """The largest run folder name."""
+    runs = run_ids(spark, base)
+    if not runs:
         raise FileNotFoundError(f"no RAW run under {base}")
-    return newest
+    return runs[0]
 
 
 def read_launches(spark: SparkSession, path: str, *, strict: bool = False) -> DataFrame:

@@ -19,9 +19,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     gathered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """One JSON object per line; fields that are null are left out."""
-    df.write.mode("overwrite").json(path)
+def write_json_lines(df: DataFrame, path: str, records_per_file: int = 0) -> None:
+    """One JSON object per line; fields that are null are left out. Files hold at most
+    ``records_per_file`` lines, if given."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
 def write_text_lines(df: DataFrame, path: str, line: str, *order) -> None:

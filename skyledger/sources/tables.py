@@ -24,12 +24,23 @@ def read_table(
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def number(column: str, kind: str) -> Column:
+    """A number from whatever the column holds; null where it is none. Texts like
+    ``3.0`` are whole numbers too; one with a real fraction is no integer."""
+    value = F.col(column)
+    if kind == "double":
+        return value.try_cast(kind)
+    loose = value.try_cast("double")
+    return F.coalesce(value.try_cast(kind), F.when(loose == F.floor(loose), loose.try_cast(kind)))
+
+
 def typed(df: DataFrame, numbers: dict[str, str], **texts: Column) -> DataFrame:
     """Numbers from whatever the table holds, null where it is none, and cleaned
-    texts; rows whose ``launch_year`` is no integer are dropped."""
-    columns = {"launch_year": "int", **numbers}
-    typed_numbers = {c: F.col(c).try_cast(t) for c, t in columns.items()}
-    return df.withColumns({**typed_numbers, **texts}).where(F.col("launch_year").isNotNull())
+    texts; rows whose ``launch_year`` is no number are dropped, a fraction of a year
+    is cut off."""
+    year = F.coalesce(F.col("launch_year").try_cast("int"), F.col("launch_year").try_cast("double").try_cast("int"))
+    typed_numbers = {c: number(c, t) for c, t in numbers.items()}
+    return df.withColumns({"launch_year": year, **typed_numbers, **texts}).where(F.col("launch_year").isNotNull())
 
 
 def typed_year(df: DataFrame) -> DataFrame:

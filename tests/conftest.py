@@ -12,11 +12,12 @@ from skyledger.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "skyledger-tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g",
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

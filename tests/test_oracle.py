@@ -7,8 +7,8 @@ from compare import compare, connect
 
 import __spark_entry__ as entry_module
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+# the queries of the subpackage llm have tests of their own
+QUERIES, ORACLE = entry_module.CATALOGUE, entry_module.ORACLE
 
 
 @pytest.fixture(scope="module")
