@@ -72,27 +72,38 @@ def context_providers(metrics: DataFrame, n: int = 10) -> DataFrame:
     return top_n(grouped_rates, n, "total", "provider_name")
 
 
-def _mean_cost(costs: DataFrame, key: str) -> DataFrame:
-    return costs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("label")).agg(
-        exact_mean(F.col(COST)).alias("measure")
-    )
+#: part of the cost lines -> column it groups by
+COST_PARTS = {"category": "cost_category", "provider": "provider_name", "rocket": "rocket_name"}
 
 
 def context_costs(costs: DataFrame, rockets: int = 8) -> DataFrame:
     """``(part, label, measure)``: launches per category, mean cost per provider,
-    and the ``rockets`` with the highest mean cost."""
-    categories = costs.where(F.col("cost_category").isNotNull()).groupBy(
-        F.col("cost_category").alias("label")
-    ).agg(F.count("*").cast("double").alias("measure"))
-    dearest = top_n(_mean_cost(costs, "rocket_name"), rockets, "measure", "label")
-    parts = {
-        "category": categories,
-        "provider": _mean_cost(costs, "provider_name"),
-        "rocket": dearest,
-    }
-    return _union(
-        [df.select(F.lit(name).alias("part"), "label", "measure") for name, df in parts.items()]
+    and the ``rockets`` with the highest mean cost.
+
+    Launches are read once: combinations of the three columns are summed first, and
+    all parts come from these.
+    """
+    combinations = costs.select(
+        *[F.col(c).alias(part) for part, c in COST_PARTS.items()], F.col(COST)
+    ).groupBy(*COST_PARTS).agg(
+        money_sum(F.col(COST)).alias("cost"), F.count(COST).alias("priced"), F.count("*").alias("launches")
+    )
+    measures = ["cost", "priced", "launches"]
+    lines = (
+        combinations.unpivot(measures, list(COST_PARTS), "part", "label")
+        .where(F.col("label").isNotNull())
+        .groupBy("part", "label")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+        .select(
+            "part",
+            "label",
+            F.when(F.col("part") == "category", F.col("launches").cast("double"))
+            .otherwise(F.try_divide(F.col("cost").cast("double"), F.col("priced")))
+            .alias("measure"),
+        )
     )
+    dearest = top_n(lines.where(F.col("part") == "rocket"), rockets, "measure", "label")
+    return lines.where(F.col("part") != "rocket").unionByName(dearest)
 
 
 #: dimension -> (how many values are reported, heading, what is counted)
