@@ -99,17 +99,20 @@ def weather_sample(features: DataFrame, n: int = 600, seed: int = 7) -> DataFram
 
 
 def temp_histogram(features: DataFrame, bins: int = 35) -> DataFrame:
-    """Launches per temperature bin and outcome, in equal bins over the whole range."""
-    rows = observed(features).select("outcome", F.col(TEMPERATURE).alias("t"))
+    """Launches per temperature bin and outcome, in equal bins over the whole range.
+
+    Launches are counted per temperature first; the range and the bins both come from
+    these counts, and share their shuffle."""
+    rows = observed(features).groupBy("outcome", F.col(TEMPERATURE).alias("t")).agg(F.count("*").alias("n"))
     bounds = rows.agg(F.struct(F.min("t").alias("low"), F.max("t").alias("high"))).scalar()
     bin_no = f"least(floor(coalesce(try_divide(t - low, width), 0)) + 1, {bins})"
     return (
         rows.withColumn("bounds", bounds)
-        .selectExpr("outcome", "t", "bounds.low", f"(bounds.high - bounds.low) / {bins} AS width")
-        .selectExpr("outcome", f"cast({bin_no} AS int) AS bin", "low", "width")
-        .selectExpr("outcome", "bin", "low + (bin - 1) * width AS bin_start")
+        .selectExpr("outcome", "n", "t", "bounds.low", f"(bounds.high - bounds.low) / {bins} AS width")
+        .selectExpr("outcome", "n", f"cast({bin_no} AS int) AS bin", "low", "width")
+        .selectExpr("outcome", "n", "bin", "low + (bin - 1) * width AS bin_start")
         .groupBy("outcome", "bin")
-        .agg(F.count("*").alias("launches"), F.min("bin_start").alias("bin_start"))
+        .agg(F.sum("n").alias("launches"), F.min("bin_start").alias("bin_start"))
     )
 
 
