@@ -19,7 +19,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ WINDOW_CHARS = 48
 #: The strongest windows of a text count.
 STRONGEST = 4
 #: Words whose weight a worker remembers; it starts anew beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 _WORD = re.compile(rf"\w{{1,{WINDOW_CHARS}}}")
 
@@ -118,9 +118,9 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=parameters, dict_data=body)
 
 
-@cache
+@lru_cache(maxsize=2)
 def _scorer(model: Model) -> _Scorer:
-    """One per Python worker, however many tasks it runs."""
+    """One per Python worker, however many tasks it runs; those of former models go."""
     return _Scorer(model)
 
 
