@@ -4,10 +4,10 @@ A line ends at a line break or at a mark that ends a sentence, with a space. Win
 keeps, of the lines that start within WINDOW_WORDS words of each line, the one with the
 least hash; its fingerprint is the hash of the lines from there on, up to GRAM_WORDS
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
-and so the same fingerprint, wherever they stand. Fingerprints meet by hash; every later
-one names its first occurrence, the two documents are laid over each other at that
-distance, and the equal lines around the fingerprint, as far as they go both ways, are
-the run.
+and so the same fingerprint, wherever they stand. Fingerprints meet by hash; the lines of
+every later one go. Those of one run overlap: the first starts at most three lines after
+the run does, and so extending each by three lines before and four after, where they
+equal those of its first occurrence, covers the run.
 """
 
 from __future__ import annotations
@@ -65,8 +65,24 @@ def _once(df: DataFrame, name: str, value: str) -> DataFrame:
     return df.select("*", F.explode(F.array(F.expr(value))).alias(name))
 
 
+def _around(before: bool, most: int) -> str:
+    """32-bit hashes of the next 1 to ``most`` lines before or after the lines from ``p``
+    to ``stop``; null where the text ends before."""
+    place = (lambda k: f"p - {k}") if before else (lambda k: f"p + n + {k - 1}")
+    hashes = []
+    for k in range(1, most + 1):
+        listed = ", ".join(f"get(h, {place(j)})" for j in range(1, k + 1))
+        hashes.append(f"if(get(h, {place(k)}) is null, null, hash({listed}))")
+    return f"array({', '.join(hashes)})"
+
+
+#: Lines that a match is extended by: a window has four lines, so a run begins three
+#: lines before its first fingerprint at most.
+BEFORE, AFTER = 3, 4
+
+
 def _fingerprints(hashed: DataFrame) -> DataFrame:
-    """(fp, row, doc, at) of the window minima of every document.
+    """(fp, row, doc, at, stop, before, after) of the window minima of every document.
 
     A window has as many lines as start within WINDOW_WORDS words, four at most.
     """
@@ -87,33 +103,32 @@ def _fingerprints(hashed: DataFrame) -> DataFrame:
     def gram(most: int) -> str:
         return f"""aggregate(
             slice(lines, p + 1, {most}),
-            named_struct('w', 0, 'g', 0L),
-            (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'g', xxhash64(a.g, x.h))),
-            a -> if(a.w >= {GRAM_WORDS}, a.g, null))"""
+            named_struct('w', 0, 'n', 0, 'g', 0L),
+            (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'n', a.n + 1, 'g', xxhash64(a.g, x.h))),
+            a -> if(a.w >= {GRAM_WORDS}, named_struct('p', p, 'n', a.n, 'g', a.g), null))"""
 
     # most grams end within eight lines; every line has a word at least
-    found = f"transform(chosen, p -> named_struct('fp', coalesce({gram(8)}, {gram(GRAM_WORDS)}), 'at', p))"
-    rows = zipped.select("row", "doc", F.inline(F.expr(found)))
-    return rows.where("fp is not null").select("fp", "row", "doc", "at")
-
-
-def _runs() -> Column:
-    """The maximal runs of lines of ``h`` that equal those of ``first_h`` ``shift`` lines
-    before, of at least GRAM_WORDS words, as (start, stop)."""
-    closed = f"if(a.w >= {GRAM_WORDS}, concat(a.runs, array(named_struct('start', a.s, 'stop', i))), a.runs)"
-    ended = closed.replace("'stop', i", "'stop', a.n")
-    none = "cast(array() as array<struct<start: int, stop: int>>)"
-    return F.expr(
-        f"""if(greatest(0, shift) < least(size(h), size(first_h) + shift), aggregate(
-              sequence(greatest(0, shift), least(size(h), size(first_h) + shift) - 1),
-              named_struct('s', -1, 'w', 0, 'n', 0, 'runs', {none}),
-              (a, i) -> if(h[i] = first_h[i - shift],
-                named_struct('s', if(a.s < 0, i, a.s), 'w', a.w + w[i], 'n', i + 1, 'runs', a.runs),
-                named_struct('s', -1, 'w', 0, 'n', i + 1, 'runs', {closed})),
-              a -> {ended}), {none})"""
+    grams = f"transform(chosen, p -> coalesce({gram(8)}, {gram(GRAM_WORDS)}))"
+    rows = zipped.select("row", "doc", "h", F.explode(F.expr(grams)).alias("gram")).where("gram is not null")
+    return rows.select("row", "doc", "h", "gram.*").select(
+        F.col("g").alias("fp"),
+        "row",
+        "doc",
+        F.col("p").alias("at"),
+        F.expr("p + n").alias("stop"),
+        F.expr(_around(True, BEFORE)).alias("before"),
+        F.expr(_around(False, AFTER)).alias("after"),
     )
 
 
+def _extended(name: str, most: int) -> Column:
+    """By how many lines the match goes on, from the hashes around both places."""
+    same = F.lit(0)
+    for k in range(most):
+        same = F.when(F.col(name)[k] == F.col(f"first.{name}")[k], k + 1).otherwise(same)
+    return same
+
+
 def _one_of_equal_rows(hashed: DataFrame) -> DataFrame:
     """``hashed`` without rows whose id and text an earlier row has."""
     narrow = hashed.select("k1", "k2", "row")
@@ -153,28 +168,17 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     found = written(_fingerprints(hashed), "fingerprints")
     firsts = written(
         found.groupBy("fp")
-        .agg(F.min(F.struct("doc", "row", "at")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("fp", "n", F.col("first.row").alias("first_row"), F.col("first.at").alias("first_at")),
+        .agg(F.min(F.struct("doc", "row", "at", "before", "after")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1"),
         "first-occurrences",
     )
     met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
-    pairs = written(
-        met.where("row <> first_row or at <> first_at")
-        .select("row", "first_row", (F.col("at") - F.col("first_at")).alias("shift"))
-        .distinct(),
-        "overlays",
-    )
-    uses = pairs.groupBy("first_row").agg(F.count("*").alias("n"))
-    sources = written(
-        hashed.select(F.col("row").alias("first_row"), F.col("h").alias("first_h")).join(uses, "first_row"),
-        "sources",
-    )
-    laid = meet(
-        pairs.join(hashed.select("row", "k1", "k2", "h", "w"), "row"), sources, ["first_row"], "n", pairs.count(), "inner"
+    run = F.struct(
+        (F.col("at") - _extended("before", BEFORE)).alias("start"),
+        (F.col("stop") + _extended("after", AFTER)).alias("stop"),
     )
-    runs = laid.select("k1", "k2", F.explode(_runs()).alias("run"))
-    return written(runs.groupBy("k1", "k2").agg(F.collect_set("run").alias("runs")), "repeated-runs")
+    runs = met.where("row <> first.row or at <> first.at").groupBy("row").agg(F.collect_set(run).alias("runs"))
+    return written(runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs"), "repeated-runs")
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
