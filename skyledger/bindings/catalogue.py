@@ -34,7 +34,7 @@ from skyledger.plans import (
     synthetic,
     weather,
 )
-from skyledger.session import ensure_checkpointing, new_workspace
+from skyledger.session import new_workspace
 from skyledger.sources import landing, schemas, sinks, tables
 from skyledger.streaming.landing import land_new_files
 
@@ -50,6 +50,8 @@ FILTER = {
 }
 SEARCH = {"source": K.CATALOGUE_SOURCE, "year": 1997, "pattern": r"falcon [1-4] \(\d*7\)"}
 PAGE = 2
+#: Where reading on starts, in the order of the pages.
+AFTER_CARD = (1997, K.CATALOGUE_SOURCE, "2", "", "")
 
 
 def named(name: str) -> Callable[[Query], Query]:
@@ -206,10 +208,14 @@ over(
 
 @query
 def enrich_raw_features(spark, sf_dir):
-    """The launch frame with Gold measures; Gold is written before it is joined."""
+    """The launch frame with Gold measures, which are written before they are joined."""
     t = Tables(spark, sf_dir)
-    ensure_checkpointing(spark)
-    joined = launch_frame.with_gold_measures(t.frame, t.gold_features.checkpoint())
+    measures = t.gold_features.select(
+        "launch_id", "temperature_2m_mean", "wind_speed_10m_max", "launch_image_count"
+    )
+    path = new_workspace(spark, "measures")
+    sinks.write_parquet(measures, path)
+    joined = launch_frame.with_gold_measures(t.frame, tables.read_table(spark, path, measures.schema))
     return joined.select(
         "launch_id", "mission_orbit", "is_success", "temperature_2m_mean",
         "wind_speed_10m_max", "launch_image_count",
@@ -556,6 +562,10 @@ over(
     ),
 )
 over("gallery_page", lambda t: gallery.gallery_page(tables.load_images(t.images), PAGE))
+over(
+    "gallery_after",
+    lambda t: gallery.gallery_after(tables.load_images(t.images), AFTER_CARD, shown_alike=0),
+)
 over(
     "gallery_pages",
     lambda t: gallery.gallery_pages(gallery.gallery_search(tables.load_images(t.images), **SEARCH)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from skyledger import constants as K
-from skyledger.bindings.catalogue import FILTER, PAGE, SEARCH
+from skyledger.bindings.catalogue import AFTER_CARD, FILTER, PAGE, SEARCH
 from skyledger.bindings.domain import BRAND_COSTS
 
 SUCCESS, FAILURE, UNKNOWN = K.SUCCESS_LABEL, K.FAILURE_LABEL, K.UNKNOWN_LABEL
@@ -607,6 +607,10 @@ QUERIES = {
     "gallery_page": f"""SELECT launch_id, image_url, coalesce(nullif(launch_name, ''), '{K.MISSING_MARK}') || ' · ' || launch_year caption,
         CASE source WHEN '{K.CATALOGUE_SOURCE}' THEN 'Launch Library' ELSE 'Spacex' END source_label FROM images
         ORDER BY launch_year, source, launch_id, image_url, launch_name NULLS FIRST LIMIT 20 OFFSET {20 * PAGE}""",
+    "gallery_after": f"""SELECT launch_id, image_url, coalesce(nullif(launch_name, ''), '{K.MISSING_MARK}') || ' · ' || launch_year caption,
+        CASE source WHEN '{K.CATALOGUE_SOURCE}' THEN 'Launch Library' ELSE 'Spacex' END source_label FROM images
+        WHERE launch_year IS NOT NULL AND (launch_year, source, launch_id, image_url, coalesce(launch_name, '')) >= {AFTER_CARD}
+        ORDER BY launch_year, source, launch_id, image_url, launch_name NULLS FIRST LIMIT 20""",
     "gallery_pages": f"""SELECT count(*) total, cast(greatest(1, ceil(count(*) / 20)) AS bigint) pages FROM images WHERE {FOUND}""",
     "cost_kpis": """SELECT cast(sum(estimated_cost_usd) AS double) total_cost, avg(estimated_cost_usd) mean_cost,
         avg(CASE WHEN is_success = 1 THEN estimated_cost_usd END) mean_cost_success,
