@@ -6,8 +6,8 @@ least hash; its fingerprint is the hash of the lines from there on, up to GRAM_W
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
 and so the same fingerprint, wherever they stand. Fingerprints meet by hash; the lines of
 every later one go. Those of one run overlap: the first starts at most three lines after
-the run does, and so extending each by three lines before and four after, where they
-equal those of its first occurrence, covers the run.
+the run does, and so extending each by three lines before and six after, where they
+equal those of its first occurrence, covers the run (but for a tail of very short lines).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from skyledger.llm.common import meet, written
 
 #: A repeated run of fewer words than GRAM_WORDS is never removed, one of GRAM_WORDS +
 #: WINDOW_WORDS or more always (a blank line counts as a word).
-GRAM_WORDS, WINDOW_WORDS = 28, 16
+GRAM_WORDS, WINDOW_WORDS = 24, 24
 #: Up to this size what is removed is sent to all tasks, and texts stay where they are;
 #: beyond it both are shuffled.
 BROADCAST_BYTES = 64 << 20
@@ -59,68 +59,99 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
     return F.xxhash64(doc, text), F.xxhash64(F.lit(1), text, doc)
 
 
-def _once(df: DataFrame, name: str, value: str) -> DataFrame:
-    """``df`` with a column that is computed once per row. As a plain column it would be
-    put in place of its name wherever a lambda uses it, and computed for every element."""
-    return df.select("*", F.explode(F.array(F.expr(value))).alias(name))
+#: Lines that a match is extended by: a window has four lines, so a run begins three
+#: lines before its first fingerprint at most.
+BEFORE, AFTER = 3, 6
+#: Grams of at most so many lines are made without a lambda.
+_SHORT = 8
 
 
-def _around(before: bool, most: int) -> str:
-    """32-bit hashes of the next 1 to ``most`` lines before or after the lines from ``p``
-    to ``stop``; null where the text ends before."""
-    place = (lambda k: f"p - {k}") if before else (lambda k: f"p + n + {k - 1}")
-    hashes = []
-    for k in range(1, most + 1):
-        listed = ", ".join(f"get(h, {place(j)})" for j in range(1, k + 1))
-        hashes.append(f"if(get(h, {place(k)}) is null, null, hash({listed}))")
-    return f"array({', '.join(hashes)})"
+def _width(start: str) -> str:
+    """Lines of the window from ``start`` on: those that start within WINDOW_WORDS
+    words, four at most."""
+    steps, total = [], f"get(w, {start})"
+    for k in range(1, 4):
+        steps.append(f"when {total} >= {WINDOW_WORDS} then {k}")
+        total += f" + coalesce(get(w, {start} + {k}), 0Y)"
+    return f"case {' '.join(steps)} else 4 end"
 
 
-#: Lines that a match is extended by: a window has four lines, so a run begins three
-#: lines before its first fingerprint at most.
-BEFORE, AFTER = 3, 4
+def _is_least() -> str:
+    """Whether line ``at`` has the least hash of a window that it is in."""
+    cases = []
+    for back in range(4):
+        start = f"at - {back}"
+        rest = [f"(width_{back} < {k + 1} or x <= coalesce(get(h, {start} + {k}), x))" for k in range(4) if k != back]
+        cases.append(f"(at >= {back} and width_{back} > {back} and {' and '.join(rest)})")
+    return " or ".join(cases)
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
     """(fp, row, doc, at, stop, before, after) of the window minima of every document.
 
-    A window has as many lines as start within WINDOW_WORDS words, four at most.
+    Every line is a row for a moment, with its document's arrays beside it: plain
+    expressions over their elements are compiled, which lambdas are not.
     """
-
-    def started(lines_before: int) -> str:
-        within = " + ".join(["w[i]", *(f"coalesce(get(w, i + {k}), 0Y)" for k in range(1, lines_before))])
-        return f"when {within} >= {WINDOW_WORDS} then {lines_before}"
-
-    width = f"case {' '.join(started(k) for k in range(1, 4))} else 4 end"
-    windows = _once(hashed, "windows", f"transform(h, (x, i) -> slice(h, i + 1, {width}))")
-    chosen = _once(
-        windows,
-        "chosen",
-        "array_distinct(transform(windows, (x, i) -> i + cast(array_position(x, array_min(x)) as int) - 1))",
-    )
-    zipped = _once(chosen, "lines", "arrays_zip(h, w)")
-
-    def gram(most: int) -> str:
-        return f"""aggregate(
-            slice(lines, p + 1, {most}),
+    each = hashed.select("row", "doc", "h", "w", F.posexplode("h").alias("at", "x"))
+    widths = {f"width_{back}": F.expr(_width(f"(at - {back})")) for back in range(4)}
+    minima = each.withColumns(widths).where(_is_least()).drop(*widths)
+    own = [f"coalesce(get(w, at + {k}), 0Y)" for k in range(_SHORT)]
+    enough = [f"{' + '.join(f'cast({w} as int)' for w in own[: k + 1])} >= {GRAM_WORDS}" for k in range(_SHORT)]
+    count = "case " + " ".join(f"when {test} then {k + 1}" for k, test in enumerate(enough)) + " end"
+    listed = [f"get(h, at + {k})" for k in range(_SHORT)]
+    short = "case n " + " ".join(f"when {k + 1} then xxhash64({', '.join(listed[: k + 1])})" for k in range(_SHORT)) + " end"
+    # every line has a word at least, so GRAM_WORDS lines are enough
+    long = f"""aggregate(slice(arrays_zip(h, w), at + 1, {GRAM_WORDS}),
             named_struct('w', 0, 'n', 0, 'g', 0L),
             (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'n', a.n + 1, 'g', xxhash64(a.g, x.h))),
-            a -> if(a.w >= {GRAM_WORDS}, named_struct('p', p, 'n', a.n, 'g', a.g), null))"""
-
-    # most grams end within eight lines; every line has a word at least
-    grams = f"transform(chosen, p -> coalesce({gram(8)}, {gram(GRAM_WORDS)}))"
-    rows = zipped.select("row", "doc", "h", F.explode(F.expr(grams)).alias("gram")).where("gram is not null")
-    return rows.select("row", "doc", "h", "gram.*").select(
-        F.col("g").alias("fp"),
+            a -> if(a.w >= {GRAM_WORDS}, named_struct('g', a.g, 'n', a.n), null))"""
+    grams = minima.withColumn("n", F.expr(count))
+    brief = grams.where("n is not null").withColumn("fp", F.expr(short))
+    rest = (
+        grams.where("n is null")
+        .withColumn("gram", F.expr(long))
+        .where("gram is not null")
+        .withColumn("fp", F.col("gram.g"))
+        .withColumn("n", F.col("gram.n"))
+        .drop("gram")
+    )
+    return brief.unionByName(rest.select(*brief.columns)).select(
+        "fp",
         "row",
         "doc",
-        F.col("p").alias("at"),
-        F.expr("p + n").alias("stop"),
+        "at",
+        F.expr("at + n").alias("stop"),
         F.expr(_around(True, BEFORE)).alias("before"),
         F.expr(_around(False, AFTER)).alias("after"),
     )
 
 
+def _around(before: bool, most: int) -> str:
+    """32-bit hashes of the next 1 to ``most`` lines before or after the lines from
+    ``at`` on, ``n`` of them; null where the text ends before."""
+    place = (lambda k: f"at - {k}") if before else (lambda k: f"at + n + {k - 1}")
+    hashes = []
+    for k in range(1, most + 1):
+        listed = ", ".join(f"get(h, {place(j)})" for j in range(1, k + 1))
+        hashes.append(f"if(get(h, {place(k)}) is null, null, hash({listed}))")
+    return f"array({', '.join(hashes)})"
+
+
+def _joined(runs: Column) -> Column:
+    """Sorted (start, stop) with those that meet or overlap made one."""
+    none = F.array().cast("array<struct<start: int, stop: int>>")
+    closed = lambda a: F.when(a["stop"] > 0, F.array_append(a["out"], F.struct(a["start"].alias("start"), a["stop"].alias("stop")))).otherwise(a["out"])
+    state = lambda start, stop, out: F.struct(start.alias("start"), stop.alias("stop"), out.alias("out"))
+    return F.aggregate(
+        runs,
+        state(F.lit(0), F.lit(0), none),
+        lambda a, r: F.when(
+            (a["stop"] > 0) & (r["start"] <= a["stop"]), state(a["start"], F.greatest(a["stop"], r["stop"]), a["out"])
+        ).otherwise(state(r["start"], r["stop"], closed(a))),
+        closed,
+    )
+
+
 def _extended(name: str, most: int) -> Column:
     """By how many lines the match goes on, from the hashes around both places."""
     same = F.lit(0)
@@ -143,7 +174,7 @@ def _one_of_equal_rows(hashed: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(k1, k2, runs) of the documents that repeat something, by ``_keys``; ``runs`` has
-    (start, stop) of lines to remove, stop exclusive, and may overlap.
+    (start, stop) of lines to remove, in order and apart, stop exclusive.
 
     The first occurrence is the one with the smallest id (null ids first), then by row,
     then by place in the text.
@@ -177,7 +208,9 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         (F.col("at") - _extended("before", BEFORE)).alias("start"),
         (F.col("stop") + _extended("after", AFTER)).alias("stop"),
     )
-    runs = met.where("row <> first.row or at <> first.at").groupBy("row").agg(F.collect_set(run).alias("runs"))
+    runs = met.where("row <> first.row or at <> first.at").groupBy("row").agg(
+        _joined(F.sort_array(F.collect_set(run))).alias("runs")
+    )
     return written(runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs"), "repeated-runs")
 
 
@@ -200,16 +233,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "left",
     )
     own = lines(F.col(text_column).cast("string"))
-    # runs in order; of each line, whether the furthest stop of those that started covers it
-    gone = F.aggregate(
-        F.sort_array("_runs"),
-        F.struct(F.lit(0).alias("stop"), F.lit(0).alias("n")),
-        lambda a, r: F.struct(
-            F.greatest(a["stop"], r["stop"]).alias("stop"),
-            (a["n"] + F.greatest(F.lit(0), r["stop"] - F.greatest(a["stop"], r["start"]))).alias("n"),
-        ),
-        lambda a: a["n"],
-    )
+    gone = F.aggregate("_runs", F.lit(0), lambda n, r: n + r["stop"] - r["start"])
     left = F.filter(own, lambda line, i: ~F.exists("_runs", lambda r: (i >= r["start"]) & (i < r["stop"])))
     text = F.when(F.col("_runs").isNull(), F.col(text_column)).otherwise(F.array_join(left, ""))
     removed = F.when(F.col("_runs").isNull(), 0).otherwise(gone)
