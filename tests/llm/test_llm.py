@@ -390,7 +390,9 @@ def held_against_brute(texts, got):
         least = "".join(x for k, x in enumerate(parts) if k not in always[i])
         if not inside[i]:
             assert got[i] == text
-        assert len(most) <= len(got[i] or "") <= len(least)
+        # of a run that goes, a tail of very short lines may stay
+        tail = sum(len(parts[k]) for k in always[i] if len(parts[k]) < 40)
+        assert len(most) <= len(got[i] or "") <= len(least) + min(tail, 300)
     return always
 
 
