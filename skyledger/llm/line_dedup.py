@@ -62,79 +62,57 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
 #: Lines that a match is extended by: a window has four lines, so a run begins three
 #: lines before its first fingerprint at most.
 BEFORE, AFTER = 3, 6
-#: Grams of at most so many lines are made without a lambda.
-_SHORT = 8
 
 
-def _width(start: str) -> str:
-    """Lines of the window from ``start`` on: those that start within WINDOW_WORDS
-    words, four at most."""
-    steps, total = [], f"get(w, {start})"
-    for k in range(1, 4):
-        steps.append(f"when {total} >= {WINDOW_WORDS} then {k}")
-        total += f" + coalesce(get(w, {start} + {k}), 0Y)"
-    return f"case {' '.join(steps)} else 4 end"
-
-
-def _is_least() -> str:
-    """Whether line ``at`` has the least hash of a window that it is in."""
-    cases = []
-    for back in range(4):
-        start = f"at - {back}"
-        rest = [f"(width_{back} < {k + 1} or x <= coalesce(get(h, {start} + {k}), x))" for k in range(4) if k != back]
-        cases.append(f"(at >= {back} and width_{back} > {back} and {' and '.join(rest)})")
-    return " or ".join(cases)
+def _once(df: DataFrame, name: str, value: str) -> DataFrame:
+    """``df`` with a column that is computed once per row. As a plain column it would be
+    put in place of its name wherever a lambda uses it, and computed for every element."""
+    return df.select("*", F.explode(F.array(F.expr(value))).alias(name))
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
     """(fp, row, doc, at, stop, before, after) of the window minima of every document.
 
-    Every line is a row for a moment, with its document's arrays beside it: plain
-    expressions over their elements are compiled, which lambdas are not.
+    A window has as many lines as start within WINDOW_WORDS words, four at most.
+    ``before`` and ``after`` hold 32-bit hashes of the lines around, the nearest first.
     """
-    each = hashed.select("row", "doc", "h", "w", F.posexplode("h").alias("at", "x"))
-    widths = {f"width_{back}": F.expr(_width(f"(at - {back})")) for back in range(4)}
-    minima = each.withColumns(widths).where(_is_least()).drop(*widths)
-    own = [f"coalesce(get(w, at + {k}), 0Y)" for k in range(_SHORT)]
-    enough = [f"{' + '.join(f'cast({w} as int)' for w in own[: k + 1])} >= {GRAM_WORDS}" for k in range(_SHORT)]
-    count = "case " + " ".join(f"when {test} then {k + 1}" for k, test in enumerate(enough)) + " end"
-    listed = [f"get(h, at + {k})" for k in range(_SHORT)]
-    short = "case n " + " ".join(f"when {k + 1} then xxhash64({', '.join(listed[: k + 1])})" for k in range(_SHORT)) + " end"
-    # every line has a word at least, so GRAM_WORDS lines are enough
-    long = f"""aggregate(slice(arrays_zip(h, w), at + 1, {GRAM_WORDS}),
+    steps, total = [], "w[i]"
+    for k in range(1, 4):
+        steps.append(f"when {total} >= {WINDOW_WORDS} then {k}")
+        total += f" + coalesce(get(w, i + {k}), 0Y)"
+    windows = _once(hashed, "windows", f"transform(h, (x, i) -> slice(h, i + 1, case {' '.join(steps)} else 4 end))")
+    chosen = _once(
+        windows,
+        "chosen",
+        "array_distinct(transform(windows, (x, i) -> i + cast(array_position(x, array_min(x)) as int) - 1))",
+    )
+
+    def gram(most: int) -> str:
+        return f"""aggregate(
+            slice(lines, p + 1, {most}),
             named_struct('w', 0, 'n', 0, 'g', 0L),
             (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'n', a.n + 1, 'g', xxhash64(a.g, x.h))),
-            a -> if(a.w >= {GRAM_WORDS}, named_struct('g', a.g, 'n', a.n), null))"""
-    grams = minima.withColumn("n", F.expr(count))
-    brief = grams.where("n is not null").withColumn("fp", F.expr(short))
-    rest = (
-        grams.where("n is null")
-        .withColumn("gram", F.expr(long))
-        .where("gram is not null")
-        .withColumn("fp", F.col("gram.g"))
-        .withColumn("n", F.col("gram.n"))
-        .drop("gram")
-    )
-    return brief.unionByName(rest.select(*brief.columns)).select(
-        "fp",
-        "row",
-        "doc",
-        "at",
-        F.expr("at + n").alias("stop"),
-        F.expr(_around(True, BEFORE)).alias("before"),
-        F.expr(_around(False, AFTER)).alias("after"),
+            a -> if(a.w >= {GRAM_WORDS}, named_struct('p', p, 'stop', p + a.n, 'g', a.g), null))"""
+
+    # most grams end within six lines; every line has a word at least
+    zipped = _once(chosen, "lines", "arrays_zip(h, w)")
+    grams = _once(zipped, "grams", f"transform(chosen, p -> coalesce({gram(6)}, {gram(GRAM_WORDS)}))")
+    found = f"""transform(filter(grams, m -> m is not null), m -> named_struct(
+        'fp', m.g, 'at', m.p, 'stop', m.stop,
+        'before', reverse(transform(slice(h, greatest(m.p - {BEFORE - 1}, 1), least(m.p, {BEFORE})), y -> hash(y))),
+        'after', transform(slice(h, m.stop + 1, {AFTER}), y -> hash(y))))"""
+    return grams.select("row", "doc", F.inline(F.expr(found))).select(
+        "fp", "row", "doc", "at", "stop", "before", "after"
     )
 
 
-def _around(before: bool, most: int) -> str:
-    """32-bit hashes of the next 1 to ``most`` lines before or after the lines from
-    ``at`` on, ``n`` of them; null where the text ends before."""
-    place = (lambda k: f"at - {k}") if before else (lambda k: f"at + n + {k - 1}")
-    hashes = []
-    for k in range(1, most + 1):
-        listed = ", ".join(f"get(h, {place(j)})" for j in range(1, k + 1))
-        hashes.append(f"if(get(h, {place(k)}) is null, null, hash({listed}))")
-    return f"array({', '.join(hashes)})"
+def _extended(name: str, most: int) -> Column:
+    """By how many lines the match goes on, from the hashes around both places."""
+    same, agreed = F.lit(0), F.lit(True)
+    for k in range(most):
+        agreed = agreed & F.coalesce(F.get(name, F.lit(k)) == F.get(f"first.{name}", F.lit(k)), F.lit(False))
+        same = same + agreed.cast("int")
+    return same
 
 
 def _joined(runs: Column) -> Column:
@@ -152,14 +130,6 @@ def _joined(runs: Column) -> Column:
     )
 
 
-def _extended(name: str, most: int) -> Column:
-    """By how many lines the match goes on, from the hashes around both places."""
-    same = F.lit(0)
-    for k in range(most):
-        same = F.when(F.col(name)[k] == F.col(f"first.{name}")[k], k + 1).otherwise(same)
-    return same
-
-
 def _one_of_equal_rows(hashed: DataFrame) -> DataFrame:
     """``hashed`` without rows whose id and text an earlier row has."""
     narrow = hashed.select("k1", "k2", "row")
