@@ -1,6 +1,6 @@
 """Repeated runs of lines, found by winnowing and removed, in DataFrame functions only.
 
-A line ends at a line break or at a mark that ends a sentence, with a space. Winnowing
+A line ends at a line break or at a punctuation mark or symbol with a space. Winnowing
 keeps, of the lines that start within WINDOW_WORDS words of each line, the one with the
 least hash; its fingerprint is the hash of the lines from there on, up to GRAM_WORDS
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
@@ -19,12 +19,12 @@ from skyledger.llm.common import meet, written
 
 #: A repeated run of fewer words than GRAM_WORDS is never removed, one of GRAM_WORDS +
 #: WINDOW_WORDS or more always (a blank line counts as a word).
-GRAM_WORDS, WINDOW_WORDS = 24, 24
+GRAM_WORDS, WINDOW_WORDS = 24, 16
 #: Up to this size what is removed is sent to all tasks, and texts stay where they are;
 #: beyond it both are shuffled.
 BROADCAST_BYTES = 64 << 20
 
-_END = r"[.!?:;#*$%&|<>] "
+_END = r"[\p{P}\p{S}] "
 _MARK = "\x01"
 
 

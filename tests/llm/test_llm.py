@@ -433,6 +433,23 @@ def test_line_dedup_keeps_equal_rows(rows):
     assert [r["text"] for r in out if r["doc_id"] is None] == [text]
 
 
+def plain(n, seed):
+    return " ".join(random.Random(seed).choices(VOCABULARY, k=n))
+
+
+def test_line_dedup_of_copies_between_commas(rows):
+    """60 words that begin and end within a sentence, with an edit in the middle of another one."""
+    clauses = [plain(5, 100 + k) for k in range(12)]
+    copied = ", ".join(clauses) + ", "
+    texts = [f"{plain(9, 1)}, {copied}{plain(8, 2)}.", f"{plain(7, 3)}, {copied}{plain(6, 4)}."]
+    edited = clauses[:9] + ["edit"] + clauses[9:]
+    texts.append(f"{plain(9, 5)}; {', '.join(edited)}, {plain(6, 6)}.")
+    got = texts_of(line_dedup.without_repeats(rows(texts)))
+    assert got[0] == texts[0]
+    assert got[1] == f"{plain(7, 3)}, {plain(6, 4)}."
+    assert got[2] == f"{plain(9, 5)}; edit, {', '.join(clauses[9:])}, {plain(6, 6)}."
+
+
 # --- 10: packing
 
 
