@@ -5,9 +5,9 @@ keeps, of the lines that start within WINDOW_WORDS words of each line, the one w
 least hash; its fingerprint is the hash of the lines from there on, up to GRAM_WORDS
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
 and so the same fingerprint, wherever they stand. Fingerprints meet by hash; the lines of
-every later one go. Those of one run overlap: the first starts at most three lines after
-the run does, and so extending each by three lines before and six after, where they
-equal those of its first occurrence, covers the run (but for a tail of very short lines).
+every later one go. Each match is extended both ways until its lines differ from those
+around the first occurrence: three lines before and six after come with the fingerprint,
+and where those agree and no other match goes on, the documents' lines are compared.
 """
 
 from __future__ import annotations
@@ -59,9 +59,12 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
     return F.xxhash64(doc, text), F.xxhash64(F.lit(1), text, doc)
 
 
-#: Lines that a match is extended by: a window has four lines, so a run begins three
-#: lines before its first fingerprint at most.
+#: Lines around a fingerprint that come with it: a window has four lines, so most runs begin
+#: three lines before their first fingerprint at most.
 BEFORE, AFTER = 3, 6
+#: Lines compared at first where a match goes on beyond those; eight times as many each
+#: time that all of them agree.
+FURTHER = 64
 
 
 def _once(df: DataFrame, name: str, value: str) -> DataFrame:
@@ -130,6 +133,80 @@ def _joined(runs: Column) -> Column:
     )
 
 
+def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
+    """(row, run) of the lines that go on agreeing where all that came with the fingerprints
+    at an end of a run did. ``own`` and ``other`` are the lines before that end in the row
+    and in its source; lines are compared forth from there or, with ``back``, backwards."""
+    each = diagonals.select("row", "source", "shift", "begun", "ended", F.inline("runs"))
+    ends = written(
+        each.select(
+            "row",
+            "source",
+            F.inline(
+                F.expr(
+                    """filter(array(
+                         named_struct('own', start, 'other', start - shift, 'back', true, 'open',
+                           start > 0 and start > shift and not array_contains(begun, start)),
+                         named_struct('own', stop, 'other', stop - shift, 'back', false, 'open',
+                           not array_contains(ended, stop))), e -> e.open)"""
+                )
+            ),
+        ).drop("open"),
+        "open-ends",
+    )
+    grown = ends.select("row", F.expr("named_struct('start', own, 'stop', own)").alias("run")).limit(0)
+    most = FURTHER
+    while not ends.isEmpty():
+        total = ends.count()
+        places = ends.selectExpr("row", "own as at", "back").unionByName(
+            ends.selectExpr("source as row", "other as at", "back")
+        )
+        parts = written(
+            places.groupBy("row", "at", "back")
+            .agg(F.count("*").alias("n"))
+            .join(hashed.select("row", "h"), "row")
+            .select(
+                "row",
+                "at",
+                "back",
+                "n",
+                F.expr(
+                    f"""if(back, reverse(slice(h, greatest(at - {most}, 0) + 1, least(at, {most}))),
+                           slice(h, at + 1, {most}))"""
+                ).alias("part"),
+            ),
+            "parts",
+        )
+        mine = parts.select("row", F.col("at").alias("own"), "back", F.col("n").alias("n"), F.col("part").alias("left"))
+        theirs = parts.select(
+            F.col("row").alias("source"), F.col("at").alias("other"), "back", "n", F.col("part").alias("right")
+        )
+        both = meet(ends, mine, ["row", "own", "back"], "n", total, "inner").drop("n")
+        both = meet(both, theirs, ["source", "other", "back"], "n", total, "inner").drop("n")
+        # place of the first pair that differs; 0 if none does
+        differ = "array_position(zip_with(left, right, (x, y) -> coalesce(x = y, false)), false)"
+        compared = written(
+            both.withColumn("same", F.expr(f"cast(if({differ} = 0, size(left), {differ} - 1) as int)")).select(
+                *ends.columns, "same"
+            ),
+            "compared",
+        )
+        grown = grown.unionByName(
+            compared.where("same > 0").select(
+                "row",
+                F.expr(
+                    "named_struct('start', if(back, own - same, own), 'stop', if(back, own, own + same))"
+                ).alias("run"),
+            )
+        )
+        step = F.when(F.col("back"), -F.col("same")).otherwise(F.col("same"))
+        ends = compared.where(F.col("same") == most).select(
+            "row", "source", (F.col("own") + step).alias("own"), (F.col("other") + step).alias("other"), "back"
+        )
+        most *= 8
+    return grown
+
+
 def _one_of_equal_rows(hashed: DataFrame) -> DataFrame:
     """``hashed`` without rows whose id and text an earlier row has."""
     narrow = hashed.select("k1", "k2", "row")
@@ -174,13 +251,27 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "first-occurrences",
     )
     met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
-    run = F.struct(
-        (F.col("at") - _extended("before", BEFORE)).alias("start"),
-        (F.col("stop") + _extended("after", AFTER)).alias("stop"),
-    )
-    runs = met.where("row <> first.row or at <> first.at").groupBy("row").agg(
-        _joined(F.sort_array(F.collect_set(run))).alias("runs")
+    before, after = _extended("before", BEFORE), _extended("after", AFTER)
+    diagonals = written(
+        met.where("row <> first.row or at <> first.at")
+        .select(
+            "row",
+            F.col("first.row").alias("source"),
+            (F.col("at") - F.col("first.at")).alias("shift"),
+            F.struct((F.col("at") - before).alias("start"), (F.col("stop") + after).alias("stop")).alias("run"),
+            (before < BEFORE).alias("begun"),
+            (after < AFTER).alias("ended"),
+        )
+        .groupBy("row", "source", "shift")
+        .agg(
+            _joined(F.sort_array(F.collect_set("run"))).alias("runs"),
+            F.collect_set(F.when(F.col("begun"), F.col("run.start"))).alias("begun"),
+            F.collect_set(F.when(F.col("ended"), F.col("run.stop"))).alias("ended"),
+        ),
+        "diagonals",
     )
+    found_runs = diagonals.select("row", F.explode("runs").alias("run")).unionByName(_further(hashed, diagonals))
+    runs = found_runs.groupBy("row").agg(_joined(F.sort_array(F.collect_set("run"))).alias("runs"))
     return written(runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs"), "repeated-runs")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import brute
@@ -450,6 +451,31 @@ def test_line_dedup_of_copies_between_commas(rows):
     assert got[2] == f"{plain(9, 5)}; edit, {', '.join(clauses[9:])}, {plain(6, 6)}."
 
 
+@pytest.mark.parametrize("tail", [1, 6, 20, 63, 64, 70, 700])
+def test_line_dedup_goes_on_until_lines_differ(rows, tail):
+    """A line of 30 words between ``tail`` lines of one word, in two documents and twice in a third."""
+    short = [f"{w}{k}.\n" for k, w in enumerate(random.Random(tail).choices(VOCABULARY, k=tail))]
+    run = "".join([*short, plain(30, 1), ".\n", *reversed(short)])
+    texts = [f"one\n{run}two\n", f"three\n{run}four\n", f"five\n{run}six\n{run}seven\n", run]
+    got = texts_of(line_dedup.without_repeats(rows(texts)))
+    assert got == {0: texts[0], 1: "three\nfour\n", 2: "five\nsix\nseven\n", 3: ""}
+
+
+def test_line_dedup_removes_all_of_long_runs(spark, sf_dir, monkeypatch):
+    """Over the table with lines that end at any punctuation: all of every run of 40 words goes."""
+    monkeypatch.setattr(brute, "line_list", lambda text: [x for x in re.split(r"(?<=\n)|(?<=[^\w\s] )|(?<=_ )", text) if x])
+    texts = documents(spark, sf_dir)
+    got = texts_of(QUERIES["op9_line_dedup"](spark, sf_dir))
+    inside = brute.repeats(texts, line_dedup.GRAM_WORDS, True)
+    always = brute.repeats(texts, 40, False)
+    assert any(always.values())
+    for i, text in texts.items():
+        parts = brute.line_list(text or "")
+        most = "".join(x for k, x in enumerate(parts) if k not in inside[i])
+        least = "".join(x for k, x in enumerate(parts) if k not in always[i])
+        assert len(most) <= len(got[i] or "") <= len(least), i
+
+
 # --- 10: packing
 
 
