@@ -1,12 +1,15 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Each rule rejects documents whose value is at or above a cutoff. A cutoff is certified for
-a stratum if, were its rate of rejecting good documents above the allowed risk, as few
-rejections as the labelled holdout shows would have a binomial probability of at most
-DELTA over the number of tests made (Bonferroni). The lowest certified cutoff is used; a
-rule without one rejects nothing. The risk is shared among the rules, so that together
-they reject at most RISK of a stratum's good documents, with probability 1 - DELTA over
-all strata.
+Every rule measures how far a document is above what good ones have, in units of their
+spread; the furthest rule is the document's level. A quarter of the labelled holdout gives
+those units, by stratum, and the other part tests cutoffs of the level. A cutoff is
+certified if, were its rate of rejecting good documents above RISK, as few rejections as
+were seen would have a binomial probability of at most DELTA over the number of strata.
+Cutoffs are tested from the strictest down and the first failure ends the sequence, so
+each has the whole error probability. All rules together reject at most RISK of a stratum's
+good documents, with probability 1 - DELTA over all strata; a stratum without a certified
+cutoff rejects nothing. With no good document rejected, a cutoff needs 217 tested good
+documents in each of four strata (317 in each of 30), some 290 (425) with the quarter.
 """
 
 from __future__ import annotations
@@ -18,8 +21,10 @@ from skyledger.llm.common import written
 
 #: Allowed share of good documents rejected in a stratum, and the chance of exceeding it.
 RISK, DELTA = 0.02, 0.05
-#: Cutoffs tried for each rule: multiples of its step.
+#: Steps of each rule's value, and levels of a document.
 STEPS = 64
+#: Levels per spread of the good documents, and the part of the holdout that gives it.
+FINENESS, LEARNING = 4, 4
 
 #: Rules: the value as SQL over the features, and the step between cutoffs.
 RULES = {
@@ -106,7 +111,7 @@ def base_failed() -> Column:
 
 
 def steps() -> Column:
-    """For each rule, which cutoff (0 to STEPS) the document reaches; null without words."""
+    """For each rule, which step (0 to STEPS) the document reaches; null without words."""
     reached = [
         F.expr(f"least({STEPS}, cast(floor(({value}) / {step}) as int))").alias(name)
         for name, (value, step) in RULES.items()
@@ -142,34 +147,65 @@ def binomial_at_most(k: Column, n: Column, p: float) -> Column:
     return F.when(k >= n * p, 1.0).otherwise(F.exp(log_term) * total)
 
 
+def _levels() -> Column:
+    """Rule to level (0 to STEPS) of ``_steps``, by the ``_units`` of the stratum."""
+    each = [
+        f"""'{name}', least({STEPS}, greatest(0, cast(floor({FINENESS} * (_steps.{name} - _units['{name}'][1])
+            / greatest(1, _units['{name}'][1] - _units['{name}'][0])) as int)))"""
+        for name in RULES
+    ]
+    return F.expr(f"map({', '.join(each)})")
+
+
 def certified_cutoffs(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, rule, cutoff): the lowest certified cutoff of each rule and stratum.
+    """(_stratum, _units, _cutoff): of every stratum with good labels to learn from, the
+    median and the share ``1 - risk`` of their steps by rule, and the lowest certified
+    cutoff of the level, if any.
 
-    ``labelled`` has stratum, good (boolean) and ``steps``. Counts are taken over all
-    labelled rows; what follows works on at most STEPS + 1 counts per rule and stratum.
+    ``labelled`` has doc_id, _stratum, good (boolean) and ``_steps``. Counts are taken over
+    all labelled rows; what follows works on at most STEPS + 1 counts per rule and stratum.
     """
-    good = labelled.where("good and steps is not null")
-    counts = (
-        good.select("stratum", F.explode(F.array(*(
-            F.struct(F.lit(name).alias("rule"), F.col(f"steps.{name}").alias("step")) for name in RULES
+    good = labelled.where("good and _steps is not null")
+    learns = F.pmod(F.xxhash64("doc_id"), F.lit(LEARNING)) == 0
+    units = written(
+        good.where(learns)
+        .select("_stratum", F.explode(F.array(*(
+            F.struct(F.lit(name).alias("rule"), F.col(f"_steps.{name}").alias("step")) for name in RULES
         ))).alias("x"))
-        .groupBy("stratum", "x.rule", "x.step")
+        .groupBy("_stratum", "x.rule", "x.step")
         .agg(F.count("*").alias("n"))
+        .groupBy("_stratum", "rule")
+        .agg(F.expr(f"percentile(step, array(0.5, {1 - risk}), n)").alias("unit"))
+        .groupBy("_stratum")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "unit"))).alias("_units")),
+        "units",
     )
-    whole = counts.groupBy("stratum", "rule").agg(F.sum("n").alias("total"), F.map_from_entries(
-        F.collect_list(F.struct("step", "n"))).alias("by_step"))
-    whole = written(whole, "label-counts")
-    tests = max(1, whole.count() * STEPS)  # every cutoff of every rule and stratum
-    tried = whole.withColumn("cutoff", F.explode(F.sequence(F.lit(1), F.lit(STEPS))))
-    rejected = tried.withColumn(
+    level = F.array_max(F.map_values(_levels()))
+    whole = written(
+        good.where(~learns)
+        .join(units, "_stratum")
+        .select("_stratum", level.alias("level"))
+        .groupBy("_stratum", "level")
+        .agg(F.count("*").alias("n"))
+        .groupBy("_stratum")
+        .agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("level", "n"))).alias("by_level"))
+        # fewer could not be certified if there were no other stratum; their number tells nothing of rejections
+        .where(F.pow(F.lit(1 - risk), F.col("total")) <= delta),
+        "label-counts",
+    )
+    strata = max(1, whole.count())
+    tried = whole.withColumn("cutoff", F.explode(F.sequence(F.lit(1), F.lit(STEPS)))).withColumn(
         "rejected",
-        F.expr("aggregate(map_values(map_filter(by_step, (s, n) -> s >= cutoff)), 0L, (a, n) -> a + n)"),
+        F.expr("aggregate(map_values(map_filter(by_level, (s, n) -> s >= cutoff)), 0L, (a, n) -> a + n)"),
+    )
+    passes = (
+        binomial_at_most(F.col("rejected").cast("double"), F.col("total").cast("double"), risk) <= delta / strata
     )
-    share = risk / len(RULES)
-    passed = rejected.where(
-        binomial_at_most(F.col("rejected").cast("double"), F.col("total").cast("double"), share) <= delta / tests
+    # the cutoff above the first failure from the top
+    cutoffs = tried.groupBy("_stratum").agg(
+        (F.coalesce(F.max(F.when(~passes, F.col("cutoff"))), F.lit(0)) + 1).alias("_cutoff")
     )
-    return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    return units.join(cutoffs.where(F.col("_cutoff") <= STEPS), "_stratum", "left")
 
 
 def judge(
@@ -185,9 +221,8 @@ def judge(
 
     ``labels`` has doc_id and quality; a document labelled good once is good, and rows
     without an id or label do not count. A null stratum is a stratum; one without enough
-    labels has no cutoffs. Texts are measured once and not shuffled. Cutoffs are a row per
-    stratum, and a stratum needs some hundred labelled documents to have any, so their
-    side of the join is small.
+    labels (see above) has no cutoff. Texts are measured once and not shuffled. Cutoffs are
+    a row per stratum with labelled documents, so their side of the join is small.
     """
     stratum = F.coalesce(F.col(stratum_column).cast("string"), F.lit("\0none"))
     measured = written(
@@ -199,20 +234,15 @@ def judge(
         .groupBy("doc_id")
         .agg((F.max("quality") > 0).alias("good"))
     )
-    labelled = measured.select(
-        "doc_id", F.col("_stratum").alias("stratum"), F.col("_steps").alias("steps")
-    ).join(known, "doc_id")
-    cutoffs = certified_cutoffs(labelled, risk, delta).groupBy("stratum").agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")
-    )
-    met = measured.join(cutoffs.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
+    labelled = measured.select("doc_id", "_stratum", "_steps").join(known, "doc_id")
+    met = measured.join(certified_cutoffs(labelled, risk, delta), "_stratum", "left").withColumn("_levels", _levels())
     fired = F.filter(
-        F.array(*(F.when(F.col(f"_steps.{name}") >= F.col("_cutoffs")[name], F.lit(name)) for name in RULES)),
+        F.array(*(F.when(F.col("_levels")[name] >= F.col("_cutoff"), F.lit(name)) for name in RULES)),
         lambda x: x.isNotNull(),
     )
     return (
         met.withColumn("base_failed", base_failed())
         .withColumn("rejected_by", fired)
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
-        .drop("_stratum", "_steps", "_cutoffs")
+        .drop("_stratum", "_steps", "_units", "_levels", "_cutoff")
     )

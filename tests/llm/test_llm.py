@@ -306,6 +306,21 @@ def test_quality_keeps_good_documents(spark, rows):
     assert quality.judge(rows([]), labels).count() == 0
 
 
+def test_quality_rules_fire_with_some_hundred_labels(spark, rows):
+    """400 good and 60 bad labelled documents beside a large stratum, at the default risk."""
+    texts = [prose(80, s) if s % 8 else "# " * 40 + prose(80, s) for s in range(460)]
+    texts += [prose(80, s) for s in range(460, 1500)]
+    docs = rows(texts).withColumn("lang", F.when(F.col("doc_id") < 460, "small").otherwise("large"))
+    labels = spark.createDataFrame([(s, int(s >= 460 or s % 8 > 0)) for s in range(1500)], "doc_id bigint, quality int")
+    got = {r["doc_id"]: r for r in quality.judge(docs, labels).collect()}
+    bad = [s for s in range(460) if s % 8 == 0]
+    assert not any(got[s]["kept"] or got[s]["base_failed"] for s in bad)
+    assert all("symbols" in got[s]["rejected_by"] for s in bad)
+    for part in (range(460), range(460, 1500)):
+        good = [bool(got[s]["rejected_by"]) for s in part if s >= 460 or s % 8]
+        assert sum(good) <= quality.RISK * len(good)
+
+
 # --- 7: toxicity
 
 
