@@ -49,7 +49,8 @@ def _bare(text: Column) -> Column:
 
 
 def _words(line: Column) -> Column:
-    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    """Its white space plus one: words also end at tabs and the like."""
+    spaces = F.octet_length(line) - F.octet_length(F.translate(line, " \t\v\f\r", ""))
     return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
 
 

@@ -491,6 +491,13 @@ def test_line_dedup_removes_all_of_long_runs(spark, sf_dir, monkeypatch):
         assert len(most) <= len(got[i] or "") <= len(least), i
 
 
+def test_line_dedup_counts_words_between_tabs(rows):
+    """60 words on ten lines of a table whose columns tabs part."""
+    block = "".join(plain(6, k).replace(" ", "\t") + "\n" for k in range(10))
+    got = texts_of(line_dedup.without_repeats(rows([f"one\n{block}two\n", f"three\n{block}four\n"])))
+    assert got == {0: f"one\n{block}two\n", 1: "three\nfour\n"}
+
+
 # --- 10: packing
 
 
