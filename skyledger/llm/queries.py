@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
+from skyledger.llm import bpe, chat, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
 from skyledger.llm.common import table
 from skyledger.session import new_workspace
 
@@ -136,6 +136,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token numbers and of the text they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = bpe.decoded(bpe.encoded(docs))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
@@ -147,5 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_bpe_codec": op12_bpe_codec,
 }
 from skyledger.llm.sql import ORACLE  # noqa: E402, F401
