@@ -4,6 +4,8 @@ batches of rows for tasks."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +18,35 @@ from skyledger.session import new_workspace
 HOT_ROWS, HOT_KEYS = 2_000, 100_000
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+_Scope = list[tuple[SparkSession, str]]
+_SCOPES: ContextVar[tuple[_Scope, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that ``written`` makes inside are deleted at the end, but for those to keep."""
+    mine: _Scope = []
+    before = _SCOPES.set((*_SCOPES.get(), mine))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(before)
+        for spark, path in mine:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the folder that all executors share.
 
     Cuts lineage: what is computed once is not computed again for each use, nor when an
-    executor is lost. The folder belongs to the caller's ``spark.checkpoint.dir``.
+    executor is lost. The folder belongs to the caller's ``spark.checkpoint.dir``; inside
+    ``scratch`` the table goes with the others, or with ``keep`` with those around them.
     """
     path = new_workspace(df.sparkSession, label)
+    scopes = _SCOPES.get()[:-1] if keep else _SCOPES.get()
+    if scopes:
+        scopes[-1].append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

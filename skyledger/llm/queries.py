@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, chat, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
+from skyledger.llm import bpe, chat, collocations, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
 from skyledger.llm.common import table
 from skyledger.session import new_workspace
 
@@ -148,6 +148,16 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Collocations listed of each language.
+LISTED = 2_000
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.best_collocations(docs, LISTED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
@@ -160,5 +170,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_bpe_codec": op12_bpe_codec,
+    "op13_collocations": op13_collocations,
 }
 from skyledger.llm.sql import ORACLE  # noqa: E402, F401

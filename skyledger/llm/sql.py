@@ -66,7 +66,55 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM cut
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM pieces
+), placed AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM listed
+), sized AS (
+  SELECT lang, ws, i, unnest([1, 2, 3, 4]) AS m FROM placed
+), counts AS (
+  SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS a
+  FROM sized WHERE i + m - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, count(*) AS n FROM placed GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, a, string_split(phrase, ' ') AS ws FROM counts WHERE m > 1
+), cuts AS (
+  SELECT lang, m, phrase, a, ws, unnest(range(1, m)) AS k FROM candidates
+), weighed AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r,
+         (2000000::HUGEINT * c.a) // (l.a + r.a) AS score
+  FROM cuts c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1 : c.k], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.k + 1 : c.m], ' ')
+), weakest AS (
+  SELECT lang, phrase, a, l, r, score FROM weighed
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), begun AS (
+  SELECT lang, ws, m, a, unnest(range(1, m + 1)) AS i FROM candidates WHERE m > 2
+), inside AS (
+  SELECT lang, ws, m, a, i, unnest(range(2, m)) AS size FROM begun
+), longest AS (
+  SELECT lang, array_to_string(ws[i : i + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM inside WHERE i + size - 1 <= m GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM weakest w LEFT JOIN longest x USING (lang, phrase)
+  WHERE x.longer IS NULL OR 100 * x.longer < 80 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, t.n, score::BIGINT AS score
+FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
+    "op13_collocations": COLLOCATIONS,
     "op1_url_filter": URL_FILTER,
     "op2_chat_format": CHAT_FORMAT,
     "op8_warc": WARC,
