@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, chat, collocations, decontamination, line_dedup, near_duplicates, packing, pii, quality, toxicity, url_filter, warc
+from skyledger.llm import bpe, chat, collocations, decontamination, line_dedup, near_duplicates, packing, pii, quality, spelling, toxicity, url_filter, warc
 from skyledger.llm.common import table
 from skyledger.session import new_workspace
 
@@ -136,6 +136,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+#: One run in so many loses a character, document by document.
+DAMAGE = 31
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the near word that it is a variant of."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.words_of(docs, DAMAGE))
+
+
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token numbers and of the text they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -169,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_bpe_codec": op12_bpe_codec,
     "op13_collocations": op13_collocations,
 }
