@@ -31,8 +31,8 @@ from tokenizers import Tokenizer
 
 from skyledger.llm.common import pieces, taken
 
-#: Chunks of text, and words, whose ids a worker remembers, and how long they may be.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+#: Chunks of text whose ids a worker remembers, and how long they may be.
+REMEMBERED, REMEMBERED_CHARS = 1_000_000, 64
 #: Texts whose ids are in memory at a time.
 TEXTS = 256
 
@@ -45,6 +45,19 @@ _NORMALIZER = {
         {"type": "Lowercase"},
     ],
 }
+# Fixed value: the split that the library describes so.
+_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _SPACES = re.compile("[\t-\r \x85\xa0]+")
 
 #: Follows the last character of a word inside the automaton.
@@ -134,8 +147,11 @@ class Automaton:
     def encode(self, word: str) -> list[int]:
         """The arcs of the one path that reads a word. Longer arcs are tried first; a place
         that led nowhere from a state is not tried from it again."""
-        text, heads, follows = word + _END, self.heads, self.follows
-        path, open_arcs, dead, at, n = [], [], set(), 0, len(word) + 1
+        text, heads, n = word + _END, self.heads, len(word) + 1
+        whole = heads.get(text, -1)
+        if whole >= 0:
+            return [whole]
+        path, open_arcs, dead, at = [], [], set(), 0
         while at < n:
             # tokens that read on from here, the shortest first
             found, stop = [], at + 1
@@ -150,7 +166,7 @@ class Automaton:
             while True:  # the longest that has an arc; or back to the place before
                 if found:
                     stop, token = found.pop(), found.pop()
-                    if not path or follows(path[-1], token):
+                    if not path or self.follows(path[-1], token):
                         path.append(token)
                         open_arcs.append((at, found))
                         at = stop
@@ -163,6 +179,14 @@ class Automaton:
         return path
 
 
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones
+    for themselves, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 def _is_latin(text: str) -> bool:
     try:
         text.encode("latin-1")
@@ -200,21 +224,28 @@ class Codec:
         texts = sorted(self.added, key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(map(re.escape, texts)) + ")") if texts else None
         library = Tokenizer.from_file(vocabulary)
-        self.plain = told["normalizer"] == _NORMALIZER
+        self.plain = told["normalizer"] == _NORMALIZER and told["pre_tokenizer"] == _SPLIT
         self.normalize = library.normalizer.normalize_str if library.normalizer else str
         self.split = library.pre_tokenizer.pre_tokenize_str
         self.known: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = _remember(self.words, word, tuple(self.automaton.encode(word)))
-        return ids
+        symbols = byte_symbols()
+        self.symbols = {k: symbols[k] for k in range(256)}
+        self.marked = {mark: tuple(self.automaton.encode(symbols[ord(mark)])) for mark in ".,;:!?"}
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        found = [self._word(word) for word, _ in self.split(chunk)]
-        return _remember(self.known, chunk, found[0] if len(found) == 1 else tuple(i for ids in found for i in ids))
+        """The ids of a chunk that is not remembered. Letters are one word; most others are
+        letters with one mark behind, which are two."""
+        if self.plain and _is_latin(chunk):
+            if chunk.isalpha():
+                word = chunk.encode().decode("latin-1").translate(self.symbols)
+                return _remember(self.known, chunk, tuple(self.automaton.encode(word)))
+            head, mark = chunk[:-1], chunk[-1]
+            if head.isalpha() and mark in self.marked:
+                ids = self.known.get(head)
+                return (self._chunk(head) if ids is None else ids) + self.marked[mark]
+        return _remember(
+            self.known, chunk, tuple(i for word, _ in self.split(chunk) for i in self.automaton.encode(word))
+        )
 
     def _chunks(self, part: str) -> list[str]:
         """The normalised text between spaces. Of the first 256 characters every one is its
