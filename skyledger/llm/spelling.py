@@ -67,13 +67,22 @@ def words_of(docs: DataFrame, damage: int | None = None, least: int = LEAST) ->
 
 
 _PATHS = pa.schema(
-    [("word", pa.string()), ("n", pa.int64()), ("back", pa.bool_()), ("size", pa.int32()), ("nodes", pa.list_(pa.int64()))]
+    [
+        ("word", pa.string()),
+        ("n", pa.int64()),
+        ("back", pa.bool_()),
+        ("first", pa.int32()),
+        ("nodes", pa.list_(pa.int64())),
+        ("letters", pa.list_(pa.int32())),
+    ]
 )
+_PATHS_DDL = "word string, n bigint, back boolean, first int, nodes array<bigint>, letters array<int>"
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every word forwards and backwards, with the nodes on its path from one character
-    before its middle on. A node is the sum of its characters' hashes times powers."""
+    before its middle on, and the letter that follows each (-1 at the end). A node is the
+    sum of its characters' hashes times powers."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -81,29 +90,34 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(w) for w in words])
         starts = np.cumsum(sizes) - sizes
         total = int(sizes.sum())
-        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         place = np.arange(total) - np.repeat(starts, sizes)
         powers = np.full(int(sizes.max()) + 1, 0x5851F42D4C957F2D, np.uint64)
         powers[0] = 1
         powers = np.multiply.accumulate(powers)
+        firsts = sizes // 2 - 1
+        # one node more than letters from the first on
+        counts = sizes - firsts + 1
+        offsets = np.append(0, np.cumsum(counts))
+        depth = np.arange(offsets[-1]) - np.repeat(offsets[:-1], counts) + np.repeat(firsts, counts)
+        at = np.repeat(starts, counts) + depth
+        ended = depth == np.repeat(sizes, counts)
         for back in (False, True):
             own = letters if not back else letters[np.repeat(starts + sizes - 1, sizes) - place]
             # characters of both directions are told apart, and so are the tries
-            values = mix(own + stream(11 + back, 1)) * powers[place]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-            nodes = []
-            for start, size in zip(starts.tolist(), sizes.tolist(), strict=True):
-                first = size // 2 - 1
-                inside = sums[start + first : start + size + 1] - sums[start]
-                nodes.append(mix(inside + np.arange(first, size + 1, dtype=np.uint64)).view(np.int64))
-            turned = [w[::-1] for w in words] if back else words
+            values = mix(own.astype(np.uint64) + stream(11 + back, 1)) * powers[place]
+            sums = np.append(np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64))
+            nodes = mix(sums[at] - np.repeat(sums[starts], counts) + depth.astype(np.uint64)).view(np.int64)
+            following = np.where(ended, -1, np.append(own, -1)[np.where(ended, total, at)]).astype(np.int32)
+            index = pa.array(offsets.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(turned, pa.string()),
+                    pa.array([w[::-1] for w in words] if back else words, pa.string()),
                     batch.column("n").cast(pa.int64()),
                     pa.array([back] * len(words)),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(nodes, pa.list_(pa.int64())),
+                    pa.array(firsts.astype(np.int32)),
+                    pa.ListArray.from_arrays(index, pa.array(nodes)),
+                    pa.ListArray.from_arrays(index, pa.array(following)),
                 ],
                 schema=_PATHS,
             )
@@ -112,47 +126,55 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, states without an edit) of both tries, as written tables.
 
-    Edges: node, ch, label, child, and the word that ends at the child with its count.
-    States: word, node, rest, and the word that ends at the node with its count.
+    Edges: node, ch, label, child, the count of the word that ends at the child, and the
+    letters that go on from there. States: word, back, at, node, and the count of the word
+    that ends at the node.
     """
-    ddl = "word string, n bigint, back boolean, size int, nodes array<bigint>"
-    paths = written(words.mapInArrow(_paths, ddl), "paths")
-    steps = paths.select("word", "n", "back", "size", F.posexplode("nodes").alias("at", "node")).withColumn(
-        "at", F.expr("at + size div 2 - 1").cast("int")
-    )
-    ch = F.when(F.col("at") < F.col("size"), F.expr("substring(word, at + 1, 1)"))
-    ends = F.when(F.col("at") == F.col("size"), F.struct(F.col("word").alias("end"), F.col("n").alias("end_n")))
-    nodes = written(
-        steps.select("node", ch.alias("ch"), ends.alias("ends"))
-        .groupBy("node")
-        .agg(F.min("ch").alias("low"), F.max("ch").alias("high"), F.max("ends").alias("ends"))
-        .where("ends is not null or low <> high")
-        .select("node", "ends.*"),
-        "nodes",
-    )
-    stops = F.sort_array(F.collect_list(F.struct("at", "node", "end", "end_n")))
-    met = steps.join(nodes, "node").groupBy("word", "back", "size").agg(stops.alias("stops"))
-    stopped = written(met, "stops")
-    # from each stop of a path to the next; the last is the word's own end
-    edge = F.expr(
-        """explode(transform(slice(stops, 1, size(stops) - 1), (s, i) -> struct(
-             s.node as node,
-             substring(word, s.at + 1, stops[i + 1].at - s.at) as label,
-             stops[i + 1].node as child, stops[i + 1].end as end, stops[i + 1].end_n as end_n)))"""
-    )
-    every = stopped.where("size(stops) > 1").select(edge.alias("e")).select("e.*")
-    # all words on an edge have the same label and child
-    edges = (
-        every.withColumn("ch", F.substring("label", 1, 1))
-        .groupBy("node", "ch")
-        .agg(*(F.max(c).alias(c) for c in ("label", "child", "end", "end_n")))
-    )
-    states = (
-        stopped.select("word", "back", "size", F.explode("stops").alias("s"))
-        .where("s.at >= size div 2")
-        .select("word", "back", "s.node", F.expr("substring(word, s.at + 1, size - s.at)").alias("rest"), "s.end", "s.end_n")
-    )
-    return written(edges, "edges", keep=True), written(states, "first-states", keep=True)
+    with scratch():
+        paths = written(words.mapInArrow(_paths, _PATHS_DDL), "paths")
+        steps = paths.select(
+            "word", "n", "back", "first", F.posexplode(F.arrays_zip("nodes", "letters")).alias("place", "step")
+        ).select("word", "n", "back", (F.col("first") + F.col("place")).alias("at"), "step.nodes", "step.letters")
+        nodes = written(
+            steps.groupBy(F.col("nodes").alias("node"))
+            .agg(
+                F.min("letters").alias("low"),
+                F.max("letters").alias("high"),
+                F.max(F.when(F.col("letters") == -1, F.col("n"))).alias("end_n"),
+            )
+            .where("low = -1 or low <> high")
+            .select("node", "end_n"),
+            "nodes",
+        )
+        met = steps.select("word", "back", "at", F.col("nodes").alias("node")).join(nodes, "node")
+        stops = F.sort_array(F.collect_list(F.struct("at", "node", "end_n")))
+        stopped = written(met.groupBy("word", "back").agg(stops.alias("stops")), "stops")
+        # from each stop of a path to the next; the last is the word's own end
+        edge = F.expr(
+            """explode(transform(slice(stops, 1, size(stops) - 1), (s, i) -> struct(
+                 s.node as node,
+                 substring(word, s.at + 1, stops[i + 1].at - s.at) as label,
+                 stops[i + 1].node as child, stops[i + 1].end_n as end_n)))"""
+        )
+        every = stopped.where("size(stops) > 1").select(edge.alias("e")).select("e.*")
+        # all words on an edge have the same label and child
+        edges = written(
+            every.withColumn("ch", F.substring("label", 1, 1))
+            .groupBy("node", "ch")
+            .agg(*(F.max(c).alias(c) for c in ("label", "child", "end_n"))),
+            "bare-edges",
+        )
+        onward = edges.groupBy("node").agg(F.array_join(F.collect_list("ch"), "").alias("onward"))
+        known = edges.join(onward.withColumnRenamed("node", "child"), "child", "left")
+        states = stopped.select("word", "back", F.explode("stops").alias("s")).where("s.at >= char_length(word) div 2")
+        return (
+            written(known.withColumn("onward", F.coalesce("onward", F.lit(""))), "edges", keep=True),
+            written(states.select("word", "back", "s.*"), "first-states", keep=True),
+        )
+
+
+#: A state may end where a word ends, and go on where an edge begins with its next letter.
+_ALIVE = "if(rest = '', end_n is not null, instr(onward, substring(rest, 1, 1)) > 0)"
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -160,32 +182,43 @@ def neighbours(words: DataFrame) -> DataFrame:
     in both orders, from (word, n) with each word once and no word of less than two."""
     with scratch():
         edges, states = _trie(words)
-        found = []
+        # a word that ends one character before this one does
+        shorter = states.where("end_n is not null and at = char_length(word) - 1")
+        found = [shorter.select("word", "back", F.expr("substring(word, 1, at)").alias("near"), "end_n")]
 
         def split(met: DataFrame, level: int) -> DataFrame:
             """Those that have found a neighbour are noted, the others go on."""
-            stored = written(met, f"frontier-{level}")
-            found.append(stored.where("rest = '' and end is not null").select("word", "back", "end", "end_n"))
-            return stored.where("rest <> ''").select("word", "back", "node", "rest")
+            stored = written(met.where(_ALIVE).drop("onward"), f"frontier-{level}")
+            found.append(stored.where("rest = ''").select("word", "back", "near", "end_n"))
+            return stored.where("rest <> ''").drop("end_n")
 
-        # a word that ends one character before this one does
-        found.append(states.where("char_length(rest) = 1 and end is not null").select("word", "back", "end", "end_n"))
-        leaving = states.select("word", "back", "node", "rest").join(
-            edges.where("char_length(label) > 0"), "node"
-        ).where("ch <> substring(rest, 1, 1)")
-        rest_from = lambda skip: f"substring(rest, {skip} + char_length(label), char_length(rest))"
-        edited = F.expr(
+        leaving = (
+            states.select("word", "back", "at", "node", F.expr("substring(word, at + 1, 1)").alias("own"))
+            .join(edges, "node")
+            .where("ch <> own")
+        )
+        after = lambda skip: f"substring(word, at + {skip} + 1, char_length(word))"
+        tail = "substring(label, 2, char_length(label))"
+        edits = F.expr(
             f"""inline(filter(array(
-              struct(rest <> '' and startswith(substring(rest, 2, char_length(rest)), substring(label, 2, char_length(label))) as fits,
-                     {rest_from(1)} as left),
-              struct(startswith(rest, substring(label, 2, char_length(label))) as fits, {rest_from(0)} as left),
-              struct(rest <> '' and startswith(substring(rest, 2, char_length(rest)), label) as fits,
-                     {rest_from(2)} as left)), e -> e.fits))"""
+              struct(own <> '' and startswith({after(1)}, {tail}) as fits, ch as put, 1 as skip, char_length(label) - 1 as read),
+              struct(startswith({after(0)}, {tail}) as fits, ch as put, 0 as skip, char_length(label) - 1 as read),
+              struct(own <> '' and startswith({after(1)}, label) as fits, '' as put, 1 as skip, char_length(label) as read)
+            ), e -> e.fits))"""
         )
-        begun = leaving.select("word", "back", "child", "end", "end_n", "rest", "label", edited)
+        begun = leaving.select("word", "back", "at", "child", "end_n", "onward", "label", "ch", "own", edits)
         level = 0
         frontier = split(
-            begun.select("word", "back", F.col("child").alias("node"), F.col("left").alias("rest"), "end", "end_n"), level
+            begun.select(
+                "word",
+                "back",
+                F.expr(f"concat(substring(word, 1, at), put, {after('skip')})").alias("near"),
+                F.col("child").alias("node"),
+                F.expr(f"{after('skip + read')}").alias("rest"),
+                "end_n",
+                "onward",
+            ),
+            level,
         )
         while not frontier.isEmpty():
             level += 1
@@ -194,10 +227,11 @@ def neighbours(words: DataFrame) -> DataFrame:
                 ahead.where(F.startswith("rest", "label")).select(
                     "word",
                     "back",
+                    "near",
                     F.col("child").alias("node"),
-                    F.expr(rest_from(1)).alias("rest"),
-                    "end",
+                    F.expr("substring(rest, char_length(label) + 1, char_length(rest))").alias("rest"),
                     "end_n",
+                    "onward",
                 ),
                 level,
             )
@@ -208,7 +242,7 @@ def neighbours(words: DataFrame) -> DataFrame:
         turned = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
         half = F.expr("char_length(word) div 2")
         agree = F.substring("word", F.lit(1), half) == F.substring("near", F.lit(1), half)
-        both = pairs.select(turned("word").alias("word"), turned("end").alias("near"), F.col("end_n").alias("near_n"), "back")
+        both = pairs.select(turned("word").alias("word"), turned("near").alias("near"), F.col("end_n").alias("near_n"), "back")
         return written(both.where(~F.col("back") | ~agree).drop("back"), "neighbours", keep=True)
 
 
