@@ -298,10 +298,20 @@ def tolerant_scan(spark, sf_dir):
 
 @query
 def gallery_images(spark, sf_dir):
-    """Images of the gallery where Silver has none: they come from the landed records."""
+    """Images of the gallery before Silver has any: they come from the landed records."""
     t = Tables(spark, sf_dir)
     raw = launch_frame.images_from_raw(t.raw("raw_catalogue_images"), t.raw("raw_vendor_images"))
-    chosen = launch_frame.choose_images(tables.load_images(t.images.where("launch_year < 0")), raw)
+    nothing_yet = spark.createDataFrame([], t.images.schema)
+    chosen = launch_frame.choose_images(tables.load_images(nothing_yet), raw)
+    return chosen.select("source", "launch_name", "launch_year", "image_url")
+
+
+@query
+def gallery_silver_images(spark, sf_dir):
+    """Images of the gallery once Silver has them: repeats within a record are gone."""
+    t = Tables(spark, sf_dir)
+    raw = launch_frame.images_from_raw(t.raw("raw_catalogue_images"), t.raw("raw_vendor_images"))
+    chosen = launch_frame.choose_images(tables.load_images(t.images), raw)
     return chosen.select("source", "launch_name", "launch_year", "image_url")
 
 
@@ -328,7 +338,7 @@ def run_manifest(spark, sf_dir):
 
 over(
     "data_status",
-    lambda t: status.data_status(t.raw("landed_records"), ["launches", "images", "weather"]),
+    lambda t: status.data_status(t.raw("landed_records"), ["launches", "images", "catalogue_images", "weather"]),
 )
 
 
@@ -364,9 +374,9 @@ def json_roundtrip(spark, sf_dir):
 
 @query
 def rockets_roundtrip(spark, sf_dir):
-    """RAW rockets written, read back as whole documents and normalised."""
+    """RAW rockets written as one array over many lines, read back and normalised."""
     path = new_workspace(spark, "rockets")
-    sinks.write_json_lines(domain.raw_rockets(spark, sf_dir), path)
+    sinks.write_json_array(domain.raw_rockets(spark, sf_dir), path)
     return silver.silver_rockets(landing.read_rockets(spark, path))
 
 
@@ -408,29 +418,34 @@ def landed_manifest(spark, sf_dir):
 
 @query
 def landed_status(spark, sf_dir):
-    """Lines of each dataset in the newest five of seven run folders."""
+    """Lines of each dataset in the newest five run folders; each run lands the launches of
+    one year of orders, every second one the rockets too."""
     base = new_workspace(spark, "runs")
-    launches = domain.raw_launches(spark, sf_dir)
-    for month in range(1, 8):
-        part = launches.where((F.col("id").cast("bigint") % 7) < month)
-        run = {K.LAUNCHES_FILE: part} | ({K.ROCKETS_FILE: domain.raw_rockets(spark, sf_dir)} if month % 2 else {})
-        status.land_run(spark, base, run, {"month": month}, run_id=f"2024-{month:02d}")
+    orders = domain.table(spark, sf_dir, "orders")
+    bounds = orders.agg(F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
+    years = orders.select(F.col("o_orderkey").cast("string").alias("id"), F.year("o_orderdate").alias("year"))
+    launches = domain.raw_launches(spark, sf_dir).join(years, "id")
+    for year in range(bounds["first"], bounds["last"] + 1):
+        run = {K.LAUNCHES_FILE: launches.where(F.col("year") == year).drop("year")}
+        if year % 2:
+            run[K.ROCKETS_FILE] = domain.raw_rockets(spark, sf_dir)
+        status.land_run(spark, base, run, {"year": year}, run_id=str(year))
     return status.landed_status(spark, base, [K.LAUNCHES_FILE, K.ROCKETS_FILE])
 
 
 @query
 def incremental_landing(spark, sf_dir):
-    """Landed JSON files taken in by a stream, a few files at a time, as Silver rows."""
+    """Landed JSON files taken in by a stream, a bounded number of bytes at a time, as
+    Silver rows."""
     base = new_workspace(spark, "stream")
-    pages = domain.raw_launches(spark, sf_dir)
-    sinks.write_json_lines(pages, f"{base}/landing", records_per_file=1_000)
+    sinks.write_json_lines(domain.raw_launches(spark, sf_dir), f"{base}/landing")
     land_new_files(
         spark,
         f"{base}/landing",
         schemas.LAUNCH,
         f"{base}/silver",
         f"{base}/cursor",
-        files_per_batch=4,
+        bytes_per_batch=32 << 20,
         transform=silver.silver_launches,
     )
     return tables.read_table(spark, f"{base}/silver").select(
@@ -593,3 +608,5 @@ over(
 
 # --- Table -------------------------------------------------------------------------------
 over("launch_explorer", lambda t: explorer.launch_explorer(t.features))
+
+from skyledger.bindings import upkeep  # noqa: E402, F401  (registers its queries)

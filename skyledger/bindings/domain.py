@@ -8,8 +8,6 @@ nulls, so some fields are emptied by rule to exercise the null handling.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,17 +33,9 @@ def iso(column: str) -> str:
     return f"date_format({column}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
-@cache
-def _declared(spark: SparkSession, path: str) -> T.StructType:
-    return spark.read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. Its footers are read once per session for the schema.
-    Times are read and written in UTC throughout."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_declared(spark, path)).parquet(path)
+    """One driver table. Sessions of ``build_session`` read and write times in UTC."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,10 +222,11 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(run_id, dataset)`` of every record: launches, vendor images, weather."""
+    """``(run_id, dataset)`` of every record: launches, vendor and catalogue images, weather."""
     launches = run_records(spark, sf_dir).selectExpr("run_id", "'launches' AS dataset")
-    images = table(spark, sf_dir, "lineitem").where("l_returnflag = 'N'").selectExpr(
-        "date_format(l_shipdate, 'yyyyMM') AS run_id", "'images' AS dataset"
+    images = table(spark, sf_dir, "lineitem").selectExpr(
+        "date_format(l_shipdate, 'yyyyMM') AS run_id",
+        "CASE WHEN l_returnflag = 'N' THEN 'images' ELSE 'catalogue_images' END AS dataset",
     )
     weather = table(spark, sf_dir, "events").selectExpr(
         "date_format(ts, 'yyyyMM') AS run_id", "'weather' AS dataset"

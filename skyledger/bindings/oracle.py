@@ -7,6 +7,7 @@ import re
 from skyledger import constants as K
 from skyledger.bindings.catalogue import AFTER_CARD, FILTER, PAGE, SEARCH
 from skyledger.bindings.domain import BRAND_COSTS
+from skyledger.bindings.upkeep import DEEP_PAGE, PAGES_A_RUN, RESET_RUN
 
 SUCCESS, FAILURE, UNKNOWN = K.SUCCESS_LABEL, K.FAILURE_LABEL, K.UNKNOWN_LABEL
 
@@ -448,10 +449,9 @@ QUERIES = {
     "tolerant_scan": """SELECT id, name, net, CASE WHEN cast(id AS bigint) % 6 <> 2 AND has_status THEN 'Status ' || o_orderstatus END status_name,
           CASE WHEN cast(id AS bigint) % 6 = 2 THEN '["' || id || '"]' END image
         FROM landed WHERE cast(id AS bigint) % 6 NOT IN (0, 3)""",
-    "landed_status": f"""SELECT run_id, dataset, CASE WHEN dataset = '{K.ROCKETS_FILE}'
-          THEN CASE WHEN month % 2 = 1 THEN (SELECT count(DISTINCT p_brand) FROM part) ELSE 0 END
-          ELSE (SELECT count(*) FROM orders WHERE o_orderkey % 7 < month) END AS rows
-        FROM (SELECT '2024-0' || month run_id, month FROM (SELECT unnest([3, 4, 5, 6, 7]) AS month))
+    "landed_status": f"""SELECT cast(year AS varchar) run_id, dataset, CASE WHEN dataset = '{K.ROCKETS_FILE}'
+          THEN CASE WHEN year % 2 = 1 THEN (SELECT count(DISTINCT p_brand) FROM part) ELSE 0 END ELSE launches END AS rows
+        FROM (SELECT year(o_orderdate) AS year, count(*) launches FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 5)
         CROSS JOIN (SELECT unnest(['{K.LAUNCHES_FILE}', '{K.ROCKETS_FILE}']) AS dataset)""",
     "latest_run_snapshot": "SELECT * FROM run_records WHERE run_id = (SELECT max(run_id) FROM run_records)",
     "runs_dedup_latest": """SELECT * FROM run_records
@@ -473,11 +473,12 @@ QUERIES = {
         UNION ALL SELECT '{K.CORES_FILE}', count(*) FROM customer
         UNION ALL SELECT '{K.SHIPS_FILE}', count(*) FROM supplier""",
     "data_status": """SELECT run_id, dataset, count(record) AS rows FROM (
-          SELECT run_id FROM (SELECT run_id FROM run_records UNION SELECT strftime(l_shipdate, '%Y%m') FROM lineitem WHERE l_returnflag = 'N'
+          SELECT run_id FROM (SELECT run_id FROM run_records UNION SELECT strftime(l_shipdate, '%Y%m') FROM lineitem
             UNION SELECT strftime(ts, '%Y%m') FROM events) ORDER BY run_id DESC LIMIT 5)
-        CROSS JOIN (VALUES ('launches'), ('images'), ('weather')) d(dataset)
+        CROSS JOIN (VALUES ('launches'), ('images'), ('catalogue_images'), ('weather')) d(dataset)
         LEFT JOIN (SELECT run_id, 'launches' dataset, 1 record FROM run_records
-          UNION ALL SELECT strftime(l_shipdate, '%Y%m'), 'images', 1 FROM lineitem WHERE l_returnflag = 'N'
+          UNION ALL SELECT strftime(l_shipdate, '%Y%m'), CASE WHEN l_returnflag = 'N' THEN 'images' ELSE 'catalogue_images' END, 1
+            FROM lineitem
           UNION ALL SELECT strftime(ts, '%Y%m'), 'weather', 1 FROM events) USING (run_id, dataset) GROUP BY 1, 2""",
     "table_partitions": """SELECT 'launches' table_name, count(DISTINCT coalesce(launch_year, -1)) partitions FROM launches
         UNION ALL SELECT 'images', count(DISTINCT source) FROM images
@@ -650,4 +651,45 @@ QUERIES = {
 
 QUERIES["gallery_images"] = f"SELECT source, launch_name, launch_year, image_url FROM ({QUERIES['images_from_raw']})"
 
+QUERIES["gallery_silver_images"] = "SELECT source, launch_name, launch_year, image_url FROM images WHERE launch_year IS NOT NULL"
+
+IN_YEARS = f"launch_year BETWEEN {FILTER['first_year']} AND {FILTER['last_year']}"
+IN_LISTS = f"provider_name IN ({quoted(FILTER['providers'])})"
+QUERIES |= {
+    # run k starts at page s_k (from 0); the last run is the one that resets
+    "landing_cursor": f"""SELECT run_id, page, launches FROM (
+          SELECT strftime(o_orderdate, 'p%Y-%m') page, count(*) launches,
+            row_number() OVER (ORDER BY strftime(o_orderdate, 'p%Y-%m')) - 1 place, count(*) OVER () n FROM orders GROUP BY 1)
+        JOIN (SELECT unnest(range(1, {RESET_RUN + 1})) run) ON true
+        JOIN (SELECT 'run' || unnest(range(1, {RESET_RUN + 1})) run_id, unnest(range(1, {RESET_RUN + 1})) k) ON k = run
+        JOIN (SELECT n all_pages, s1, s2, s3, s4, 0 s5 FROM (SELECT *, CASE WHEN s3 + {PAGES_A_RUN} >= n THEN 0 ELSE s3 + {PAGES_A_RUN} END s4 FROM (
+            SELECT *, CASE WHEN s2 + {PAGES_A_RUN} >= n THEN 0 ELSE s2 + {PAGES_A_RUN} END s3 FROM (
+            SELECT *, CASE WHEN s1 + {PAGES_A_RUN} >= n THEN 0 ELSE s1 + {PAGES_A_RUN} END s2 FROM (
+            SELECT 0 s1, count(DISTINCT strftime(o_orderdate, 'p%Y-%m')) n FROM orders))))) ON true
+        WHERE place >= [s1, s2, s3, s4, s5][run] AND place < [s1, s2, s3, s4, s5][run] + {PAGES_A_RUN}""",
+    "accumulated_silver": """SELECT run_id, launch_id, launch_name, status, cast(substr(run_id, 1, 4) AS int) run_year FROM run_records
+        QUALIFY row_number() OVER (PARTITION BY launch_id ORDER BY run_id DESC) = 1""",
+    "gold_after_update": """SELECT launch_year, provider_name, total_launches,
+          CASE WHEN launch_year = newest THEN total_launches ELSE successful_launches END successful_launches,
+          CASE WHEN launch_year = newest THEN 100.0::DOUBLE ELSE success_rate_pct END success_rate_pct
+        FROM metrics JOIN (SELECT year(max(o_orderdate)) newest FROM orders) ON true""",
+    "pruned_filter": f"""SELECT launch_id, launch_year, provider_name, mission_orbit FROM launches
+        WHERE {IN_YEARS} AND {IN_LISTS} AND mission_orbit IN ({quoted(FILTER['orbits'])})""",
+    "pruned_season": f"""SELECT launch_year AS year, {', '.join(f"count(CASE WHEN month(launch_date) = {m} THEN 1 END) m{m}" for m in range(1, 13))}
+        FROM launches WHERE launch_year BETWEEN
+          (SELECT min(launch_year) FROM metrics WHERE {IN_YEARS} AND {IN_LISTS}) AND
+          (SELECT max(launch_year) FROM metrics WHERE {IN_YEARS} AND {IN_LISTS}) GROUP BY 1""",
+    "pruned_busiest_years": """SELECT launch_year, provider_name, count(*) launches FROM launches WHERE launch_year IN (
+          SELECT launch_year FROM metrics GROUP BY 1 ORDER BY sum(total_launches) DESC, launch_year LIMIT 2) GROUP BY 1, 2""",
+    "bucketed_features": QUERIES["gold_launch_features"],
+    "written_status": """SELECT 'launches' table_name, count(DISTINCT coalesce(launch_year, -1)) partitions,
+          cast(min(launch_year) AS varchar) "first", cast(max(launch_year) AS varchar) "last", count(*) AS rows, count(launch_date) filled FROM launches
+        UNION ALL SELECT 'weather', count(DISTINCT coalesce(weather_year, -1)), cast(min(weather_year) AS varchar), cast(max(weather_year) AS varchar),
+          count(*), count(weather_date) FROM weather
+        UNION ALL SELECT 'images', count(DISTINCT source), min(source), max(source), count(*), count(launch_date) FROM images""",
+    "gallery_deep_page": QUERIES["gallery_page"].replace(f"OFFSET {20 * PAGE}", f"OFFSET {20 * DEEP_PAGE}"),
+    "quarantined_scan": """SELECT 'read' outcome, cast(launch_year AS varchar) part, count(*) AS rows FROM costs GROUP BY 2
+        UNION ALL SELECT 'left out', 'part-broken.parquet', 0""",
+}
+
 ORACLE = {name: with_ctes(sql) for name, sql in QUERIES.items()}

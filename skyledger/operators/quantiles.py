@@ -5,77 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.running import with_running_total
+
 
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
     """How often each value occurs in each group; nulls are left out."""
     return df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    group: str,
-    groups: list[str],
-    value: str,
-    probs: list[float],
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """Linear-interpolated quantiles, as ``(group, total, q0, q1, ...)``.
-
-    ``groups`` lists every value ``group`` may take. It bounds all small tables
-    here at a few rows per group, which is why they may be broadcast.
+def ranked_counts(df: DataFrame, group: str, value: str) -> DataFrame:
+    """``value_counts`` with ``upto``, the number of values up to and with each one. It is
+    checkpointed, so all that is made of it reads the data once."""
+    return with_running_total(value_counts(df, group, value), "upto", "n", group, value)
 
-    A sketch gives two cut points around each quantile. Cut points only divide
-    the work: the rank asked for lies in some bucket between two cuts, counts
-    say in which one, and only the values of that (narrow) bucket are ranked.
-    The answer is exact whatever the cuts are.
-    """
-    rows = df.where(F.col(value).isNotNull() & F.col(group).isin(groups)).select(group, value)
-    counts = value_counts(rows, group, value)
 
-    margin = 2.0 / accuracy
-    at = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-margin, margin)})
-    listed = ", ".join(f"{p}D" for p in at)
-    cuts = rows.groupBy(group).agg(
-        F.expr(f"percentile_approx({value}, array({listed}), {accuracy}) AS cuts")
-    )
-    bucketed = counts.join(F.broadcast(cuts), group).selectExpr(
-        group, value, "n", f"size(filter(cuts, cut -> cut < {value})) AS bucket"
-    )
+def quantiles_of(ranked: DataFrame, group: str, value: str, probs: list[float]) -> DataFrame:
+    """Linear-interpolated quantiles of ``ranked_counts``: ``(group, total, q0, q1, ...)``.
 
+    The values at the wanted ranks are picked where they stand; only these, two for each
+    group and quantile, come together.
+    """
+    totals = ranked.groupBy(group).agg(F.max("upto").alias("total"))
     positions = [f"(total - 1) * {float(p)}D" for p in probs]
     ends = ", ".join(f"floor({p}), ceil({p})" for p in positions)
-    buckets = (
-        bucketed.groupBy(group, "bucket")
-        .agg(F.sum("n").alias("size"))
-        .selectExpr(
-            group,
-            "bucket",
-            "size",
-            f"sum(size) OVER (PARTITION BY {group} ORDER BY bucket) - size AS before",
-            f"sum(size) OVER (PARTITION BY {group}) AS total",
-        )
-        .selectExpr(
-            group,
-            "bucket",
-            "before",
-            "total",
-            f"filter(array_distinct(array({ends})), r -> r >= before AND r < before + size) AS ranks",
-        )
-        .where("size(ranks) > 0")
-    )
     found = (
-        bucketed.join(F.broadcast(buckets), [group, "bucket"])
-        .selectExpr(
-            "*",
-            f"""before - n + sum(n) OVER (
-                PARTITION BY {group}, bucket ORDER BY {value}) AS first_rank""",
-        )
-        .selectExpr(
-            group,
-            "total",
-            value,
-            "explode(filter(ranks, r -> r >= first_rank AND r < first_rank + n)) AS rank",
-        )
+        ranked.join(totals, group)
+        .selectExpr(group, value, "total", "upto", "upto - n AS before", f"array_distinct(array({ends})) AS ranks")
+        .selectExpr(group, value, "total", "explode(filter(ranks, r -> r >= before AND r < upto)) AS rank")
         .groupBy(group, "total")
         .agg(F.expr(f"map_from_entries(collect_set(struct(rank, {value}))) AS at_rank"))
     )
@@ -84,3 +40,9 @@ def exact_quantiles(
         for i, p in enumerate(positions)
     ]
     return found.selectExpr(group, "total", *answers)
+
+
+def exact_quantiles(df: DataFrame, group: str, groups: list[str], value: str, probs: list[float]) -> DataFrame:
+    """``quantiles_of`` the rows whose ``group`` is among ``groups``."""
+    rows = df.where(F.col(group).isin(groups)).select(group, value)
+    return quantiles_of(ranked_counts(rows, group, value), group, value, probs)

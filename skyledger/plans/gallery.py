@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.constants import MISSING_MARK
 from skyledger.functions.text import heading_case, matches_ignoring_case, nonempty
+from skyledger.operators.indexing import with_row_index
 
 #: Cards are ordered by all that tells them apart; a missing name is an empty one.
 PAGE_ORDER = ("launch_year", "source", "launch_id", "image_url", "launch_name")
@@ -37,7 +38,8 @@ def gallery_pages(found: DataFrame, page_size: int = 20) -> DataFrame:
 def gallery_page(found: DataFrame, page: int, page_size: int = 20) -> DataFrame:
     """Cards of one page, counted from 0. Meant for the first pages: reaching page
     *p* sorts out the best ``p * page_size`` rows. To read on, use
-    :func:`gallery_after`."""
+    :func:`gallery_after`; for any page of a table that is written once,
+    :func:`written_page`."""
     rows = found.orderBy(*_page_key())
     return _cards(rows.offset(page * page_size).limit(page_size))
 
@@ -56,6 +58,21 @@ def gallery_after(
     return _cards(rows.offset(shown_alike).limit(page_size))
 
 
+def write_pages(found: DataFrame, path: str) -> None:
+    """Write the cards in the order of the pages, each with its ``position``, for pages at
+    any depth. Part files hold ranges of positions, and their footers say which."""
+    numbered = with_row_index(found, "position", *_page_key())
+    numbered.sortWithinPartitions("position").write.mode("overwrite").parquet(path)
+
+
+def written_page(spark: SparkSession, path: str, page: int, page_size: int = 20) -> DataFrame:
+    """One page, counted from 0, of what ``write_pages`` wrote: its positions are known, so
+    the scan skips all files and row groups but those that hold them."""
+    first = page * page_size
+    cards = spark.read.parquet(path).where(F.col("position").between(first, first + page_size - 1))
+    return _cards(cards.orderBy("position"))
+
+
 def _page_key() -> list[Column]:
     *plain, name = PAGE_ORDER
     return [F.col(c) for c in plain] + [F.coalesce(name, F.lit("")).alias(name)]

@@ -43,14 +43,14 @@ def top_provider_trend(metrics: DataFrame, n: int = 5) -> DataFrame:
 
 
 def season_heatmap(launches: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Launches per year and month, within the years the metrics cover."""
+    """Launches per year and month, within the years the metrics cover. Where launches are
+    partitioned by year, these choose the folders to read."""
     first = metrics.agg(F.min("launch_year")).scalar()
     last = metrics.agg(F.max("launch_year")).scalar()
     months = list(range(1, 13))
     grid = (
-        launches.where(F.col("launch_date").isNotNull())
-        .select(F.year("launch_date").alias("year"), F.month("launch_date").alias("month"))
-        .where(F.col("year").between(first, last))
+        launches.where(F.col("launch_date").isNotNull() & F.col("launch_year").between(first, last))
+        .select(F.col("launch_year").alias("year"), F.month("launch_date").alias("month"))
         .groupBy("year")
         .pivot("month", months)
         .count()

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger import constants as K
 from skyledger.plans import gold, silver
 from skyledger.sources import landing, schemas
-from skyledger.sources.sinks import write_parquet
+from skyledger.sources.sinks import replace_partitions, write_parquet
 from skyledger.sources.tables import read_table
 
 
@@ -65,6 +66,29 @@ def run_gold(spark: SparkSession, silver_base: str, gold_base: str) -> None:
     write_parquet(features, f"{gold_base}/launch_features", ["launch_year"])
 
 
+def update_gold(spark: SparkSession, silver_base: str, gold_base: str, years: DataFrame) -> None:
+    """Bring both Gold tables up to date where Silver launches have changed.
+
+    ``years`` has one row, with ``launch_year``, for each partition of Silver launches that
+    was written since (as ``upsert`` tells). Only these are read and written again: both
+    tables depend on the launches of a year alone, weather and images being looked up by
+    launch. All other Gold files stay as they are.
+    """
+    # one row a partition: its values choose the folders to read
+    launches = read_silver(spark, silver_base, "launches")
+    changed = launches.join(F.broadcast(years.where("launch_year is not null")), "launch_year", "left_semi")
+    if not years.where("launch_year is null").isEmpty():
+        changed = changed.unionByName(launches.where("launch_year is null"))
+    changed = changed.select(launches.columns)
+    weather = read_silver(spark, silver_base, "weather")
+    images = read_silver(spark, silver_base, "images")
+    for name, table in (
+        ("company_year_metrics", gold.company_year_metrics(changed)),
+        ("launch_features", gold.launch_features(changed, weather, images)),
+    ):
+        replace_partitions(table, f"{gold_base}/{name}", "launch_year", years)
+
+
 def run_job(
     spark: SparkSession, raw_base: str, silver_base: str, gold_base: str, run_id: str | None = None
 ) -> str:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from skyledger.constants import FAILURE_LABEL, SUCCESS_LABEL, UNKNOWN_LABEL
 from skyledger.functions.hashing import shuffle_key
 from skyledger.functions.outcomes import labelled
-from skyledger.operators.quantiles import exact_quantiles, value_counts
+from skyledger.operators.quantiles import exact_quantiles, quantiles_of, ranked_counts
 
 OUTCOMES = [SUCCESS_LABEL, FAILURE_LABEL, UNKNOWN_LABEL]
 TEMPERATURE = "temperature_2m_mean"
 WIND = "wind_speed_10m_max"
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 def observed(features: DataFrame) -> DataFrame:
@@ -33,30 +34,22 @@ def _series() -> list[str]:
     return [f"{measure}/{outcome}" for measure in (TEMPERATURE, WIND) for outcome in OUTCOMES]
 
 
-def _quartiles(rows: DataFrame) -> DataFrame:
+def _with_fences(quartiles: DataFrame) -> DataFrame:
     """Quartiles and outlier fences: one row for each of the six series."""
     spread = 1.5 * (F.col("q3") - F.col("q1"))
-    return (
-        exact_quantiles(rows, "series", _series(), "reading", [0.25, 0.5, 0.75])
-        .select(
-            "series",
-            "total",
-            F.col("q0").alias("q1"),
-            F.col("q1").alias("median"),
-            F.col("q2").alias("q3"),
-        )
-        .withColumn("low_fence", F.col("q1") - spread)
-        .withColumn("high_fence", F.col("q3") + spread)
+    named = quartiles.select(
+        "series", "total", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")
     )
+    return named.withColumn("low_fence", F.col("q1") - spread).withColumn("high_fence", F.col("q3") + spread)
 
 
 def weather_box_stats(features: DataFrame) -> DataFrame:
-    """Box-plot numbers per measurement and outcome."""
-    rows = _long(features)
+    """Box-plot numbers per measurement and outcome, all from one count of the readings."""
+    ranked = ranked_counts(_long(features), "series", "reading")
+    quartiles = _with_fences(quantiles_of(ranked, "series", "reading", QUARTILES))
     inside = F.col("reading").between(F.col("low_fence"), F.col("high_fence"))
     boxes = (
-        value_counts(rows, "series", "reading")
-        .join(F.broadcast(_quartiles(rows)), "series")
+        ranked.join(F.broadcast(quartiles), "series")
         .groupBy("series", "total", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("reading"))).alias("whisker_low"),
@@ -80,9 +73,10 @@ def weather_box_stats(features: DataFrame) -> DataFrame:
 def weather_outliers(features: DataFrame) -> DataFrame:
     """The readings drawn as single points: those outside the fences."""
     rows = _long(features, "launch_id")
+    quartiles = _with_fences(exact_quantiles(rows, "series", _series(), "reading", QUARTILES))
     outside = ~F.col("reading").between(F.col("low_fence"), F.col("high_fence"))
     return (
-        rows.join(F.broadcast(_quartiles(rows)), "series")
+        rows.join(F.broadcast(quartiles), "series")
         .where(outside)
         .select("launch_id", "measure", "outcome", "reading")
     )

@@ -32,19 +32,21 @@ def read_json(spark: SparkSession, path: str, schema: str, *, strict: bool = Fal
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Scan small files that each hold one JSON array, on any number of lines, or
-    JSON lines. A file is read as a whole by one task: for dimensions only."""
+    """Scan JSON arrays that extend over any number of lines, one to a file, or JSON lines.
+
+    Which of them a dataset holds is told by its first character. An array is parsed as a
+    stream, by one task a file, and gives a row for each element; elements and lines that
+    are no objects give none.
+    """
     try:
-        files = spark.read.text(path, wholetext=True)
+        first = spark.read.text(path).where(F.trim("value") != "").first()
     except AnalysisException as error:
         return _nothing(spark, schema, error)
-    text = F.trim("value")
-    record = f"STRUCT<{' '.join(schema.split())}>"
-    from_array = F.from_json(text, f"ARRAY<{record}>")
-    from_lines = F.transform(F.split(text, "\n"), lambda line: F.from_json(line, record))
-    records = F.when(F.startswith(text, F.lit("[")), from_array).otherwise(from_lines)
-    rows = files.select(F.explode(records).alias("record")).where(F.col("record").isNotNull())
-    return rows.select("record.*")
+    if first is None:
+        return spark.createDataFrame([], schema)
+    if not first["value"].lstrip().startswith("["):
+        return read_json(spark, path, schema, strict=True)
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").json(path)
 
 
 def _nothing(spark: SparkSession, schema: str, error: AnalysisException) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,12 +19,68 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     gathered.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file as it stands, on whatever file system the path names."""
+    files, place = _files(spark, path)
+    out = files.create(place, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, values: DataFrame) -> None:
+    """Replace those partitions of a Parquet table that ``values`` (one column, distinct)
+    names by the rows of ``df``; a partition that has no rows any more goes. Files of all
+    other partitions stay as they are.
+
+    ``df`` must not read the table itself. The driver sees names of emptied partitions.
+    """
+    gathered = df.hint("rebalance", F.col(partition))
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+    left = df.select(F.col(partition).alias("_left")).distinct()
+    emptied = values.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")
+    name = F.coalesce(F.col(partition).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    for value in emptied.agg(F.collect_list(name)).first()[0]:
+        files, place = _files(df.sparkSession, f"{path}/{partition}={value}")
+        files.delete(place, True)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A table in ``buckets`` buckets by ``key``, each one sorted file, and the table read.
+
+    Tables in equally many buckets by one key are joined, and grouped, where they lie,
+    without a shuffle. All rows of a key share a bucket: for keys of many rows join
+    unbucketed tables with ``fan_out_left_join``.
+    """
+    placed = df.repartition(buckets, key)
+    placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_json_lines(df: DataFrame, path: str, records_per_file: int = 0) -> None:
     """One JSON object per line; fields that are null are left out. Files hold at most
     ``records_per_file`` lines, if given."""
     df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One JSON array over many lines, in one file: for dimensions only. Fields that are
+    null are left out."""
+    rows = F.collect_list(F.struct(*df.columns))
+    text = df.agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
+    text.write.mode("overwrite").text(path)
+
+
 def write_text_lines(df: DataFrame, path: str, line: str, *order) -> None:
     """Lines in the given order; part files follow each other in that order."""
     df.orderBy(*order).select(F.col(line).alias("value")).write.mode("overwrite").text(path)

@@ -24,6 +24,35 @@ def read_table(
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+#: Parquet files without rows are smaller than this.
+_ROWLESS_BYTES = 1 << 20
+
+
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length, error) of the Parquet files under ``path`` that cannot be read.
+
+    The files are listed, and those of which a tolerant scan reads no row are looked at:
+    a file that ends as Parquet files do has no rows and is fine, and so is one without a
+    byte, which scans pass over. The scan takes row counts from footers and reads no column.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    listed = files.load(path)
+    name = lambda c: F.regexp_extract(c, "[^/]+$", 0)
+    # without a declared schema some file would be asked for one, perhaps a broken one
+    rows = spark.read.schema("_none BOOLEAN").option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+    readable = rows.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    place = lambda c: F.regexp_replace(c, "^[a-z]+:/*", "/")
+    silent = listed.select("path", "length", place("path").alias("_place")).join(
+        readable.select(place("file").alias("_place")), "_place", "left_anti"
+    )
+    ends = listed.where(F.col("length") < _ROWLESS_BYTES).select("path", (F.expr("right(hex(content), 8)") == "50415231").alias("ends"))
+    return (
+        silent.join(ends, "path", "left")
+        .where(~F.coalesce("ends", F.lit(False)))
+        .select(name("path").alias("file"), "length", F.lit("no Parquet footer").alias("error"))
+    )
+
+
 def number(column: str, kind: str) -> Column:
     """A number from whatever the column holds; null where it is none. Texts like
     ``3.0`` are whole numbers too; one with a real fraction is no integer."""
