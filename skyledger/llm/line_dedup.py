@@ -5,9 +5,8 @@ keeps, of the lines that start within WINDOW_WORDS words of each line, the one w
 least hash; its fingerprint is the hash of the lines from there on, up to GRAM_WORDS
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
 and so the same fingerprint, wherever they stand. Fingerprints meet by hash; the lines of
-every later one go. Each match is extended both ways until its lines differ from those
-around the first occurrence: three lines before and six after come with the fingerprint,
-and where those agree and no other match goes on, the documents' lines are compared.
+every later one go. Matches of one document with one source at one distance are joined;
+then each is extended both ways until its lines differ from those around the source.
 """
 
 from __future__ import annotations
@@ -15,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import meet, written
+from skyledger.llm.common import meet, scratch, written
 
 #: A repeated run of fewer words than GRAM_WORDS is never removed, one of GRAM_WORDS +
-#: WINDOW_WORDS or more always (a blank line counts as a word).
+#: WINDOW_WORDS or more always (a blank line counts as a word); only where the first
+#: occurrence of one of its fingerprints stands in other surroundings, lines at the ends of
+#: the run that are in no fingerprint may stay.
 GRAM_WORDS, WINDOW_WORDS = 24, 16
 #: Up to this size what is removed is sent to all tasks, and texts stay where they are;
 #: beyond it both are shuffled.
@@ -60,12 +61,9 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
     return F.xxhash64(doc, text), F.xxhash64(F.lit(1), text, doc)
 
 
-#: Lines around a fingerprint that come with it: a window has four lines, so most runs begin
-#: three lines before their first fingerprint at most.
-BEFORE, AFTER = 3, 6
-#: Lines compared at first where a match goes on beyond those; eight times as many each
-#: time that all of them agree.
-FURTHER = 64
+#: Lines compared at first beyond both ends of a match; eight times as many each time that
+#: all of them agree.
+FURTHER = 8
 
 
 def _once(df: DataFrame, name: str, value: str) -> DataFrame:
@@ -75,10 +73,9 @@ def _once(df: DataFrame, name: str, value: str) -> DataFrame:
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
-    """(fp, row, doc, at, stop, before, after) of the window minima of every document.
+    """(fp, row, doc, at, stop) of the window minima of every document.
 
     A window has as many lines as start within WINDOW_WORDS words, four at most.
-    ``before`` and ``after`` hold 32-bit hashes of the lines around, the nearest first.
     """
     steps, total = [], "w[i]"
     for k in range(1, 4):
@@ -101,22 +98,9 @@ def _fingerprints(hashed: DataFrame) -> DataFrame:
     # most grams end within six lines; every line has a word at least
     zipped = _once(chosen, "lines", "arrays_zip(h, w)")
     grams = _once(zipped, "grams", f"transform(chosen, p -> coalesce({gram(6)}, {gram(GRAM_WORDS)}))")
-    found = f"""transform(filter(grams, m -> m is not null), m -> named_struct(
-        'fp', m.g, 'at', m.p, 'stop', m.stop,
-        'before', reverse(transform(slice(h, greatest(m.p - {BEFORE - 1}, 1), least(m.p, {BEFORE})), y -> hash(y))),
-        'after', transform(slice(h, m.stop + 1, {AFTER}), y -> hash(y))))"""
-    return grams.select("row", "doc", F.inline(F.expr(found))).select(
-        "fp", "row", "doc", "at", "stop", "before", "after"
-    )
-
-
-def _extended(name: str, most: int) -> Column:
-    """By how many lines the match goes on, from the hashes around both places."""
-    same, agreed = F.lit(0), F.lit(True)
-    for k in range(most):
-        agreed = agreed & F.coalesce(F.get(name, F.lit(k)) == F.get(f"first.{name}", F.lit(k)), F.lit(False))
-        same = same + agreed.cast("int")
-    return same
+    found = """transform(filter(grams, m -> m is not null), m -> named_struct(
+        'fp', m.g, 'at', m.p, 'stop', m.stop))"""
+    return grams.select("row", "doc", F.inline(F.expr(found))).select("fp", "row", "doc", "at", "stop")
 
 
 def _joined(runs: Column) -> Column:
@@ -135,10 +119,10 @@ def _joined(runs: Column) -> Column:
 
 
 def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
-    """(row, run) of the lines that go on agreeing where all that came with the fingerprints
-    at an end of a run did. ``own`` and ``other`` are the lines before that end in the row
-    and in its source; lines are compared forth from there or, with ``back``, backwards."""
-    each = diagonals.select("row", "source", "shift", "begun", "ended", F.inline("runs"))
+    """(row, run) of the lines that go on agreeing at an end of a run. ``own`` and ``other``
+    are the lines before that end in the row and in its source; lines are compared forth
+    from there or, with ``back``, backwards."""
+    each = diagonals.select("row", "source", "shift", F.inline("runs"))
     ends = written(
         each.select(
             "row",
@@ -146,13 +130,12 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
             F.inline(
                 F.expr(
                     """filter(array(
-                         named_struct('own', start, 'other', start - shift, 'back', true, 'open',
-                           start > 0 and start > shift and not array_contains(begun, start)),
-                         named_struct('own', stop, 'other', stop - shift, 'back', false, 'open',
-                           not array_contains(ended, stop))), e -> e.open)"""
+                         named_struct('own', start, 'other', start - shift, 'back', true),
+                         named_struct('own', stop, 'other', stop - shift, 'back', false)),
+                       e -> not e.back or (e.own > 0 and e.other > 0))"""
                 )
             ),
-        ).drop("open"),
+        ),
         "open-ends",
     )
     grown = ends.select("row", F.expr("named_struct('start', own, 'stop', own)").alias("run")).limit(0)
@@ -244,36 +227,29 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "lines",
     )
     hashed = _one_of_equal_rows(hashed)
-    found = written(_fingerprints(hashed), "fingerprints")
-    firsts = written(
-        found.groupBy("fp")
-        .agg(F.min(F.struct("doc", "row", "at", "before", "after")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1"),
-        "first-occurrences",
-    )
-    met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
-    before, after = _extended("before", BEFORE), _extended("after", AFTER)
-    diagonals = written(
-        met.where("row <> first.row or at <> first.at")
-        .select(
-            "row",
-            F.col("first.row").alias("source"),
-            (F.col("at") - F.col("first.at")).alias("shift"),
-            F.struct((F.col("at") - before).alias("start"), (F.col("stop") + after).alias("stop")).alias("run"),
-            (before < BEFORE).alias("begun"),
-            (after < AFTER).alias("ended"),
+    with scratch():
+        found = written(_fingerprints(hashed), "fingerprints")
+        firsts = written(
+            found.groupBy("fp").agg(F.min(F.struct("doc", "row", "at")).alias("first"), F.count("*").alias("n")).where("n > 1"),
+            "first-occurrences",
+        )
+        met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
+        diagonals = written(
+            met.where("row <> first.row or at <> first.at")
+            .select(
+                "row",
+                F.col("first.row").alias("source"),
+                (F.col("at") - F.col("first.at")).alias("shift"),
+                F.struct(F.col("at").alias("start"), "stop").alias("run"),
+            )
+            .groupBy("row", "source", "shift")
+            .agg(_joined(F.sort_array(F.collect_set("run"))).alias("runs")),
+            "diagonals",
+            keep=True,
         )
-        .groupBy("row", "source", "shift")
-        .agg(
-            _joined(F.sort_array(F.collect_set("run"))).alias("runs"),
-            F.collect_set(F.when(F.col("begun"), F.col("run.start"))).alias("begun"),
-            F.collect_set(F.when(F.col("ended"), F.col("run.stop"))).alias("ended"),
-        ),
-        "diagonals",
-    )
     found_runs = diagonals.select("row", F.explode("runs").alias("run")).unionByName(_further(hashed, diagonals))
     runs = found_runs.groupBy("row").agg(_joined(F.sort_array(F.collect_set("run"))).alias("runs"))
-    return written(runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs"), "repeated-runs")
+    return runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs")
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -284,7 +260,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     document and cut alike. Other columns stay; one named removed is replaced.
     """
     docs = docs.drop("removed")
-    runs = repeated_runs(docs, id_column, text_column)
+    with scratch():
+        runs = written(repeated_runs(docs, id_column, text_column), "repeated-runs", keep=True)
     size = runs.agg(F.coalesce(F.sum(64 + 24 * F.size("runs")), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:
         runs = F.broadcast(runs)

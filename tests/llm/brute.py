@@ -102,7 +102,7 @@ def tiles(item: list, text: list, least: int) -> int:
 
 
 def line_list(text: str) -> list[str]:
-    return [x for x in re.split(r"(?<=\n)|(?<=[.!?:;#*$%&|<>] )", text) if x]
+    return [x for x in re.split(r"(?<=\n)|(?<=[^\w\s] )|(?<=_ )", text) if x]
 
 
 def repeats(texts: dict, least: int, extend: bool) -> dict:
