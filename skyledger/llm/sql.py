@@ -113,7 +113,60 @@ SELECT lang, rank, phrase, a, l, r, t.n, score::BIGINT AS score
 FROM ranked JOIN totals t USING (lang) WHERE rank <= 2000
 """
 
+SPELLING = r"""
+WITH RECURSIVE bytes AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS entry
+  FROM range(256) t(i)
+), crc AS (
+  SELECT list(entry ORDER BY i) AS entries FROM bytes
+), runs AS (
+  SELECT coalesce(cast(doc_id AS varchar), 'null') AS doc,
+         unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents
+), counted AS (
+  SELECT doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), coded AS (
+  SELECT run, n, hex(encode(doc || ':' || run)) AS code FROM counted
+), checked AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(1, length(code) // 2 + 1),
+             lambda i: cast('0x' || substr(code, 2 * i - 1, 2) AS bigint))),
+           lambda c, b: xor(c // 256, entries[(xor(c, b) % 256) + 1]))) AS h
+  FROM coded, crc
+), kept AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM checked
+), words AS (
+  SELECT word, cast(sum(n) AS bigint) AS n FROM kept WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), placed AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM words
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM placed
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT DISTINCT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION ALL SELECT DISTINCT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), led AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT led.word, f.form FROM led JOIN formed f ON f.word = led.root WHERE f.form IS NOT NULL
+), ended AS (
+  SELECT led.word, led.root FROM led JOIN formed f ON f.word = led.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ended USING (word)
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_spelling_variants": SPELLING,
     "op13_collocations": COLLOCATIONS,
     "op1_url_filter": URL_FILTER,
     "op2_chat_format": CHAT_FORMAT,
