@@ -35,8 +35,10 @@ TRAIN_TOXIC, TRAIN_ORDINARY = 1_500, 6_000
 CALIBRATE_TOXIC, CALIBRATE_ORDINARY = 1_000, 4_000
 TYPICAL_WORDS, ORDINARY_WORDS = 512, 8_192
 #: A word is typical if a likelihood-ratio test of its document counts says so; 30 is a
-#: chance of 4e-8, so that among millions of words few are typical by chance.
-TYPICAL_RATIO = 30.0
+#: chance of 4e-8, so that among millions of words few are typical by chance. With few
+#: labels hardly any word gets there; the best LEAST_TYPICAL ones are taken all the same,
+#: and the calibration tells what they are worth.
+TYPICAL_RATIO, LEAST_TYPICAL = 30.0, 32
 DICTIONARY_BYTES = 4_096
 #: A longer word is several windows.
 WINDOW_CHARS = 48
@@ -177,11 +179,13 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | float:
-    """The model, or a constant score where one of the classes has no labelled text."""
+    """The model, or the constant score 0 where nothing can be learned: where one of the
+    classes has no labelled text, or no word is more frequent among toxic texts. Nulls and
+    repeated rows of the labels are as in ``_labelled``; nothing else is read of them."""
     sample = _labelled(docs, labels)
     shares = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:
-        return 1.0 if shares.get(True) else 0.0
+        return 0.0
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,17 +212,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | float:
         f"2 * ({likelihood('a', a_all, f'(a / {a_all})')} + {likelihood('b', b_all, f'(b / {b_all})')}"
         f" - {likelihood('a', a_all, pooled)} - {likelihood('b', b_all, pooled)})"
     )
-    typical = (
-        counts.where(f"a >= 3 and a * {b_all} > b * {a_all}")
+    ranked = (
+        counts.where(f"a >= 2 and a * {b_all} > b * {a_all}")
         .withColumn("ratio", F.expr(ratio))
-        .where(F.col("ratio") >= TYPICAL_RATIO)
         .orderBy(F.desc("ratio"), "word")
         .limit(TYPICAL_WORDS)
         .collect()
     )
+    typical = [r for k, r in enumerate(ranked) if k < LEAST_TYPICAL or r["ratio"] >= TYPICAL_RATIO]
     common = counts.where("b > 0").orderBy(F.desc("b"), F.xxhash64("word"), "word").limit(ORDINARY_WORDS).collect()
     if not typical or not common:
-        return shares[True] / sum(shares.values())
+        return 0.0
     bare = _dictionaries([(r["word"], r["a"]) for r in typical], [(r["word"], r["b"]) for r in common])
     return _calibrated(sample.where("calibrates"), bare)
 
