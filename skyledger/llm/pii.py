@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass over a text finds anchors: at-signs, digits, plus signs, schemes
-and cue words. From an anchor a small parser walks as far as its alphabet goes and
+One Aho-Corasick pass over a text finds anchors: at-signs, digits, plus signs, schemes,
+cue words and the first characters of keys. From an anchor a small parser walks as far as its alphabet goes and
 validates what it has. Every parser reads each character of a text a bounded number of
 times, so long runs of digits or letters cost no more than others.
 """
@@ -20,7 +20,7 @@ from skyledger.llm.common import taken
 
 # The kinds in the order of their listing, first the base ones.
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("url", "address", "account")
+ADDED_KINDS = ("url", "address", "account", "key")
 KINDS = (*BASE_KINDS, *ADDED_KINDS)
 
 #: Words before an identifier, as written in lower case; also found capitalised and in
@@ -29,6 +29,21 @@ CUES = ("account", "iban", "passport", "password", "secret", "ssn", "token", "ap
 #: Words that end a postal address.
 STREETS = ("street", "avenue", "road", "lane", "boulevard", "drive", "square")
 SCHEMES = ("http://", "https://", "ftp://")
+# How keys of well-known services begin, and how many letters, digits, hyphens
+# and underscores follow at least and at most.
+KEY_STARTS = {
+    "AKIA": (16, 16),
+    "ASIA": (16, 16),
+    "AIza": (35, 35),
+    "ghp_": (36, 36),
+    "github_pat_": (22, 255),
+    "glpat-": (20, 64),
+    "sk_live_": (16, 255),
+    "xoxb-": (20, 255),
+    "xoxp-": (20, 255),
+}
+#: Encoded keys stand between lines that name them; the name ends with KEY.
+BLOCK_START, BLOCK_END = "-----BEGIN ", "-----END "
 
 _DIGITS = frozenset("0123456789")
 _LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
@@ -50,6 +65,8 @@ def _automaton() -> ahocorasick.Automaton:
         "url": SCHEMES,
         "account": [f(w) for w in CUES for f in (str, str.capitalize, str.upper)],
         "address": [f(w) for w in STREETS for f in (str, str.capitalize, str.upper)],
+        "key": sorted(KEY_STARTS),
+        "block": [BLOCK_START],
     }.items():
         for word in words:
             found.add_word(word, (kind, len(word)))
@@ -137,13 +154,15 @@ def _url(text: str, start: int, after: int) -> tuple[int, int] | None:
 
 
 def _account(text: str, start: int, after: int) -> tuple[int, int] | None:
-    """The identifier after a cue and at most one of ``: = #``: six characters or more
-    that hold a digit."""
+    """The identifier after a cue, at most one of ``: = #`` and at most one opening quote or
+    bracket: six characters or more that hold a digit."""
     if start and text[start - 1] in _LETTERS:
         return None
     at = _walk(text, after, _SPACE)
     if at < len(text) and text[at] in ":=#":
         at = _walk(text, at + 1, _SPACE)
+    if at < len(text) and text[at] in "\"'`([{<":
+        at += 1
     end = _walk(text, at, _VALUE)
     fits = at > after and end - at >= 6 and any(c in _DIGITS for c in text[at:end])
     return (at, end) if fits else None
@@ -168,9 +187,32 @@ def _address(text: str, start: int, end: int) -> tuple[int, int] | None:
     return None
 
 
+def _key(text: str, start: int, after: int) -> tuple[int, int] | None:
+    """A key that stands by itself, of the length that its beginning asks for."""
+    if start and text[start - 1] in _VALUE:
+        return None
+    least, most = KEY_STARTS[text[start:after]]
+    end = _walk(text, after, _VALUE)
+    return (start, end) if least <= end - after <= most and any(c in _DIGITS for c in text[after:end]) else None
+
+
+def _block(text: str, start: int, after: int, ends: dict[str, int]) -> tuple[int, int] | None:
+    """From the line that begins a key to the next that ends it. ``ends`` remembers where
+    that of each name was found last, so that no stretch is searched twice."""
+    stop = text.find("-----", after, after + 64)
+    if stop < 0 or not text[after:stop].endswith("KEY"):
+        return None
+    last = f"{BLOCK_END}{text[after:stop]}-----"
+    found = ends.get(last, 0)
+    if 0 <= found < stop:
+        found = ends[last] = text.find(last, stop)
+    return (start, found + len(last)) if found >= 0 else None
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all spans, by start and then kind as listed."""
     spans: list[tuple[str, int, int]] = []
+    ends: dict[str, int] = {}
     after = dict.fromkeys(("email", "ip", "card", "phone", "url"), 0)  # end of the last walk
 
     def add(kind: str, span: tuple[int, int] | None) -> None:
@@ -199,6 +241,10 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 after["url"] = span[1] if span else last + 1
         elif anchor == "account":
             add("account", _account(text, start, last + 1))
+        elif anchor == "key":
+            add("key", _key(text, start, last + 1))
+        elif anchor == "block":
+            add("key", _block(text, start, last + 1, ends))
         else:
             add("address", _address(text, start, last + 1))
     order = {kind: k for k, kind in enumerate(KINDS)}
