@@ -24,6 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -178,34 +179,50 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     each goes to and its offset there.
 
     Sequences are filled without gaps. No pieces give no rows; equal rows are pieces of
-    their own. The driver sees the histogram only. A length out of range is an error.
+    their own. The driver sees the histogram only. A length out of range is an error;
+    columns named sequence_id or offset are replaced. Ranks are counted where the pieces
+    are written, so that only the join with the counts of the parts moves them.
     """
-    columns = pieces.columns
+    columns = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    # whatever the columns are called, they travel as one
+    kept = pieces.select("length", F.struct(*columns).alias("piece"))
+    kind = kept.schema["piece"].dataType.simpleString()
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    numbered = written(
-        pieces.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "pieces"
-    )
-    cells = numbered.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    histogram = {r["length"]: r["_n"] for r in cells.groupBy("length").agg(F.sum("_n").alias("_n")).collect()}
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        for batch in batches:
+            lengths = batch.column("length").cast(pa.int64())
+            own = np.clip(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), 0, capacity)
+            # the place of each row among those of its length
+            order = np.argsort(own, kind="stable")
+            first = np.flatnonzero(np.diff(own[order], prepend=-1))
+            run = np.diff(np.append(first, len(own)))
+            place = np.empty(len(own), np.int64)
+            place[order] = np.arange(len(own)) - np.repeat(first, run) + seen[own[order]]
+            seen += np.bincount(own, minlength=capacity + 1)
+            yield pa.RecordBatch.from_arrays(
+                [lengths, pa.array([part] * len(own), pa.int32()), pa.array(place), batch.column("piece")],
+                ["length", "part", "place", "piece"],
+            )
+
+    numbered = written(kept.mapInArrow(number, f"length bigint, part int, place bigint, piece {kind}"), "pieces")
+    cells = numbered.groupBy("length", "part").agg(F.count("*").alias("n"))
+    histogram = {r["length"]: r["n"] for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if any(length is None or not 0 < length <= capacity for length in histogram):
         raise ValueError(f"a piece has no length from 1 to {capacity}")
     seats = _Seats(combinations(histogram, capacity))
-    before = F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")
-    place = F.row_number().over(Window.partitionBy("length", "_part").orderBy("_row")) - 1
-    ranked = numbered.withColumn("_place", place.cast("bigint")).join(
-        cells.select("length", "_part", before.alias("_before")), ["length", "_part"]
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
+    ranked = numbered.join(cells.select("length", "part", before.alias("before")), ["length", "part"]).select(
+        "piece", "length", (F.col("before") + F.col("place")).alias("rank")
     )
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = pc.add(batch.column("_before"), batch.column("_place")).to_numpy(zero_copy_only=False)
-            sequence, offset = seats(batch.column("length").to_numpy(zero_copy_only=False), rank)
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            sequence, offset = seats(length, rank)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)],
-                [*columns, "sequence_id", "offset"],
+                [batch.column("piece"), pa.array(sequence), pa.array(offset)], ["piece", "sequence_id", "offset"]
             )
 
-    return ranked.select(*columns, "_before", "_place").mapInArrow(
-        seat, f"{kinds}, sequence_id bigint, offset bigint"
-    )
+    seated = ranked.mapInArrow(seat, f"piece {kind}, sequence_id bigint, offset bigint")
+    return seated.select("piece.*", "sequence_id", "offset")
