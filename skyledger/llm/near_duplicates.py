@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import meet, taken, written
+from skyledger.llm.common import meet, scratch, taken, written
 from skyledger.llm.components import components
 from skyledger.llm.word_hashes import mix, shingles, stream, word_lists
 
@@ -274,82 +274,85 @@ def near_duplicates(
     ids are told apart by their text. Null ids come last: a component of null ids only has
     a null id, and its rows are kept. Other columns are ignored.
     """
-    sketches = written(_sketches(docs, id_column, text_column, width), "sketches")
-    classes = written(
-        sketches.where("n > 0")
-        .groupBy("class")
-        .agg(
-            F.min("doc").alias("first_id"),
-            F.count("*").alias("copies"),
-            F.min(F.struct("doc", "text_hash")).alias("rep"),
-            F.max("n").alias("n"),
-            F.max("minima").alias("minima"),
-            F.max("keys").alias("keys"),
-        ),
-        "classes",
-    )
-    keys = classes.select("class", "n", F.posexplode("keys").alias("place", "key"))
-    buckets = written(
-        keys.groupBy("place", "key").agg(F.count("*").alias("members"), F.sum("n").alias("hashes")).where("members > 1"),
-        "buckets",
-    )
-    many = KEYS * classes.count()
-    shared = written(
-        meet(keys.drop("n"), buckets, ["place", "key"], "members", many, "inner"), "shared-buckets"
-    )
-    small = shared.where(F.col("members") <= CROWD).join(classes.select("class", "n", "minima"), "class")
-    pairs = written(
-        small.select("place", "key", "class", "n", "minima")
-        .repartition("place", "key")
-        .sortWithinPartitions("place", "key", "class")
-        .mapInArrow(lambda b: _pairs_of_buckets(b, percent), "x binary, y binary"),
-        "pairs",
-    )
-    crowds = shared.where(F.col("members") > CROWD)
-    wanted = (
-        pairs.select(F.col("x").alias("class"))
-        .unionByName(pairs.select(F.col("y").alias("class")))
-        .unionByName(crowds.select("class"))
-        .distinct()
-        .join(classes.select("class", "rep"), "class")
-    )
-    sets = written(_class_sets(docs, wanted, id_column, text_column, width), "class-sets")
-    confirmed = (
-        pairs.join(sets.select(F.col("class").alias("y"), F.col("set").alias("y_set")), "y")
-        .join(sets.select(F.col("class").alias("x"), F.col("set").alias("x_set")), "x")
-        .mapInArrow(lambda b: _confirmed(b, percent), "x binary, y binary")
-    )
-    blocks = F.ceil(8 * F.col("hashes") / F.lit(BLOCK_BYTES)).cast("int")
-    own = F.pmod(F.xxhash64("class"), "blocks").cast("int")
-    placed = (
-        crowds.withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("place", "key", "class", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    )
-    crowded = (
-        placed.join(sets, "class")
-        .repartition("place", "key", "low", "high")
-        .sortWithinPartitions("place", "key", "low", "high")
-        .mapInArrow(lambda b: _links_of_crowds(b, percent), "x binary, y binary")
-    )
-    roots = components(confirmed.unionByName(crowded))
-    members = written(roots.join(classes.select(F.col("class").alias("x"), "first_id"), "x"), "members")
-    firsts = (
-        members.groupBy("root")
-        .agg(F.min("first_id").alias("least"), F.count("*").alias("members"))
-        .join(classes.select(F.col("class").alias("root"), F.col("first_id").alias("root_id")), "root")
-        .select("root", F.least("least", "root_id").alias("component_id"), "members")
-    )
-    firsts = written(firsts, "firsts")
-    named = meet(members.select("x", "root"), firsts, ["root"], "members", members.count(), "inner").select(
-        F.col("x").alias("class"), "component_id"
-    )
-    named = named.unionByName(firsts.select(F.col("root").alias("class"), "component_id"))
-    labels = classes.select("class", "first_id", "copies").join(named, "class", "left")
-    labels = labels.select("class", "copies", F.coalesce("component_id", "first_id").alias("component_id"))
-    narrow = sketches.select("doc", "text_hash", "n", "class")
-    full = meet(narrow.where("n > 0"), labels, ["class"], "copies", sketches.count(), "inner")
+    with scratch():
+        sketches = written(_sketches(docs, id_column, text_column, width), "sketches")
+        classes = written(
+            sketches.where("n > 0")
+            .groupBy("class")
+            .agg(
+                F.min("doc").alias("first_id"),
+                F.count("*").alias("copies"),
+                F.min(F.struct("doc", "text_hash")).alias("rep"),
+                F.max("n").alias("n"),
+                F.max("minima").alias("minima"),
+                F.max("keys").alias("keys"),
+            ),
+            "classes",
+        )
+        keys = classes.select("class", "n", F.posexplode("keys").alias("place", "key"))
+        buckets = written(
+            keys.groupBy("place", "key").agg(F.count("*").alias("members"), F.sum("n").alias("hashes")).where("members > 1"),
+            "buckets",
+        )
+        many = KEYS * classes.count()
+        shared = written(
+            meet(keys.drop("n"), buckets, ["place", "key"], "members", many, "inner"), "shared-buckets"
+        )
+        small = shared.where(F.col("members") <= CROWD).join(classes.select("class", "n", "minima"), "class")
+        pairs = written(
+            small.select("place", "key", "class", "n", "minima")
+            .repartition("place", "key")
+            .sortWithinPartitions("place", "key", "class")
+            .mapInArrow(lambda b: _pairs_of_buckets(b, percent), "x binary, y binary"),
+            "pairs",
+        )
+        crowds = shared.where(F.col("members") > CROWD)
+        wanted = (
+            pairs.select(F.col("x").alias("class"))
+            .unionByName(pairs.select(F.col("y").alias("class")))
+            .unionByName(crowds.select("class"))
+            .distinct()
+            .join(classes.select("class", "rep"), "class")
+        )
+        sets = written(_class_sets(docs, wanted, id_column, text_column, width), "class-sets")
+        confirmed = (
+            pairs.join(sets.select(F.col("class").alias("y"), F.col("set").alias("y_set")), "y")
+            .join(sets.select(F.col("class").alias("x"), F.col("set").alias("x_set")), "x")
+            .mapInArrow(lambda b: _confirmed(b, percent), "x binary, y binary")
+        )
+        blocks = F.ceil(8 * F.col("hashes") / F.lit(BLOCK_BYTES)).cast("int")
+        own = F.pmod(F.xxhash64("class"), "blocks").cast("int")
+        placed = (
+            crowds.withColumn("blocks", blocks)
+            .withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("place", "key", "class", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        )
+        crowded = (
+            placed.join(sets, "class")
+            .repartition("place", "key", "low", "high")
+            .sortWithinPartitions("place", "key", "low", "high")
+            .mapInArrow(lambda b: _links_of_crowds(b, percent), "x binary, y binary")
+        )
+        roots = components(confirmed.unionByName(crowded))
+        members = written(roots.join(classes.select(F.col("class").alias("x"), "first_id"), "x"), "members")
+        firsts = (
+            members.groupBy("root")
+            .agg(F.min("first_id").alias("least"), F.count("*").alias("members"))
+            .join(classes.select(F.col("class").alias("root"), F.col("first_id").alias("root_id")), "root")
+            .select("root", F.least("least", "root_id").alias("component_id"), "members")
+        )
+        firsts = written(firsts, "firsts")
+        named = meet(members.select("x", "root"), firsts, ["root"], "members", members.count(), "inner").select(
+            F.col("x").alias("class"), "component_id"
+        )
+        named = named.unionByName(firsts.select(F.col("root").alias("class"), "component_id"))
+        labels = classes.select("class", "first_id", "copies").join(named, "class", "left")
+        labels = written(
+            labels.select("class", "copies", F.coalesce("component_id", "first_id").alias("component_id")), "labels", keep=True
+        )
+        narrow = written(sketches.select("doc", "text_hash", "n", "class"), "classes-of-rows", keep=True)
+    full = meet(narrow.where("n > 0"), labels, ["class"], "copies", narrow.count(), "inner")
     empty = narrow.where("n = 0").withColumn("component_id", F.col("doc"))
     out = full.select("doc", "text_hash", "n", "component_id").unionByName(
         empty.select("doc", "text_hash", "n", "component_id")
