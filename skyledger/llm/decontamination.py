@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import taken
+from skyledger.llm.common import taken, written
 from skyledger.llm.word_hashes import separators, shingles, word_lists
 
 #: Words of a seed, and so of the shortest tile; percent of an item's words that count
@@ -94,8 +94,8 @@ def tiles(item: np.ndarray, text: np.ndarray, gone: np.ndarray | None = None, le
 class _Block:
     """Some items of the benchmark, by the hashes of their seeds."""
 
-    def __init__(self, ids: list, words: list[np.ndarray], percent: int):
-        self.ids, self.words, self.percent = ids, words, percent
+    def __init__(self, ids: list, copies: list[int], words: list[np.ndarray], percent: int):
+        self.ids, self.copies, self.words, self.percent = ids, copies, words, percent
         seeds: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
         for k, w in enumerate(words):
             if len(w):
@@ -146,21 +146,24 @@ class _Block:
             found = tiles(self.words[k], text, gone, width)
             covered = sum(n for n, _, _ in found)
             if 100 * covered >= self.percent * len(self.words[k]):
-                out.append((self.ids[k], len(self.words[k]), covered, len(found)))
+                out += [(self.ids[k], len(self.words[k]), covered, len(found))] * self.copies[k]
         return out
 
 
 def _blocks(items: DataFrame, percent: int) -> Iterator[_Block]:
-    """The benchmark in blocks of some BLOCK_WORDS words; one at a time is on the driver."""
+    """The benchmark in blocks of some BLOCK_WORDS words; one at a time is on the driver.
+    Equal items are one, with the number of its copies, so no hash holds many words."""
     sized = items.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"), F.length("text").alias("chars")
-    ).where("text is not null")
+    ).where("text is not null").groupBy("item_id", "text", "chars").agg(F.count("*").alias("copies"))
     # a word has a character and a separator at least
     blocks = max(1, math.ceil((sized.agg(F.sum("chars")).first()[0] or 0) / 2 / BLOCK_WORDS))
     placed = sized.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
-        rows = placed.where(F.col("block") == block).select("item_id", "text").collect()
-        yield _Block([r["item_id"] for r in rows], word_hashes([r["text"] for r in rows]), percent)
+        rows = placed.where(F.col("block") == block).select("item_id", "text", "copies").collect()
+        yield _Block(
+            [r["item_id"] for r in rows], [r["copies"] for r in rows], word_hashes([r["text"] for r in rows]), percent
+        )
 
 
 def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -208,7 +211,9 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
 def without_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text covers no item, as in ``leaks``."""
     spark = docs.sparkSession
-    for block in _blocks(items, percent):
+    for number, block in enumerate(_blocks(items, percent)):
+        if number:  # a task holds one block
+            docs = written(docs, "clean-so-far")
         sent = spark.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
