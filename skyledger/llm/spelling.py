@@ -192,29 +192,43 @@ def neighbours(words: DataFrame) -> DataFrame:
             found.append(stored.where("rest = ''").select("word", "back", "near", "end_n"))
             return stored.where("rest <> ''").drop("end_n")
 
+        # one letter of the word, of the edge or of both is passed over: what is left then has
+        # to begin with the label, and with a letter that goes on from the child
+        far = "char_length(word)"
         leaving = (
-            states.select("word", "back", "at", "node", F.expr("substring(word, at + 1, 1)").alias("own"))
-            .join(edges, "node")
-            .where("ch <> own")
+            states.select("word", "back", "at", "node", F.expr(f"substring(word, at + 1, {far})").alias("own"))
+            .join(edges.select("*", F.expr("substring(label, 2, char_length(label))").alias("tail")), "node")
+            .where("ch <> substring(own, 1, 1)")
+            .select(
+                *("word", "back", "at", "own", "ch", "child", "end_n", "onward"),
+                F.expr(f"substring(own, 2, {far})").alias("less"),
+                "tail",
+                F.expr("char_length(tail)").alias("read"),
+            )
         )
-        after = lambda skip: f"substring(word, at + {skip} + 1, char_length(word))"
-        tail = "substring(label, 2, char_length(label))"
-        edits = F.expr(
-            f"""inline(filter(array(
-              struct(own <> '' and startswith({after(1)}, {tail}) as fits, ch as put, 1 as skip, char_length(label) - 1 as read),
-              struct(startswith({after(0)}, {tail}) as fits, ch as put, 0 as skip, char_length(label) - 1 as read),
-              struct(own <> '' and startswith({after(1)}, label) as fits, '' as put, 1 as skip, char_length(label) as read)
-            ), e -> e.fits))"""
+        alive = lambda letter: f"if({letter} = '', end_n is not null, instr(onward, {letter}) > 0)"
+        replaced = f"own <> '' and startswith(less, tail) and {alive('substring(less, read + 1, 1)')}"
+        put_in = f"startswith(own, tail) and {alive('substring(own, read + 1, 1)')}"
+        left_out = (
+            "own <> '' and substring(less, 1, 1) = ch and startswith(substring(less, 2, read), tail) and "
+            + alive("substring(less, read + 2, 1)")
         )
-        begun = leaving.select("word", "back", "at", "child", "end_n", "onward", "label", "ch", "own", edits)
+        edited = leaving.where(f"({replaced}) or ({put_in}) or ({left_out})").select(
+            "*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("edit")
+        ).where(f"case edit when 0 then {replaced} when 1 then {put_in} else {left_out} end")
         level = 0
         frontier = split(
-            begun.select(
+            edited.select(
                 "word",
                 "back",
-                F.expr(f"concat(substring(word, 1, at), put, {after('skip')})").alias("near"),
+                F.expr(
+                    """concat(substring(word, 1, at), if(edit = 2, '', ch), if(edit = 1, own, less))"""
+                ).alias("near"),
                 F.col("child").alias("node"),
-                F.expr(f"{after('skip + read')}").alias("rest"),
+                F.expr(
+                    f"""case edit when 1 then substring(own, read + 1, {far})
+                        when 0 then substring(less, read + 1, {far}) else substring(less, read + 2, {far}) end"""
+                ).alias("rest"),
                 "end_n",
                 "onward",
             ),
