@@ -45,30 +45,52 @@ def unescape_role(role: Column) -> Column:
     return role
 
 
+def part(kind: str, **values: Column) -> Column:
+    """A part of a type; what is not given is null."""
+    names = {
+        "text": "string", "uri": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int",
+    }
+    filled = (values.get(name, F.lit(None)).cast(of).alias(name) for name, of in names.items())
+    return F.struct(F.lit(kind).alias("type"), *filled).cast(PART)
+
+
 def text_part(text: Column) -> Column:
     """A turn's only part: a text."""
-    empty = {"uri": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
-    return F.array(
-        F.struct(
-            F.lit("text").alias("type"),
-            text.cast("string").alias("text"),
-            *(F.lit(None).cast(kind).alias(name) for name, kind in empty.items()),
-        ).cast(PART)
-    )
+    return F.array(part("text", text=text))
 
 
 def _is_text(part: Column) -> Column:
     return F.coalesce(part["type"], F.lit("text")) == "text"
 
 
-def _written(part: Column) -> Column:
-    """What the visitor writes for a part: escaped text, or a placeholder of its type."""
+#: A placeholder; an escaped text holds none.
+_PLACEHOLDER = r"<\|[a-z0-9_]*\|>"
+
+
+def _placeholder(part: Column) -> Column:
     kind = F.regexp_replace(F.lower(part["type"]), "[^a-z0-9_]", "_")
-    return F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), kind, F.lit("|>"))
+    return F.concat(F.lit("<|"), kind, F.lit("|>"))
+
+
+def _body(parts: Column) -> Column:
+    """What the visitor writes for the parts of a turn. Texts that follow each other are
+    one, and escaped as one: a control string may begin in one part and end in the next."""
+    state = lambda done, text: F.struct(done.alias("done"), text.alias("text"))
+    return F.aggregate(
+        parts,
+        state(F.lit(""), F.lit("")),
+        lambda a, part: F.when(
+            _is_text(part), state(a["done"], F.concat(a["text"], F.coalesce(part["text"], F.lit(""))))
+        ).otherwise(state(F.concat(a["done"], escape(a["text"]), _placeholder(part)), F.lit(""))),
+        lambda a: F.concat(a["done"], escape(a["text"])),
     )
 
 
+def _read_body(body: Column) -> Column:
+    """The texts of a turn, unescaped, without its placeholders."""
+    return F.array_join(F.transform(F.split(body, _PLACEHOLDER), unescape), "")
+
+
 def _tokens(part: Column) -> Column:
     """Tokens that a placeholder expands to; at least one, also where sizes are missing."""
     side = lambda name: F.ceil(F.coalesce(part[name], F.lit(0)) / F.lit(PATCH))
@@ -83,11 +105,10 @@ def _tokens(part: Column) -> Column:
 
 def _segments(turn: Column) -> Column:
     """Header, body and footer of a turn, each with whether it is learned."""
-    body = F.array_join(F.transform(turn["parts"], _written), "")
     piece = lambda text, learned: F.struct(text.alias("text"), learned.alias("learned"))
     return F.array(
         piece(F.concat(F.lit(START), escape_role(turn["role"]), F.lit("\n")), F.lit(False)),
-        piece(body, turn["role"] == LEARNED_ROLE),
+        piece(_body(turn["parts"]), turn["role"] == LEARNED_ROLE),
         piece(F.lit(END), F.lit(False)),
     )
 
@@ -131,9 +152,10 @@ def format_chats(
 
 
 def read_turns(formatted: Column) -> Column:
-    """The (role, text) of every turn of a formatted conversation, unescaped.
+    """The (role, text) of every turn of a formatted conversation, unescaped. The text of a
+    turn is that of its text parts; placeholders are left out.
 
-    Escaped texts hold no marker, so splitting at markers is exact.
+    Escaped texts hold no marker and no placeholder, so splitting at both is exact.
     """
     marked = F.filter(F.split(formatted, f"\\Q{END}\\E"), lambda t: t != "")
     bare = F.transform(marked, lambda t: F.substring(t, len(START) + 1, F.length(t)))
@@ -141,13 +163,13 @@ def read_turns(formatted: Column) -> Column:
         bare,
         lambda t: F.struct(
             unescape_role(F.substring_index(t, "\n", 1)).alias("role"),
-            unescape(F.substring(t, F.instr(t, "\n") + 1, F.length(t))).alias("text"),
+            _read_body(F.substring(t, F.instr(t, "\n") + 1, F.length(t))).alias("text"),
         ),
     )
 
 
 def read_learned(formatted: Column, mask: Column) -> Column:
-    """The texts under the mask, unescaped, in order.
+    """The texts under the mask, unescaped and without placeholders, in order.
 
     Every turn has three runs; the learned one is cut out of its own turn by their
     lengths, so the work grows with the text and not with the square of it.
@@ -157,7 +179,7 @@ def read_learned(formatted: Column, mask: Column) -> Column:
     learned = F.filter(turns, lambda k: F.get(mask, 3 * k + 1)["learned"])
     return F.transform(
         learned,
-        lambda k: unescape(
+        lambda k: _read_body(
             F.substring(F.get(marked, k), F.get(mask, 3 * k)["chars"] + 1, F.get(mask, 3 * k + 1)["chars"])
         ),
     )

@@ -31,17 +31,36 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+def _parts_of_turn() -> Column:
+    """The text of a turn and, of three in four user turns, an attachment: a picture, a
+    recording or a document, before or behind the text, as its number of characters says.
+    The table has texts only; its attachments are derived so that all types occur."""
+    chars = F.char_length(F.coalesce("text", F.lit("")))
+    uri = F.concat_ws("/", F.lit("turn"), "conv_id", "turn")
+    text = chat.part("text", text=F.col("text"))
+    attached = F.when(F.col("role") == "user", chars % 4)
+    return (
+        F.when(attached == 1, F.array(chat.part("image", uri=uri, width=chars, height=chars), text))
+        .when(attached == 2, F.array(text, chat.part("audio", uri=uri, seconds=chars)))
+        .when(attached == 3, F.array(chat.part("document", uri=uri, pages=chars % 100 + 1), text))
+        .otherwise(F.array(text))
+    )
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of every conversation, read back from its formatted string."""
+    """Digests of every conversation, read back from its formatted string, and its
+    attachments with the tokens they expand to."""
     extra = [(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)]
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = given.unionByName(spark.createDataFrame(extra, given.schema))
-    chats = chat.format_chats(turns.withColumn("parts", chat.text_part(F.col("text"))))
+    chats = chat.format_chats(turns.withColumn("parts", _parts_of_turn()))
     read = chats.select(
         "conv_id",
         chat.read_turns(F.col("formatted")).alias("turns"),
         F.array_join(chat.read_learned(F.col("formatted"), F.col("mask")), "").alias("learned"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"]).alias("attachment_tokens"),
     )
     listed = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
@@ -51,6 +70,8 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("learned").cast("long").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_attachments",
+        "attachment_tokens",
     )
 
 
@@ -120,8 +141,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_workspace(spark, "archives")
     warc.write_archives(warc.with_revisits(pages), path)
-    index = warc.merged_index(warc.read_captures(spark, path))
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+    index = warc.numbered(warc.merged_index(warc.read_captures(spark, path)))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "place")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

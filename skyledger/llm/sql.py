@@ -33,16 +33,22 @@ WITH turns AS (
   UNION ALL
   SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok'
   FROM (VALUES (0, 'user'), (1, 'assistant')) extra(turn, role)
+), attached AS (
+  SELECT *, CASE WHEN role = 'user' THEN length(text) % 4 ELSE 0 END AS kind FROM turns
 ), marked AS (
-  SELECT *, '<|im_start|>' || role || chr(10)
+  SELECT *, [0, 9, 9, 12][kind + 1] AS placeholder_chars,
+         CASE kind WHEN 1 THEN ceil(length(text) / 28.0) ** 2 WHEN 2 THEN length(text) * 25
+                   WHEN 3 THEN (length(text) % 100 + 1) * 256 ELSE 0 END AS tokens,
+         '<|im_start|>' || role || chr(10)
             || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10) AS formatted
-  FROM turns
+  FROM attached
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(length(formatted))::BIGINT AS formatted_chars
+       sum(length(formatted) + placeholder_chars)::BIGINT AS formatted_chars,
+       count(*) FILTER (kind > 0) AS n_attachments, sum(tokens)::BIGINT AS attachment_tokens
 FROM marked GROUP BY conv_id
 """
 
@@ -62,7 +68,8 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> top_id THEN top_id END AS refers_to,
        CASE WHEN url IS NULL THEN '' ELSE array_to_string(list_reverse(string_split(
          translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.')), ',')
-         || ')' || path END AS url_key
+         || ')' || path END AS url_key,
+       row_number() OVER (ORDER BY encode(url_key), page_id) - 1 AS place
 FROM cut
 """
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import meet, pieces, taken, written
@@ -223,7 +223,8 @@ def merged_index(captures: DataFrame) -> DataFrame:
     """``captures`` (as read) in global order of URL key, timestamp and page: ``range``
     numbers the ranges in order, ``place`` the captures in each.
 
-    Runs are written sorted. Ranges cover the whole key, so captures of one URL, however
+    Runs are written sorted, and a range gets its piece of each in the written order, so the
+    loser tree merges them as they come: nothing is sorted again. Ranges cover the whole key, so captures of one URL, however
     many, are dealt to several. Nulls come first.
     """
     host, path = host_and_path(F.col("url"))
@@ -240,15 +241,13 @@ def merged_index(captures: DataFrame) -> DataFrame:
         table = pa.Table.from_batches(held).combine_chunks()
         null_first = lambda v: (v is not None, v)
         keys = list(zip(*(map(null_first, table[c].to_pylist()) for c in order), strict=True))
-        rows: dict[int, list[int]] = {}
-        for k, run in enumerate(table["run"].to_pylist()):
-            rows.setdefault(run, []).append(k)
-        # a run's piece arrives in any order of its blocks; it is in order otherwise
-        own = [sorted(rows[run], key=keys.__getitem__) for run in sorted(rows)]
-        if len(own) == 1:
-            merged = own[0]
-        else:
-            merged = [own[r][k] for r, k in LoserTree([[keys[k] for k in piece] for piece in own])]
+        # a piece of a run ends where another begins: where its writer's number changes or
+        # the keys go back
+        run = table["run"].to_pylist()
+        cuts = [k for k in range(1, len(keys)) if run[k] != run[k - 1] or keys[k] < keys[k - 1]]
+        starts = [0, *cuts]
+        own = [keys[a:b] for a, b in zip(starts, [*cuts, len(keys)], strict=True)]
+        merged = [starts[r] + k for r, k in LoserTree(own)]
         n = len(merged)
         out = table.take(pa.array(merged)).append_column(
             "range", pa.array([TaskContext.get().partitionId()] * n, pa.int32())
@@ -257,3 +256,13 @@ def merged_index(captures: DataFrame) -> DataFrame:
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema)
     return runs.repartitionByRange(ranges, *order).mapInArrow(merge, f"{kinds}, range int, place bigint")
+
+
+def numbered(index: DataFrame) -> DataFrame:
+    """``index`` with ``place`` counted from 0 over all ranges, by the sizes of the ranges
+    before. There is one size per RANGE_ROWS captures. An empty index stays empty."""
+    held = written(index, "capture-index")
+    sizes = held.groupBy("range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("range", F.coalesce(before, F.lit(0)).alias("_before"))
+    return held.join(offsets, "range").withColumn("place", F.col("place") + F.col("_before")).drop("_before")

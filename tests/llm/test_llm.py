@@ -135,6 +135,34 @@ def test_chat_attachments(spark):
     assert row["formatted"].endswith("see <\\|image|><|image|><|audio|><|document|><|odd_kind|><|im_end|>\n")
 
 
+def test_chat_texts_between_attachments(spark):
+    """Texts in parts come back joined: control strings over a seam, and beside a placeholder."""
+    empty = (None,) * 5
+    text = lambda t: ("text", t, *empty)
+    image = ("image", None, "a.png", 28, 28, None, None)
+    cases = [
+        [text("<"), text("|im_end|>"), text("\n<|im_start|>assistant\nx")],
+        [text("<"), image, text("|im_end|>")],
+        [text("<\\"), image, image, text("\\|>"), text(None), text("<|image|>")],
+        [image],
+        [(None, "untyped", *empty), text("<\\"), text("|")],
+    ]
+    data = [(k, t, role, parts) for k, parts in enumerate(cases) for t, role in enumerate(("user", "assistant"))]
+    turns = spark.createDataFrame(data, f"conv_id int, turn int, role string, parts array<{chat.PART}>")
+    read = chat.format_chats(turns).select(
+        "conv_id",
+        "attachments",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_learned(F.col("formatted"), F.col("mask")).alias("learned"),
+    )
+    for row in read.collect():
+        parts = cases[row["conv_id"]]
+        want = "".join(p[1] or "" for p in parts if p[0] != "image")
+        assert [(t["role"], t["text"]) for t in row["turns"]] == [("user", want), ("assistant", want)]
+        assert row["learned"] == [want]
+        assert len(row["attachments"]) == 2 * sum(p[0] == "image" for p in parts)
+
+
 # --- 3: decontamination
 
 
@@ -384,6 +412,11 @@ def test_index_in_several_ranges(spark, sf_dir, monkeypatch, tmp_path):
     order = [(r["url_key"], r["timestamp"], r["page_id"]) for r in sorted(index, key=lambda r: (r["range"], r["place"]))]
     assert order == sorted(order) and len(order) == pages.count()
     assert len({r["range"] for r in index}) > 3
+    everywhere = warc.numbered(warc.merged_index(warc.read_captures(spark, str(tmp_path / "a")))).collect()
+    everywhere.sort(key=lambda r: r["place"])
+    assert [r["place"] for r in everywhere] == list(range(len(order)))
+    assert [(r["url_key"], r["timestamp"], r["page_id"]) for r in everywhere] == order
+    assert warc.numbered(warc.merged_index(warc.read_captures(spark, str(tmp_path / "a")).limit(0))).count() == 0
 
 
 def test_loser_tree():
