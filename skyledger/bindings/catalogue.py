@@ -423,10 +423,9 @@ def landed_status(spark, sf_dir):
     base = new_workspace(spark, "runs")
     orders = domain.table(spark, sf_dir, "orders")
     bounds = orders.agg(F.year(F.min("o_orderdate")).alias("first"), F.year(F.max("o_orderdate")).alias("last")).first()
-    years = orders.select(F.col("o_orderkey").cast("string").alias("id"), F.year("o_orderdate").alias("year"))
-    launches = domain.raw_launches(spark, sf_dir).join(years, "id")
+    launches = domain.raw_launches(spark, sf_dir, year="year(o_orderdate)")
     for year in range(bounds["first"], bounds["last"] + 1):
-        run = {K.LAUNCHES_FILE: launches.where(F.col("year") == year).drop("year")}
+        run = {K.LAUNCHES_FILE: launches.where(F.col("year") == str(year)).drop("year")}
         if year % 2:
             run[K.ROCKETS_FILE] = domain.raw_rockets(spark, sf_dir)
         status.land_run(spark, base, run, {"year": year}, run_id=str(year))

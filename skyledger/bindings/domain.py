@@ -51,8 +51,9 @@ def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Launch records as a catalogue serves them, with fields nobody needs."""
+def landed_launches(spark: SparkSession, sf_dir: str, **also: str) -> DataFrame:
+    """Launch records as a catalogue serves them, with fields nobody needs. ``also`` adds
+    columns, given as SQL over ``placed_orders``."""
     picture = "concat('img/', o_orderkey)"
     return placed_orders(spark, sf_dir).selectExpr(
         "cast(o_orderkey AS string) AS id",
@@ -86,11 +87,17 @@ def landed_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
             'map_url', 'map',
             'location', CASE WHEN n_nationkey <> 3 THEN named_struct(
                 'name', concat('Site ', n_name), 'country_code', r_name) END) AS pad""",
+        *[f"{sql} AS {name}" for name, sql in also.items()],
     )
 
 
-def raw_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(landed_launches(spark, sf_dir), T.StructType.fromDDL(schemas.LAUNCH))
+def raw_launches(spark: SparkSession, sf_dir: str, **also: str) -> DataFrame:
+    """Launch records with the declared fields, and the text columns ``also``: what tells
+    runs or pages apart travels with the record, so that nothing is joined to find it."""
+    declared = T.StructType.fromDDL(schemas.LAUNCH)
+    for name in also:
+        declared.add(name, "string")
+    return conform(landed_launches(spark, sf_dir, **also), declared)
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,10 +67,18 @@ def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int)
     return df.sparkSession.table(name)
 
 
-def write_json_lines(df: DataFrame, path: str, records_per_file: int = 0) -> None:
-    """One JSON object per line; fields that are null are left out. Files hold at most
-    ``records_per_file`` lines, if given."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
+#: Lines of one JSON file: a compressed file is read by one task.
+JSON_RECORDS_PER_FILE = 250_000
+
+
+def write_json_lines(
+    df: DataFrame, path: str, records_per_file: int = JSON_RECORDS_PER_FILE, partition_by: list[str] | None = None
+) -> None:
+    """One JSON object per line, gzipped; fields that are null are left out. Files hold at
+    most ``records_per_file`` lines (0: any number)."""
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file)
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.partitionBy(*partition_by or []).json(path)
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
