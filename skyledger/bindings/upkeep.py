@@ -24,10 +24,8 @@ def landing_cursor(spark, sf_dir):
     """Launches in pages of a month, taken in five runs of thirty pages: the third comes to
     the end, the fourth starts over, the fifth resets the cursor."""
     base = new_workspace(spark, "paged")
-    month = F.date_format("o_orderdate", "'p'yyyy-MM")
-    months = domain.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), month.alias("page"))
-    pages = domain.raw_launches(spark, sf_dir).join(months, "id")
-    pages.hint("rebalance", F.col("page")).write.partitionBy("page").json(f"{base}/landing")
+    pages = domain.raw_launches(spark, sf_dir, page="date_format(o_orderdate, \"'p'yyyy-MM\")")
+    sinks.write_json_lines(pages.hint("rebalance", F.col("page")), f"{base}/landing", partition_by=["page"])
     for run in range(1, RUNS + 1):
         cursor.take_pages(
             spark,
@@ -52,7 +50,7 @@ def accumulated_silver(spark, sf_dir):
     records = domain.run_records(spark, sf_dir)
     year = F.substring("run_id", 1, 4).cast("int")
     landed = records.withColumn("landed", year)
-    landed.hint("rebalance", F.col("landed")).write.partitionBy("landed").json(f"{base}/landing")
+    sinks.write_json_lines(landed.hint("rebalance", F.col("landed")), f"{base}/landing", partition_by=["landed"])
     accumulate_runs(
         spark,
         f"{base}/landing/*",
