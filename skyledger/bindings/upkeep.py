@@ -13,7 +13,7 @@ from skyledger.plans import gallery, gold, history, job, silver, status
 from skyledger.session import new_workspace
 from skyledger.sources import schemas, sinks, tables
 from skyledger.streaming import cursor
-from skyledger.streaming.upsert import accumulate_runs
+from skyledger.streaming.upsert import accumulate_runs, staged
 
 #: Pages of the cursor query's runs, and which run resets the cursor.
 PAGES_A_RUN, RUNS, RESET_RUN = 30, 5, 5
@@ -82,7 +82,7 @@ def gold_after_update(spark, sf_dir):
     job.run_gold(spark, silver_base, gold_base)
     newest = F.year(domain.table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar())
     again = silver.silver_launches(domain.raw_launches(spark, sf_dir)).where(F.col("launch_year") == newest)
-    years = again.select("launch_year").distinct()
+    years = staged(again.select("launch_year").distinct(), "updated-years")
     sinks.replace_partitions(again.withColumn("is_success", F.lit(1)), f"{silver_base}/launches", "launch_year", years)
     job.update_gold(spark, silver_base, gold_base, years)
     return tables.load_metrics(tables.read_table(spark, f"{gold_base}/company_year_metrics"))

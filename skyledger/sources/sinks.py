@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,14 +42,16 @@ def replace_partitions(df: DataFrame, path: str, partition: str, values: DataFra
     names by the rows of ``df``; a partition that has no rows any more goes. Files of all
     other partitions stay as they are.
 
-    ``df`` must not read the table itself. The driver sees names of emptied partitions.
+    ``df`` must not read the table itself. It is computed once: the partitions that have rows
+    are noted while they are written. The driver sees names of partitions.
     """
-    gathered = df.hint("rebalance", F.col(partition))
+    name = F.coalesce(F.col(partition).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    seen = Observation()
+    gathered = df.hint("rebalance", F.col(partition)).observe(seen, F.collect_set(name).alias("left"))
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(partition).parquet(path)
-    left = df.select(F.col(partition).alias("_left")).distinct()
-    emptied = values.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")
-    name = F.coalesce(F.col(partition).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    left = seen.get["left"]
+    emptied = values.where(~name.isin(left)) if left else values
     for value in emptied.agg(F.collect_list(name)).first()[0]:
         files, place = _files(df.sparkSession, f"{path}/{partition}={value}")
         files.delete(place, True)
