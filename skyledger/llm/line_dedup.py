@@ -55,6 +55,12 @@ def _words(line: Column) -> Column:
     return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
 
 
+def _words_apart(line: Column) -> Column:
+    """``_words`` of a line without tabs and the like, for less."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
+
+
 def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column]:
     """128 bits for the id and text of a row; equal rows are one document."""
     doc, text = F.col(id_column), F.col(text_column).cast("string")
@@ -212,15 +218,16 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     k1, k2 = _keys(docs, id_column, text_column)
     bare = F.explode(F.array(_bare(F.col(text_column).cast("string")))).alias("bare")
+    tabs = F.col(text_column).cast("string").rlike(r"[\t\x0B\f\r]").alias("tabs")
     # the row number is stored with the lines, and so the same for all who read them
     hashed = written(
-        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), bare)
+        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), tabs, bare)
         .select(
             "k1",
             "k2",
             "doc",
             F.transform("bare", lambda line: F.xxhash64(line)).alias("h"),
-            F.transform("bare", _words).alias("w"),
+            F.when(F.col("tabs"), F.transform("bare", _words)).otherwise(F.transform("bare", _words_apart)).alias("w"),
             F.monotonically_increasing_id().alias("row"),
         )
         .where("size(h) > 0"),

@@ -1,0 +1,22 @@
+"""Words of a line are counted the cheap way only where that gives the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyledger.llm import line_dedup
+
+LINES = ["", "a", "a b", " a  b ", "\u00e9t\u00e9 \u00e0 b", "x " * 150, "a\u00a0b", "\x1c \x85"]
+
+
+def test_both_counts_agree_without_tabs(spark):
+    rows = spark.createDataFrame([(line,) for line in LINES], "line STRING")
+    counted = rows.select(line_dedup._words(F.col("line")).alias("a"), line_dedup._words_apart(F.col("line")).alias("b"))
+    assert all(r["a"] == r["b"] for r in counted.collect())
+
+
+def test_runs_with_tabs_are_found(spark):
+    run = " ".join(f"word{i}\tnext{i}\x0bthird{i}." for i in range(20))
+    docs = spark.createDataFrame([(1, f"one. {run} end."), (2, f"two. {run} stop.")], "doc_id BIGINT, text STRING")
+    left = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()}
+    assert left[1] == f"one. {run} end." and "word5" not in left[2] and left[2].startswith("two. ")
