@@ -11,7 +11,7 @@ then each is extended both ways until its lines differ from those around the sou
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import meet, scratch, written
@@ -25,7 +25,11 @@ GRAM_WORDS, WINDOW_WORDS = 24, 16
 #: beyond it both are shuffled.
 BROADCAST_BYTES = 64 << 20
 
-_END = r"[\p{P}\p{S}] "
+#: The sign beyond 16 bits, a symbol itself, makes Java look back by code points.
+_END = "[\\p{P}\\p{S}\U0001f600]"
+#: The last character of a line that ends within a text. It is looked for first, as few
+#: characters are one; then what stands before it.
+_LAST = rf"[ \n](?<=\n|{_END} )"
 _MARK = "\x01"
 
 
@@ -35,8 +39,8 @@ def lines(text: Column) -> Column:
     A mark set after every line end makes for a plain split; a text that holds the mark
     itself is split between characters, which takes longer.
     """
-    marked = F.split(F.regexp_replace(text, rf"({_END}|\n)", f"$1{_MARK}"), _MARK)
-    between = F.split(text, rf"(?<=\n)|(?<={_END})")
+    marked = F.split(F.regexp_replace(text, _LAST, f"$0{_MARK}"), _MARK)
+    between = F.split(text, rf"(?<=\n)|(?<={_END} )")
     return F.filter(F.when(F.contains(text, F.lit(_MARK)), between).otherwise(marked), lambda line: line != "")
 
 
@@ -44,9 +48,11 @@ def lines(text: Column) -> Column:
 _MOST_WORDS = 100
 
 
-def _bare(text: Column) -> Column:
-    """The lines without line breaks and outer spaces."""
-    return F.transform(lines(text), lambda line: F.trim(F.replace(line, F.lit("\n"), F.lit(""))))
+def _bare(pieces: Column) -> Column:
+    """The lines without line breaks and outer spaces, of a text split at ``_LAST``: nothing
+    is a line after the last line end."""
+    ended = F.when(F.get(pieces, F.size(pieces) - 1) == "", 1).otherwise(0)
+    return F.transform(F.slice(pieces, 1, F.size(pieces) - ended), lambda line: F.trim(line))
 
 
 def _words(line: Column) -> Column:
@@ -55,6 +61,12 @@ def _words(line: Column) -> Column:
     return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
 
 
+def _words_apart(line: Column) -> Column:
+    """``_words`` of a line without tabs and the like, for less."""
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
+
+
 def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column]:
     """128 bits for the id and text of a row; equal rows are one document."""
     doc, text = F.col(id_column), F.col(text_column).cast("string")
@@ -66,41 +78,83 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
 FURTHER = 8
 
 
-def _once(df: DataFrame, name: str, value: str) -> DataFrame:
-    """``df`` with a column that is computed once per row. As a plain column it would be
-    put in place of its name wherever a lambda uses it, and computed for every element."""
-    return df.select("*", F.explode(F.array(F.expr(value))).alias(name))
+#: Lines of a gram that one compiled method looks at: Java leaves large ones uncompiled.
+_LINES_AT_ONCE = 8
+
+
+def _with(df: DataFrame, *keep: str, **values: Column) -> DataFrame:
+    """``keep`` and ``values``, which are computed once a row: no later filter or expression
+    takes them in, and what follows is compiled as a method of its own."""
+    return df.select(*keep, F.inline(F.array(F.struct(*(value.alias(name) for name, value in values.items())))))
 
 
 def _fingerprints(hashed: DataFrame) -> DataFrame:
     """(fp, row, doc, at, stop) of the window minima of every document.
 
-    A window has as many lines as start within WINDOW_WORDS words, four at most.
+    A window has as many lines as start within WINDOW_WORDS words, four at most. Lines are
+    rows here that look into the arrays of their document: unlike lambdas over arrays, all of
+    it is compiled. Windows begin and end in order, and so do their minima: a line is the
+    minimum of some window just if it differs from that of the window before.
     """
-    steps, total = [], "w[i]"
-    for k in range(1, 4):
-        steps.append(f"when {total} >= {WINDOW_WORDS} then {k}")
-        total += f" + coalesce(get(w, i + {k}), 0Y)"
-    windows = _once(hashed, "windows", f"transform(h, (x, i) -> slice(h, i + 1, case {' '.join(steps)} else 4 end))")
-    chosen = _once(
-        windows,
-        "chosen",
-        "array_distinct(transform(windows, (x, i) -> i + cast(array_position(x, array_min(x)) as int) - 1))",
+
+    def hash_at(place: Column) -> Column:
+        return F.get("h", place)
+
+    def words_at(place: Column) -> Column:
+        return F.coalesce(F.get("w", place).cast("int"), F.lit(0))
+
+    i, at, doc = F.col("i"), F.col("at"), ("row", "doc", "h", "w")
+    near = hashed.select(*doc, F.posexplode("h").alias("i", "x")).select(
+        *doc,
+        "i",
+        *(F.coalesce(hash_at(i + k), F.lit((1 << 63) - 1)).alias(f"h{k + 1}") for k in range(-1, 4)),
+        *(words_at(i + k).alias(f"w{k + 1}") for k in range(-1, 3)),
     )
 
-    def gram(most: int) -> str:
-        return f"""aggregate(
-            slice(lines, p + 1, {most}),
-            named_struct('w', 0, 'n', 0, 'g', 0L),
-            (a, x) -> if(a.w >= {GRAM_WORDS}, a, named_struct('w', a.w + x.w, 'n', a.n + 1, 'g', xxhash64(a.g, x.h))),
-            a -> if(a.w >= {GRAM_WORDS}, named_struct('p', p, 'stop', p + a.n, 'g', a.g), null))"""
+    def ahead(first: int) -> list[Column]:
+        """Hashes after the first of the window that begins with column ``first``; the
+        largest number stands for those beyond it."""
+        found, words = [], F.lit(0)
+        for k in range(first, first + 3):
+            words = words + F.col(f"w{k}")
+            hashes = F.when(words < WINDOW_WORDS, F.col(f"h{k + 1}")).otherwise((1 << 63) - 1)
+            found.append(hashes.alias(f"from{first}_{k - first + 1}"))
+        return found
+
+    def minimum(first: int) -> Column:
+        """Lines from that window's first to its least hash, the first such."""
+        own, one, two, three = F.col(f"h{first}"), *(F.col(f"from{first}_{k}") for k in (1, 2, 3))
+        return (
+            F.when((own <= one) & (own <= two) & (own <= three), 0)
+            .when((one <= two) & (one <= three), 1)
+            .when(two <= three, 2)
+            .otherwise(3)
+        )
 
-    # most grams end within six lines; every line has a word at least
-    zipped = _once(chosen, "lines", "arrays_zip(h, w)")
-    grams = _once(zipped, "grams", f"transform(chosen, p -> coalesce({gram(6)}, {gram(GRAM_WORDS)}))")
-    found = """transform(filter(grams, m -> m is not null), m -> named_struct(
-        'fp', m.g, 'at', m.p, 'stop', m.stop))"""
-    return grams.select("row", "doc", F.inline(F.expr(found))).select("fp", "row", "doc", "at", "stop")
+    windows = near.select(*doc, "i", "h0", "h1", *ahead(0), *ahead(1))
+    before = F.when(i > 0, i - 1 + minimum(0)).otherwise(-1)
+    grams = _with(windows, *doc, at=i + minimum(1), before=before).where("at <> before")
+    grams = grams.select(*doc, "at", F.lit(0).alias("words"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("gram"))
+    # a gram goes on while it has fewer words than it needs; every line has a word at least
+    for start in range(0, GRAM_WORDS, _LINES_AT_ONCE):
+        block = range(start, min(start + _LINES_AT_ONCE, GRAM_WORDS))
+        words, sums = F.col("words"), []
+        for k in block:
+            words = words + words_at(at + k)
+            sums.append(words.alias(f"words{k}"))
+        more = [F.col(name) < GRAM_WORDS for name in ("words", *(f"words{k}" for k in block[:-1]))]
+        # xxhash64 passes over nulls
+        gram = F.xxhash64("gram", *(F.when(m, hash_at(at + k)) for m, k in zip(more, block, strict=True)))
+        grams = _with(
+            grams.select(*doc, "at", "words", "n", "gram", *sums),
+            *doc,
+            "at",
+            words=F.col(f"words{block[-1]}"),
+            n=F.col("n") + sum((F.when(m, 1).otherwise(0) for m in more[1:]), F.when(more[0], 1).otherwise(0)),
+            gram=F.when(more[0], gram).otherwise(F.col("gram")),
+        )
+    found = grams.where(F.col("words") >= GRAM_WORDS)
+    return found.select(F.col("gram").alias("fp"), "row", "doc", "at", (at + F.col("n")).alias("stop"))
 
 
 def _joined(runs: Column) -> Column:
@@ -118,20 +172,44 @@ def _joined(runs: Column) -> Column:
     )
 
 
+def _diagonals(matches: DataFrame) -> DataFrame:
+    """(row, source, shift, start, stop, behind, ahead) of ``matches`` with those that meet or
+    overlap made one, of one row with one source at one shift. ``behind`` and ``ahead`` are the
+    lines up to the runs of the same before and after; null if there are none."""
+    order = Window.partitionBy("row", "source", "shift").orderBy("start", "stop")
+    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= reached, 0).otherwise(1)
+    runs = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = matches.withColumn("opens", opens).withColumn("run", runs)
+    apart = numbered.groupBy("row", "source", "shift", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop")
+    )
+    following = Window.partitionBy("row", "source", "shift").orderBy("run")
+    return apart.select(
+        "row",
+        "source",
+        "shift",
+        "start",
+        "stop",
+        (F.col("start") - F.lag("stop").over(following)).alias("behind"),
+        (F.lead("start").over(following) - F.col("stop")).alias("ahead"),
+    )
+
+
 def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
     """(row, run) of the lines that go on agreeing at an end of a run. ``own`` and ``other``
     are the lines before that end in the row and in its source; lines are compared forth
-    from there or, with ``back``, backwards."""
-    each = diagonals.select("row", "source", "shift", F.inline("runs"))
+    from there or, with ``back``, backwards, ``room`` of them at most: behind a gap begins
+    the next run at the same shift, which has ends of its own."""
     ends = written(
-        each.select(
+        diagonals.select(
             "row",
             "source",
             F.inline(
                 F.expr(
                     """filter(array(
-                         named_struct('own', start, 'other', start - shift, 'back', true),
-                         named_struct('own', stop, 'other', stop - shift, 'back', false)),
+                         named_struct('own', start, 'other', start - shift, 'back', true, 'room', behind),
+                         named_struct('own', stop, 'other', stop - shift, 'back', false, 'room', ahead)),
                        e -> not e.back or (e.own > 0 and e.other > 0))"""
                 )
             ),
@@ -167,13 +245,16 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
         )
         both = meet(ends, mine, ["row", "own", "back"], "n", total, "inner").drop("n")
         both = meet(both, theirs, ["source", "other", "back"], "n", total, "inner").drop("n")
-        # place of the first pair that differs; 0 if none does
-        differ = "array_position(zip_with(left, right, (x, y) -> coalesce(x = y, false)), false)"
+        # place of the first pair that differs, which is looked for pair by pair only among
+        # the first lines that differ as a whole
+        agree = "size(left)"
+        for n in (most, most // 8) if most > FURTHER else (most,):
+            mine, others = f"slice(left, 1, {n})", f"slice(right, 1, {n})"
+            differ = f"array_position(zip_with({mine}, {others}, (x, y) -> coalesce(x = y, false)), false)"
+            first = f"cast(coalesce(nullif({differ}, 0) - 1, size({mine})) as int)"
+            agree = f"if({mine} = {others}, {agree}, {first})" if n == most else f"if({mine} <> {others}, {first}, {agree})"
         compared = written(
-            both.withColumn("same", F.expr(f"cast(if({differ} = 0, size(left), {differ} - 1) as int)")).select(
-                *ends.columns, "same"
-            ),
-            "compared",
+            both.withColumn("same", F.expr(f"least({agree}, room)")).select(*ends.columns, "same"), "compared"
         )
         grown = grown.unionByName(
             compared.where("same > 0").select(
@@ -184,8 +265,13 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
             )
         )
         step = F.when(F.col("back"), -F.col("same")).otherwise(F.col("same"))
-        ends = compared.where(F.col("same") == most).select(
-            "row", "source", (F.col("own") + step).alias("own"), (F.col("other") + step).alias("other"), "back"
+        ends = compared.where((F.col("same") == most) & ((F.col("room") > most) | F.col("room").isNull())).select(
+            "row",
+            "source",
+            (F.col("own") + step).alias("own"),
+            (F.col("other") + step).alias("other"),
+            "back",
+            (F.col("room") - most).alias("room"),
         )
         most *= 8
     return grown
@@ -211,16 +297,22 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     then by place in the text.
     """
     k1, k2 = _keys(docs, id_column, text_column)
-    bare = F.explode(F.array(_bare(F.col(text_column).cast("string")))).alias("bare")
+    text = F.col(text_column).cast("string")
+    tabs = F.greatest(*(F.contains(text, F.lit(c)) for c in "\t\v\f\r")).alias("tabs")
+    # as elements of an array of one they are computed once; as plain columns they would be
+    # put in place of their names wherever a lambda uses them
+    pieces = F.explode(F.array(F.split(text, _LAST))).alias("pieces")
+    bare = F.explode(F.array(_bare(F.col("pieces")))).alias("bare")
     # the row number is stored with the lines, and so the same for all who read them
     hashed = written(
-        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), bare)
+        docs.select(k1.alias("k1"), k2.alias("k2"), F.col(id_column).alias("doc"), tabs, pieces)
+        .select("k1", "k2", "doc", "tabs", bare)
         .select(
             "k1",
             "k2",
             "doc",
             F.transform("bare", lambda line: F.xxhash64(line)).alias("h"),
-            F.transform("bare", _words).alias("w"),
+            F.when(F.col("tabs"), F.transform("bare", _words)).otherwise(F.transform("bare", _words_apart)).alias("w"),
             F.monotonically_increasing_id().alias("row"),
         )
         .where("size(h) > 0"),
@@ -234,20 +326,15 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             "first-occurrences",
         )
         met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
-        diagonals = written(
-            met.where("row <> first.row or at <> first.at")
-            .select(
-                "row",
-                F.col("first.row").alias("source"),
-                (F.col("at") - F.col("first.at")).alias("shift"),
-                F.struct(F.col("at").alias("start"), "stop").alias("run"),
-            )
-            .groupBy("row", "source", "shift")
-            .agg(_joined(F.sort_array(F.collect_set("run"))).alias("runs")),
-            "diagonals",
-            keep=True,
+        matches = met.where("row <> first.row or at <> first.at").select(
+            "row",
+            F.col("first.row").alias("source"),
+            (F.col("at") - F.col("first.at")).alias("shift"),
+            F.col("at").alias("start"),
+            "stop",
         )
-    found_runs = diagonals.select("row", F.explode("runs").alias("run")).unionByName(_further(hashed, diagonals))
+        diagonals = written(_diagonals(matches), "diagonals", keep=True)
+    found_runs = diagonals.select("row", F.struct("start", "stop").alias("run")).unionByName(_further(hashed, diagonals))
     runs = found_runs.groupBy("row").agg(_joined(F.sort_array(F.collect_set("run"))).alias("runs"))
     return runs.join(hashed.select("row", "k1", "k2"), "row").select("k1", "k2", "runs")
 
