@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import taken, written
+from skyledger.llm.common import pieces, taken, written
 
 #: Bounds of what is fitted on: labelled documents of each class that train the
 #: dictionaries, that calibrate, words typical of toxic text and ordinary words.
@@ -286,6 +286,17 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return tuple(float(v) for v in w)
 
 
+#: Texts that a worker holds at once beside their batch.
+TEXTS_AT_ONCE = 500
+
+
+def _scored(batches: Iterator[pa.RecordBatch], scorer: _Scorer, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in pieces(batch, TEXTS_AT_ONCE):
+            found = pa.array([scorer.score(t) for t in taken(part, "text")], pa.float64())
+            yield pa.RecordBatch.from_arrays([*part.columns, found], [*columns, "score"])
+
+
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
     """``docs`` with ``score``, 0 to 1. Every window of every text is compressed.
 
@@ -298,10 +309,7 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
     columns = docs.columns
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(model)
-        for batch in batches:
-            found = pa.array([scorer.score(t) for t in taken(batch, "text")], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*columns, "score"])
+        yield from _scored(batches, _scorer(model), columns)
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(scored, f"{kinds}, score double")
