@@ -55,13 +55,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def meet(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, how: str) -> DataFrame:
+def meet(
+    left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, how: str, strategy: str | None = None
+) -> DataFrame:
     """Join ``left`` with ``right``, which has one row per key and, in ``rows``, how many
     rows of ``left`` have the key.
 
     A hot key (see HOT_ROWS) is dealt into slices: ``right``'s row is repeated once per
     slice and each row of ``left`` goes to the slice that a hash of the whole row names.
-    The hot keys that ``left`` is told of by broadcast number HOT_KEYS at most.
+    The hot keys that ``left`` is told of by broadcast number HOT_KEYS at most. ``strategy``
+    is a join hint: with ``shuffle_hash``, for a ``right`` with few rows of few bytes, ``left``
+    is not sorted.
     """
     limit = max(HOT_ROWS, total // HOT_KEYS)
     slices = F.when(F.col(rows) > limit, F.ceil(F.col(rows) / limit)).otherwise(1).cast("int")
@@ -70,7 +74,8 @@ def meet(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: i
     spread = F.pmod(F.xxhash64(*[c for c in left.columns]), F.coalesce("_slices", F.lit(1))).cast("int")
     dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_slice", spread).drop("_slices")
     repeated = sliced.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-    return dealt.join(repeated.drop("_slices"), [*keys, "_slice"], how).drop("_slice")
+    repeated = repeated.drop("_slices")
+    return dealt.join(repeated.hint(strategy) if strategy else repeated, [*keys, "_slice"], how).drop("_slice")
 
 
 def taken(batch: pa.RecordBatch, name: str) -> list:

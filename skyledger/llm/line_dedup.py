@@ -28,8 +28,9 @@ BROADCAST_BYTES = 64 << 20
 #: The sign beyond 16 bits, a symbol itself, makes Java look back by code points.
 _END = "[\\p{P}\\p{S}\U0001f600]"
 #: The last character of a line that ends within a text. It is looked for first, as few
-#: characters are one; then what stands before it.
-_LAST = rf"[ \n](?<=\n|{_END} )"
+#: characters are one; then what stands before it. Most spaces follow a plain letter, which
+#: is told sooner than that no mark stands there.
+_LAST = rf"[ \n](?<![a-zA-Z0-9] )(?<=\n|{_END} )"
 _MARK = "\x01"
 
 
@@ -44,7 +45,7 @@ def lines(text: Column) -> Column:
     return F.filter(F.when(F.contains(text, F.lit(_MARK)), between).otherwise(marked), lambda line: line != "")
 
 
-#: More words of a line than this make no difference; a byte holds the number.
+#: More words of a line than this make no difference.
 _MOST_WORDS = 100
 
 
@@ -58,13 +59,13 @@ def _bare(pieces: Column) -> Column:
 def _words(line: Column) -> Column:
     """Its white space plus one: words also end at tabs and the like."""
     spaces = F.octet_length(line) - F.octet_length(F.translate(line, " \t\v\f\r", ""))
-    return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
+    return spaces + 1
 
 
 def _words_apart(line: Column) -> Column:
     """``_words`` of a line without tabs and the like, for less."""
     spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.least(spaces + 1, F.lit(_MOST_WORDS)).cast("tinyint")
+    return spaces + 1
 
 
 def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Column]:
@@ -73,9 +74,10 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
     return F.xxhash64(doc, text), F.xxhash64(F.lit(1), text, doc)
 
 
-#: Lines compared at first beyond both ends of a match; eight times as many each time that
-#: all of them agree.
-FURTHER = 8
+#: Lines compared at first beyond both ends of a match; FURTHER_YET times as many each time
+#: that all of them agree (both powers of two). Every time reads all lines again, and few
+#: texts have more than some hundred.
+FURTHER, FURTHER_YET = 8, 64
 
 
 #: Lines of a gram that one compiled method looks at: Java leaves large ones uncompiled.
@@ -101,7 +103,8 @@ def _fingerprints(hashed: DataFrame) -> DataFrame:
         return F.get("h", place)
 
     def words_at(place: Column) -> Column:
-        return F.coalesce(F.get("w", place).cast("int"), F.lit(0))
+        # bounded here and not line by line in a lambda, as this is compiled
+        return F.least(F.coalesce(F.get("w", place).cast("int"), F.lit(0)), F.lit(_MOST_WORDS))
 
     i, at, doc = F.col("i"), F.col("at"), ("row", "doc", "h", "w")
     near = hashed.select(*doc, F.posexplode("h").alias("i", "x")).select(
@@ -196,6 +199,23 @@ def _diagonals(matches: DataFrame) -> DataFrame:
     )
 
 
+def _agreeing(pairs: DataFrame, most: int) -> DataFrame:
+    """``pairs`` with ``same``, how many of the first elements of the arrays ``left`` and
+    ``right`` agree; they have ``most``, a power of two, at most.
+
+    Halves are compared as a whole, then halves of the half that differs: unlike a lambda over
+    pairs of elements, all of it is compiled.
+    """
+    found = _with(pairs, *pairs.columns, same=F.expr(f"if(size(left) = {most} and left = right, {most}, 0)"))
+    step = most // 2
+    while step:
+        # of slices that agree one is as long as the other
+        longer = f"same + {step} <= size(left) and slice(left, same + 1, {step}) = slice(right, same + 1, {step})"
+        found = _with(found, *pairs.columns, same=F.expr(f"if({longer}, same + {step}, same)"))
+        step //= 2
+    return found
+
+
 def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
     """(row, run) of the lines that go on agreeing at an end of a run. ``own`` and ``other``
     are the lines before that end in the row and in its source; lines are compared forth
@@ -245,17 +265,8 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
         )
         both = meet(ends, mine, ["row", "own", "back"], "n", total, "inner").drop("n")
         both = meet(both, theirs, ["source", "other", "back"], "n", total, "inner").drop("n")
-        # place of the first pair that differs, which is looked for pair by pair only among
-        # the first lines that differ as a whole
-        agree = "size(left)"
-        for n in (most, most // 8) if most > FURTHER else (most,):
-            mine, others = f"slice(left, 1, {n})", f"slice(right, 1, {n})"
-            differ = f"array_position(zip_with({mine}, {others}, (x, y) -> coalesce(x = y, false)), false)"
-            first = f"cast(coalesce(nullif({differ}, 0) - 1, size({mine})) as int)"
-            agree = f"if({mine} = {others}, {agree}, {first})" if n == most else f"if({mine} <> {others}, {first}, {agree})"
-        compared = written(
-            both.withColumn("same", F.expr(f"least({agree}, room)")).select(*ends.columns, "same"), "compared"
-        )
+        agreeing = _agreeing(both, most).withColumn("same", F.least("same", "room"))
+        compared = written(agreeing.select(*ends.columns, "same"), "compared")
         grown = grown.unionByName(
             compared.where("same > 0").select(
                 "row",
@@ -273,7 +284,7 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
             "back",
             (F.col("room") - most).alias("room"),
         )
-        most *= 8
+        most *= FURTHER_YET
     return grown
 
 
@@ -325,7 +336,8 @@ def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             found.groupBy("fp").agg(F.min(F.struct("doc", "row", "at")).alias("first"), F.count("*").alias("n")).where("n > 1"),
             "first-occurrences",
         )
-        met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner")
+        # a hash table of the few repeated fingerprints saves sorting all others
+        met = meet(found.drop("doc"), firsts, ["fp"], "n", found.count(), "inner", "shuffle_hash")
         matches = met.where("row <> first.row or at <> first.at").select(
             "row",
             F.col("first.row").alias("source"),

@@ -9,6 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from skyledger.llm import line_dedup
+from skyledger.llm.common import meet
 
 HASHED = "row bigint, doc bigint, h array<bigint>, w array<tinyint>"
 
@@ -80,3 +81,41 @@ def test_extension_ends_at_the_next_run(spark):
     assert sorted((r["shift"], r["start"], r["stop"], r["behind"], r["ahead"]) for r in out.collect()) == [
         (0, 0, 12, None, 18), (0, 30, 34, 18, 6), (0, 40, 41, 6, None), (2, 13, 15, None, None)
     ]
+
+
+def lists(spark, pairs):
+    return spark.createDataFrame(pairs, "room int, left array<bigint>, right array<bigint>")
+
+
+def test_agreeing_elements_equal_plain_loops(spark):
+    import random
+    from itertools import takewhile
+
+    draw = random.Random(5)
+    for most in (1, 8, 64):
+        pairs = []
+        for k in range(200):
+            left = [draw.randint(0, 9) for _ in range(draw.choice([0, 1, most // 2, most - 1, most, most]))]
+            right = left[: draw.randint(0, len(left))] if k % 3 else list(left)
+            right += [draw.randint(0, 9) for _ in range(draw.randint(0, most - len(right)))]
+            pairs.append((k, left, right))
+        for r in line_dedup._agreeing(lists(spark, pairs), most).collect():
+            assert r["same"] == len(list(takewhile(lambda p: p[0] == p[1], zip(r["left"], r["right"], strict=False))))
+
+
+def test_agreeing_elements_are_found_by_compiled_code(spark, tmp_path):
+    path = str(tmp_path / "p")
+    lists(spark, [(1, list(range(512)), list(range(512)))]).write.parquet(path)
+    pairs = spark.read.schema("room int, left array<bigint>, right array<bigint>").parquet(path)
+    plan = shown(line_dedup._agreeing(pairs, 512), "codegen")
+    assert "lambdafunction" not in plan
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and all(n < 8_000 for n in sizes)
+
+
+def test_unrepeated_fingerprints_are_not_sorted(spark):
+    left = spark.range(50).selectExpr("id % 10 as fp", "id as row")
+    right = spark.range(5).selectExpr("id as fp", "5L as n")
+    met = meet(left, right, ["fp"], "n", 50, "inner", "shuffle_hash")
+    assert met.count() == 25
+    assert "ShuffledHashJoin" in shown(met, "simple")
