@@ -120,17 +120,23 @@ def pruned_busiest_years(spark, sf_dir):
     return chosen.groupBy("launch_year", "provider_name").agg(F.count("launch_id").alias("launches"))
 
 
-#: Buckets of the joined tables.
-BUCKETS = 16
+#: Buckets of the joined tables: one for so many bytes of the tables they are made from, which
+#: a task can sort in memory, between a least number and the most that Spark allows.
+BUCKET_BYTES, BUCKETS, MOST_BUCKETS = 16 << 20, 16, 100_000
+
+
+def buckets_of(spark: SparkSession, sf_dir: str) -> int:
+    stored = sinks.stored_bytes(spark, *(f"{sf_dir}/{name}.parquet" for name in ("orders", "lineitem", "events")))
+    return min(max(-(-stored // BUCKET_BYTES), BUCKETS), MOST_BUCKETS)
 
 
 @query
 def bucketed_features(spark, sf_dir):
     """Gold features from tables that lie in buckets by launch and are joined in place."""
     base, t = new_workspace(spark, "bucketed"), Tables(spark, sf_dir)
-    name = base.rsplit("-", 1)[-1]
+    name, buckets = base.rsplit("-", 1)[-1], buckets_of(spark, sf_dir)
     placed = {
-        kind: sinks.write_bucketed(getattr(t, kind), f"{kind}_{name}", f"{base}/{kind}", "launch_id", BUCKETS)
+        kind: sinks.write_bucketed(getattr(t, kind), f"{kind}_{name}", f"{base}/{kind}", "launch_id", buckets)
         for kind in ("launches", "weather", "images")
     }
     return gold.launch_features(**placed)

@@ -43,16 +43,22 @@ def fan_out_left_join(
     so a task that runs again deals the same way. Left rows without a key match nothing
     and stay where they are.
     """
-    hot = F.broadcast(hot_keys(right, key, rows_per_task))
-    cool_right = right.join(hot, key, "left_anti")
-    keyed = left.where(F.col(key).isNotNull())
-    usual = keyed.join(hot, key, "left_anti").join(cool_right, key, "left")
     others = [f for f in right.schema if f.name != key]
     lone = left.where(F.col(key).isNull()).select(
         key,
         *[c for c in left.columns if c != key],
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in others],
     )
+    return fan_out_keyed_left_join(left.where(F.col(key).isNotNull()), right, key, rows_per_task).unionByName(lone)
+
+
+def fan_out_keyed_left_join(
+    keyed: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``fan_out_left_join`` of left rows that all have a key."""
+    hot = F.broadcast(hot_keys(right, key, rows_per_task))
+    cool_right = right.join(hot, key, "left_anti")
+    usual = keyed.join(hot, key, "left_anti").join(cool_right, key, "left")
 
     part = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
     left_parts = keyed.join(hot, key).withColumn("_part", part).drop("_parts")
@@ -61,4 +67,4 @@ def fan_out_left_join(
         "_row", "_parts"
     )
     rare = left_parts.join(right_parts, [key, "_part"]).drop("_part")
-    return usual.unionByName(rare).unionByName(lone)
+    return usual.unionByName(rare)

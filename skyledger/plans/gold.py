@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.constants import CATALOGUE_SOURCE
-from skyledger.operators.joins import fan_out_left_join
+from skyledger.operators.joins import fan_out_keyed_left_join
 
 
 def company_year_metrics(launches: DataFrame) -> DataFrame:
@@ -30,6 +30,7 @@ def launch_features(launches: DataFrame, weather: DataFrame, images: DataFrame)
     Everything meets on ``launch_id``. Images are counted per launch first (the
     source is fixed by a filter, so the count needs no other key and is already
     placed for the join). Weather may repeat an id; the launch then repeats too.
+    Launches without an id meet nothing, so that images are read for the others only.
     """
     pictures = (
         images.where(F.col("source") == CATALOGUE_SOURCE)
@@ -51,9 +52,12 @@ def launch_features(launches: DataFrame, weather: DataFrame, images: DataFrame)
         "pad_longitude",
         "is_success",
     )
-    counted = subject.join(pictures, "launch_id", "left").withColumn(
-        "launch_image_count", F.coalesce("launch_image_count", F.lit(0))
-    )
-    return fan_out_left_join(counted, samples, "launch_id").select(
-        *subject.columns, "temperature_2m_mean", "wind_speed_10m_max", "launch_image_count"
+    counted = subject.where(F.col("launch_id").isNotNull()).join(pictures, "launch_id", "left")
+    lone = subject.where(F.col("launch_id").isNull())
+    features = fan_out_keyed_left_join(counted, samples, "launch_id").unionByName(lone, allowMissingColumns=True)
+    return features.select(
+        *subject.columns,
+        "temperature_2m_mean",
+        "wind_speed_10m_max",
+        F.coalesce("launch_image_count", F.lit(0)).alias("launch_image_count"),
     )

@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of all files under ``paths``, by the file system's listing."""
+    places = [_files(spark, path) for path in paths]
+    return sum(files.getContentSummary(place).getLength() for files, place in places)
+
+
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """One small file as it stands, on whatever file system the path names."""
     files, place = _files(spark, path)
