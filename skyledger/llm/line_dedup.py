@@ -6,7 +6,8 @@ least hash; its fingerprint is the hash of the lines from there on, up to GRAM_W
 words. Two copies of a run of GRAM_WORDS + WINDOW_WORDS words hold the same such window
 and so the same fingerprint, wherever they stand. Fingerprints meet by hash; the lines of
 every later one go. Matches of one document with one source at one distance are joined;
-then each is extended both ways until its lines differ from those around the source.
+then each is extended both ways until its lines differ from those around the source, where
+this reaches lines that would stay.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def _keys(docs: DataFrame, id_column: str, text_column: str) -> tuple[Column, Co
     return F.xxhash64(doc, text), F.xxhash64(F.lit(1), text, doc)
 
 
-#: Lines compared at first beyond both ends of a match; FURTHER_YET times as many each time
+#: Lines compared at first beyond both ends of an area of matches; FURTHER_YET times as many each time
 #: that all of them agree (both powers of two). Every time reads all lines again, and few
 #: texts have more than some hundred.
 FURTHER, FURTHER_YET = 8, 64
@@ -175,16 +176,20 @@ def _joined(runs: Column) -> Column:
     )
 
 
+def _numbered(runs: DataFrame, *by: str) -> DataFrame:
+    """``runs`` with ``run``: those that meet or overlap, of the same ``by``, have one number."""
+    order = Window.partitionBy(*by).orderBy("start", "stop")
+    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("start") <= reached, 0).otherwise(1)
+    number = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return runs.withColumn("opens", opens).withColumn("run", number).drop("opens")
+
+
 def _diagonals(matches: DataFrame) -> DataFrame:
     """(row, source, shift, start, stop, behind, ahead) of ``matches`` with those that meet or
     overlap made one, of one row with one source at one shift. ``behind`` and ``ahead`` are the
     lines up to the runs of the same before and after; null if there are none."""
-    order = Window.partitionBy("row", "source", "shift").orderBy("start", "stop")
-    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("start") <= reached, 0).otherwise(1)
-    runs = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    numbered = matches.withColumn("opens", opens).withColumn("run", runs)
-    apart = numbered.groupBy("row", "source", "shift", "run").agg(
+    apart = _numbered(matches, "row", "source", "shift").groupBy("row", "source", "shift", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop")
     )
     following = Window.partitionBy("row", "source", "shift").orderBy("run")
@@ -216,47 +221,107 @@ def _agreeing(pairs: DataFrame, most: int) -> DataFrame:
     return found
 
 
-def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
-    """(row, run) of the lines that go on agreeing at an end of a run. ``own`` and ``other``
-    are the lines before that end in the row and in its source; lines are compared forth
-    from there or, with ``back``, backwards, ``room`` of them at most: behind a gap begins
-    the next run at the same shift, which has ends of its own."""
+def _part(at: str, most: int) -> str:
+    """The lines ``h`` from ``at`` on, with ``back`` backwards, ``most`` of them at most."""
+    behind = f"reverse(slice(h, greatest({at} - {most}, 0) + 1, least({at}, {most})))"
+    return f"if(back, {behind}, slice(h, {at} + 1, {most}))"
+
+
+def _beyond_areas(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
+    """(row, source, own, other, back, room, same) of the ends of runs from which lines go on
+    agreeing that are in no run yet; ``same`` of them do, of FURTHER compared.
+
+    Runs of a row cover areas, whatever their sources. What agrees beyond an end adds
+    something only if it reaches the lines beyond its area; so these are compared at once, and
+    the lines up to there, which go anyway, by one hash of them all (``inner``). Where the
+    area ends with the text, as in most copies, nothing is left to compare. A row has no
+    more runs than lines.
+    """
+    area = Window.partitionBy("row", "run")
+    areas = _numbered(diagonals, "row").select(
+        *diagonals.columns, F.min("start").over(area).alias("first"), F.max("stop").over(area).alias("last")
+    )
+    inner = "xxhash64(slice(h, least({0}, {1}) + 1, abs({0} - {1})))"
     ends = written(
-        diagonals.select(
+        hashed.select("row", "h")
+        .join(areas.hint("shuffle_hash"), "row")
+        .select(
             "row",
             "source",
-            F.inline(
-                F.expr(
-                    """filter(array(
-                         named_struct('own', start, 'other', start - shift, 'back', true, 'room', behind),
-                         named_struct('own', stop, 'other', stop - shift, 'back', false, 'room', ahead)),
-                       e -> not e.back or (e.own > 0 and e.other > 0))"""
-                )
+            "shift",
+            "h",
+            F.expr(
+                """inline(array(
+                     named_struct('at', start, 'own', first, 'back', true, 'room', behind - (start - first)),
+                     named_struct('at', stop, 'own', last, 'back', false, 'room', ahead - (last - stop))))"""
             ),
+        )
+        .where("(room is null or room > 0) and if(back, own > 0 and own > shift, own < size(h) and own >= shift)")
+        .selectExpr(
+            "row",
+            "source",
+            "own",
+            "at - shift as met",
+            "own - shift as other",
+            "back",
+            "room",
+            f"{inner.format('at', 'own')} as inner",
+            f"{_part('own', FURTHER)} as left",
         ),
-        "open-ends",
+        "ends",
     )
-    grown = ends.select("row", F.expr("named_struct('start', own, 'stop', own)").alias("run")).limit(0)
+    total = ends.count()
+    places = ends.groupBy("source", "met", "other", "back").agg(F.count("*").alias("n"))
+    theirs = written(
+        hashed.selectExpr("row as source", "h")
+        .join(places.hint("shuffle_hash"), "source")
+        .selectExpr(
+            *places.columns, f"{inner.format('met', 'other')} as inner", f"{_part('other', FURTHER)} as right"
+        ),
+        "sources",
+    )
+    met = meet(ends, theirs.withColumnRenamed("inner", "theirs"), ["source", "met", "other", "back"], "n", total, "inner")
+    met = met.where("inner = theirs and get(left, 0) = get(right, 0)")
+    kept = ["row", "source", "own", "other", "back", "room"]
+    agreeing = _agreeing(met.select(*kept, "left", "right"), FURTHER)
+    return written(agreeing.select(*kept, F.least("same", "room").alias("same")), "compared")
+
+
+def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
+    """(row, run) of the lines that go on agreeing at an end of a run and are in no run yet,
+    maybe with some that are. ``own`` and ``other`` are places in the row and in its source;
+    lines are compared forth from there or, with ``back``, backwards, ``room`` of them at most:
+    behind a gap begins the next run at the same shift, which has ends of its own."""
+
+    def agreed(compared: DataFrame) -> DataFrame:
+        run = "named_struct('start', if(back, own - same, own), 'stop', if(back, own, own + same))"
+        return compared.where("same > 0").select("row", F.expr(run).alias("run"))
+
+    def going_on(compared: DataFrame, most: int) -> DataFrame:
+        step = F.when(F.col("back"), -F.col("same")).otherwise(F.col("same"))
+        return compared.where((F.col("same") == most) & ((F.col("room") > most) | F.col("room").isNull())).select(
+            "row",
+            "source",
+            (F.col("own") + step).alias("own"),
+            (F.col("other") + step).alias("other"),
+            "back",
+            (F.col("room") - most).alias("room"),
+        )
+
     most = FURTHER
+    compared = _beyond_areas(hashed, diagonals)
+    grown = agreed(compared)
+    ends = going_on(compared, most)
     while not ends.isEmpty():
+        most *= FURTHER_YET
         total = ends.count()
         places = ends.selectExpr("row", "own as at", "back").unionByName(
             ends.selectExpr("source as row", "other as at", "back")
         )
         parts = written(
-            places.groupBy("row", "at", "back")
-            .agg(F.count("*").alias("n"))
-            .join(hashed.select("row", "h"), "row")
-            .select(
-                "row",
-                "at",
-                "back",
-                "n",
-                F.expr(
-                    f"""if(back, reverse(slice(h, greatest(at - {most}, 0) + 1, least(at, {most}))),
-                           slice(h, at + 1, {most}))"""
-                ).alias("part"),
-            ),
+            hashed.select("row", "h")
+            .join(places.groupBy("row", "at", "back").agg(F.count("*").alias("n")).hint("shuffle_hash"), "row")
+            .selectExpr("row", "at", "back", "n", f"{_part('at', most)} as part"),
             "parts",
         )
         mine = parts.select("row", F.col("at").alias("own"), "back", F.col("n").alias("n"), F.col("part").alias("left"))
@@ -267,24 +332,8 @@ def _further(hashed: DataFrame, diagonals: DataFrame) -> DataFrame:
         both = meet(both, theirs, ["source", "other", "back"], "n", total, "inner").drop("n")
         agreeing = _agreeing(both, most).withColumn("same", F.least("same", "room"))
         compared = written(agreeing.select(*ends.columns, "same"), "compared")
-        grown = grown.unionByName(
-            compared.where("same > 0").select(
-                "row",
-                F.expr(
-                    "named_struct('start', if(back, own - same, own), 'stop', if(back, own, own + same))"
-                ).alias("run"),
-            )
-        )
-        step = F.when(F.col("back"), -F.col("same")).otherwise(F.col("same"))
-        ends = compared.where((F.col("same") == most) & ((F.col("room") > most) | F.col("room").isNull())).select(
-            "row",
-            "source",
-            (F.col("own") + step).alias("own"),
-            (F.col("other") + step).alias("other"),
-            "back",
-            (F.col("room") - most).alias("room"),
-        )
-        most *= FURTHER_YET
+        grown = grown.unionByName(agreed(compared))
+        ends = going_on(compared, most)
     return grown
 
 

@@ -119,3 +119,58 @@ def test_unrepeated_fingerprints_are_not_sorted(spark):
     met = meet(left, right, ["fp"], "n", 50, "inner", "shuffle_hash")
     assert met.count() == 25
     assert "ShuffledHashJoin" in shown(met, "simple")
+
+
+RUNS = "row bigint, source bigint, shift int, start int, stop int"
+
+
+def test_ends_within_what_goes_anyway_are_not_compared(spark, monkeypatch):
+    """A copy of two texts: each of its runs ends where the other begins, or with the text."""
+    first, second = list(range(100, 130)), list(range(200, 230))
+    docs = [(1, 1, first + second, [3] * 60), (2, 2, second + [7], [3] * 31), (3, 3, first + second, [3] * 60)]
+    diagonals = [(3, 1, 0, 0, 30), (3, 2, 30, 28, 60)]
+    labels = []
+    written = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, label, keep=False: labels.append(label) or written(df, label, keep))
+    out = line_dedup._further(
+        spark.createDataFrame(docs, HASHED), line_dedup._diagonals(spark.createDataFrame(diagonals, RUNS))
+    )
+    assert out.count() == 0
+    assert "parts" not in labels
+
+
+def test_extensions_cover_what_plain_loops_do(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(line_dedup, "FURTHER", 2)
+    monkeypatch.setattr(line_dedup, "FURTHER_YET", 2)
+    draw = random.Random(11)
+    text = [draw.randint(0, 3) for _ in range(60)]
+    docs, matches = {}, []
+    for row in range(30):
+        start = draw.randint(0, 30)
+        h = [x if draw.random() < 0.93 else 9 for x in text[start : start + draw.randint(1, 40)]]
+        docs[row] = h if draw.random() < 0.8 else h + h
+    for _ in range(1500):
+        row, source = draw.randrange(30), draw.randrange(30)
+        shift, at = draw.randint(-25, 25), draw.randrange(len(docs[row]))
+        stop = at
+        while stop < min(len(docs[row]), at + 4) and 0 <= stop - shift < len(docs[source]) and docs[row][stop] == docs[source][stop - shift]:
+            stop += 1
+        if stop - at > 1 and (row, 0) != (source, shift):
+            matches.append((row, source, shift, at, stop))
+    diagonals = line_dedup._diagonals(spark.createDataFrame(matches, RUNS)).localCheckpoint()
+    covered, inside = set(), set()
+    for r in diagonals.collect():
+        h, s, k = docs[r["row"]], docs[r["source"]], r["shift"]
+        at, stop = r["start"], r["stop"]
+        inside |= {(r["row"], i) for i in range(at, stop)}
+        while at > 0 and at - k > 0 and h[at - 1] == s[at - 1 - k] and (r["behind"] is None or r["start"] - at < r["behind"]):
+            at -= 1
+        while stop < len(h) and stop - k < len(s) and h[stop] == s[stop - k] and (r["ahead"] is None or stop - r["stop"] < r["ahead"]):
+            stop += 1
+        covered |= {(r["row"], i) for i in range(at, stop)}
+    hashed = spark.createDataFrame([(row, row, h, [3] * len(h)) for row, h in docs.items()], HASHED)
+    got = {(r["row"], i) for r in line_dedup._further(hashed, diagonals).collect() for i in range(*r["run"])}
+    assert covered > inside
+    assert got | inside == covered
