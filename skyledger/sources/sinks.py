@@ -29,6 +29,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes of all files under ``paths``, by the file system's listing."""
     places = [_files(spark, path) for path in paths]
@@ -59,8 +64,7 @@ def replace_partitions(df: DataFrame, path: str, partition: str, values: DataFra
     left = seen.get["left"]
     emptied = values.where(~name.isin(left)) if left else values
     for value in emptied.agg(F.collect_list(name)).first()[0]:
-        files, place = _files(df.sparkSession, f"{path}/{partition}={value}")
-        files.delete(place, True)
+        delete_path(df.sparkSession, f"{path}/{partition}={value}")
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:

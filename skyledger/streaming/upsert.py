@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.latest import newest_per_key
 from skyledger.session import new_workspace
-from skyledger.sources.sinks import path_exists, replace_partitions
+from skyledger.sources.sinks import delete_path, path_exists, replace_partitions, stored_bytes
 from skyledger.sources.tables import read_table
 
 
@@ -48,6 +49,10 @@ def upsert(batch: DataFrame, path: str, key: str, partition: str) -> DataFrame:
     return touched
 
 
+#: Batches wait until they hold so many times the bytes of the table they are merged into.
+GROWTH = 3
+
+
 def accumulate_runs(
     spark: SparkSession,
     source: str,
@@ -60,17 +65,39 @@ def accumulate_runs(
     bytes_per_batch: int = 16 << 30,
     transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
-    """Take the JSON files that have arrived under ``source`` since the last call, and
-    ``upsert`` them batch by batch. The checkpoint remembers which files were taken."""
+    """Take the JSON files that have arrived under ``source`` since the last call, batch by
+    batch, and ``upsert`` them. The checkpoint remembers which files were taken.
+
+    A batch is written beside the checkpoint and waits there. What waits is merged as soon as
+    it holds ``GROWTH`` times the bytes of the table, and at the end of the call: as the table
+    grows by that factor from merge to merge, all of them together rewrite its rows a few
+    times, however many batches there are. A call that breaks off leaves batches waiting,
+    which the next one merges; a batch that is repeated replaces itself.
+    """
+    waiting = f"{checkpoint}/waiting"
+
+    def merge() -> None:
+        try:
+            landed = read_table(spark, f"{waiting}/*")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return  # nothing waits, or only folders that a call broke off deleting
+        upsert(landed, path, key, partition)
+        delete_path(spark, waiting)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        upsert(transform(batch) if transform else batch, path, key, partition)
+    def land(batch: DataFrame, number: int) -> None:
+        rows = transform(batch) if transform else batch
+        rows.write.mode("overwrite").parquet(f"{waiting}/{number}")
+        if not path_exists(spark, path) or stored_bytes(spark, waiting) >= GROWTH * stored_bytes(spark, path):
+            merge()
 
     rows = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch).json(source)
     query = (
-        rows.writeStream.foreachBatch(merge)
+        rows.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    merge()
